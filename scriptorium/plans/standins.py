@@ -24,14 +24,15 @@ def _every(n: int) -> Column:
     return F.col("doc_id") % n == 0
 
 
-def _day() -> Column:
+def day() -> Column:
+    """Day of a document."""
     return F.concat(F.lit("2026-01-0"), (1 + F.col("doc_id") % 3).cast("string"))
 
 
 def _published() -> Column:
     month = F.lpad((1 + F.col("doc_id") % 12).cast("string"), 2, "0")
-    day = F.lpad((1 + F.col("doc_id") % 28).cast("string"), 2, "0")
-    return F.concat(F.lit("2024-"), month, F.lit("-"), day, F.lit("T00:00:00Z"))
+    of_month = F.lpad((1 + F.col("doc_id") % 28).cast("string"), 2, "0")
+    return F.concat(F.lit("2024-"), month, F.lit("-"), of_month, F.lit("T00:00:00Z"))
 
 
 def bronze(documents: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def bronze(documents: DataFrame) -> DataFrame:
         F.when(~_every(5), F.array("source", "lang")).alias("authors"),
         published.alias("published_at"),
         published.alias("updated_at"),
-        _day().alias("process_date"),
+        day().alias("process_date"),
         F.lit("fixture").alias("run_id"),
     )
 
@@ -71,27 +72,24 @@ def raw_lines(documents: DataFrame) -> DataFrame:
     list, followed by a surplus brace or other text, or lack a key; and authors get a wrong type.
     """
     records = bronze(documents)
-    plain = F.to_json(F.struct(*BRONZE.names))
     body = F.expr("substring(line, 2, length(line) - 2)")
     line = F.col("line")
-    return (
-        records.select("doc_id", plain.alias("line"))
-        .select(
-            "doc_id",
-            F.when(_every(37), F.expr("substring(line, 1, length(line) - 1)"))
-            .when(_every(41), F.concat(F.lit("["), line, F.lit("]")))
-            .when(_every(43), F.concat(line, F.lit("}")))
-            .when(_every(47), F.concat(line, F.lit(" trailing")))
-            .when(_every(53), F.concat(F.lit("{"), body, F.lit(',"authors":["a",1]}')))
-            .when(_every(59), F.concat(F.lit("{"), body, F.lit(',"authors":"a"}')))
-            .when(_every(61), F.regexp_replace(line, '"source":', '"origin":'))
-            .when(_every(67), F.concat(F.lit("{"), body, F.lit(',"title":5}')))
-            .when(_every(71), F.concat(F.lit("{"), body, F.lit(',"authors":null,"score":NaN}')))
-            .when(_every(73), F.concat(F.lit(" \t"), line, F.lit("\t ")))
-            .otherwise(line)
-            .alias("line"),
-        )
+    broken = (
+        F.when(_every(37), F.expr("substring(line, 1, length(line) - 1)"))
+        .when(_every(41), F.concat(F.lit("["), line, F.lit("]")))
+        .when(_every(43), F.concat(line, F.lit("}")))
+        .when(_every(47), F.concat(line, F.lit(" trailing")))
+        .when(_every(53), F.concat(F.lit("{"), body, F.lit(',"authors":["a",1]}')))
+        .when(_every(59), F.concat(F.lit("{"), body, F.lit(',"authors":"a"}')))
+        .when(_every(61), F.regexp_replace(line, '"source":', '"origin":'))
+        .when(_every(67), F.concat(F.lit("{"), body, F.lit(',"title":5}')))
+        .when(_every(71), F.concat(F.lit("{"), body, F.lit(',"authors":null,"score":NaN}')))
+        .when(_every(73), F.concat(F.lit(" \t"), line, F.lit("\t ")))
+        .otherwise(line)
     )
+    plain = records.select("doc_id", F.to_json(F.struct(*BRONZE.names)).alias("line"))
+    # A generated column, as opaque to the stages as a line that was read from a file.
+    return plain.select("doc_id", F.explode(F.array(broken)).alias("line"))
 
 
 def feed_entries(documents: DataFrame) -> DataFrame:
@@ -198,8 +196,8 @@ def losses(documents: DataFrame) -> DataFrame:
         "device": F.lit("cpu"),
         "dtype": F.lit("torch.float32"),
         "runtime_seconds": F.col("n_chars") / 100.0,
-        "jsonl": F.concat(F.lit("sft/process_date="), _day()),
+        "jsonl": F.concat(F.lit("sft/process_date="), day()),
     }
     fields = [values[f.name].cast(f.dataType).alias(f.name) for f in METRICS.fields]
-    return documents.select("doc_id", _day().alias("process_date"), *fields)
+    return documents.select("doc_id", day().alias("process_date"), *fields)
 
