@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from scriptorium.functions.text import strip
+from scriptorium.functions.text import at_least, generated, once, strip
 
 # Fixed values of the text gate and the instruction layout.
 MIN_TEXT_CHARS = 40
@@ -52,20 +52,22 @@ def render(messages: Column, template: ChatTemplate = CHATML) -> Column:
     def shown(m: Column) -> Column:
         return F.coalesce(m["role"].isin(*template.roles), F.lit(False))
 
-    turns = F.transform(
-        F.filter(messages, shown), lambda m: template.turn(m["role"], m["content"])
-    )
     opening = F.lit("")
     if template.default_system is not None:
         has_system = F.coalesce(F.get(messages, F.lit(0))["role"] == "system", F.lit(False))
         opening = F.when(has_system, "").otherwise(
             template.turn(F.lit("system"), F.lit(template.default_system))
         )
-    # A turn without content renders as null.
-    complete = F.forall(turns, lambda turn: turn.isNotNull())
-    return F.when(
-        (F.size(messages) > 0) & complete, F.concat(opening, F.array_join(turns, ""))
+
+    def joined(turns: Column) -> Column:
+        # A turn without content renders as null.
+        complete = F.forall(turns, lambda turn: turn.isNotNull())
+        return F.when(complete, F.concat(opening, F.array_join(turns, "")))
+
+    turns = F.transform(
+        F.filter(messages, shown), lambda m: template.turn(m["role"], m["content"])
     )
+    return F.when(F.size(messages) > 0, once(turns, joined))
 
 
 def instruction_text() -> Column:
@@ -75,37 +77,31 @@ def instruction_text() -> Column:
     return F.when(F.col("instruction").isNotNull(), text)
 
 
-def ungated_text(rows: DataFrame, template: ChatTemplate | None = CHATML) -> Column:
-    """First non-empty of the rendered chat, the plain text and the instruction layout.
+def training_text(
+    rows: DataFrame, template: ChatTemplate | None = CHATML, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``text`` of the rows with more than 40 characters, cut to 12,000.
 
-    ``template=None`` stands for a tokenizer that has no chat template.
+    The text is the first non-empty of the rendered chat, the plain text and the instruction layout. Any
+    of the training-row columns may be absent; ``template=None`` stands for a tokenizer without chat
+    template.
     """
     have = set(rows.columns)
+    for name in ("input", "output"):
+        if "instruction" in have and name not in have:
+            rows = rows.withColumn(name, F.lit(None).cast(StringType()))
     choices = []
     if "messages" in have and template is not None:
-        choices.append(F.nullif(render(F.col("messages"), template), F.lit("")))
+        rows = rows.select("*", generated(render(F.col("messages"), template)).alias("_chat"))
+        choices.append(F.when(F.col("_chat") != "", F.col("_chat")))
     if "text" in have:
-        choices.append(F.nullif(strip(F.col("text")), F.lit("")))
+        plain = strip(F.col("text"))
+        choices.append(F.when(plain != "", plain))
     if "instruction" in have:
         choices.append(instruction_text())
-    return F.coalesce(*choices) if choices else F.lit(None).cast("string")
-
-
-def training_text(
-    rows: DataFrame, template: ChatTemplate | None = CHATML, keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """``text`` of the rows with more than 40 characters, cut to 12,000.
-
-    Any of the training-row columns may be absent.
-    """
-    if "instruction" in rows.columns:
-        for name in ("input", "output"):
-            if name not in rows.columns:
-                rows = rows.withColumn(name, F.lit(None).cast(StringType()))
-    stripped = strip(ungated_text(rows, template))
-    # A generated column, so that the gate below does not render each row a second time.
-    texts = rows.select(*keep, F.explode(F.array(stripped)).alias("text"))
-    return texts.where(F.length("text") > MIN_TEXT_CHARS).withColumn(
+    chosen = F.coalesce(*choices) if choices else F.lit(None).cast(StringType())
+    texts = rows.select(*keep, generated(once(chosen, strip)).alias("text"))
+    return texts.where(at_least(F.col("text"), MIN_TEXT_CHARS + 1)).withColumn(
         "text", F.substring("text", 1, MAX_TEXT_CHARS)
     )
 

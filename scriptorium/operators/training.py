@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.functions.text import strip, strip_or_empty
+from scriptorium.functions.text import at_least, strip, strip_or_empty
 from scriptorium.sources.schemas import MESSAGES
 
 # Character offsets and the prompt text.
@@ -40,8 +40,8 @@ def split_body(gold: DataFrame) -> DataFrame:
     inside_head = F.substring("body", FALLBACK_START + 1, FALLBACK_CHARS)
     return (
         gold.withColumn("body", strip_or_empty(F.col("body")))
-        .where(F.length("body") >= shortest)
-        .withColumn("fallback", F.length("body") < HEAD_CHARS + MIN_TAIL_CHARS)
+        .where(at_least(F.col("body"), shortest))
+        .withColumn("fallback", ~at_least(F.col("body"), HEAD_CHARS + MIN_TAIL_CHARS))
         .withColumn("head", F.substring("body", 1, HEAD_CHARS))
         .withColumn("tail", F.when(F.col("fallback"), inside_head).otherwise(after_head))
     )

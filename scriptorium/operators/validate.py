@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from scriptorium.functions.iso8601 import is_iso_datetime
-from scriptorium.functions.text import strip
+from scriptorium.functions.text import at_least, generated, once, strip
 from scriptorium.sources.layers import JSON_OPTIONS
 from scriptorium.sources.schemas import BRONZE
 
@@ -92,9 +92,7 @@ def _parsed(lines: DataFrame) -> DataFrame:
         whole = (F.size(e) == 2) & first.isNotNull() & (_text(second[_CHECK_KEY]) == check)
         return F.when(whole, _typed(first))
 
-    # A generated column keeps later filters above the parse; a plain projection would let them be
-    # pushed below it, each carrying its own copy of the parse.
-    return lines.select("*", F.explode(F.transform(F.array(elements), record)).alias("rec"))
+    return lines.select("*", generated(once(elements, record)).alias("rec"))
 
 
 def validate(lines: DataFrame) -> DataFrame:
@@ -108,8 +106,8 @@ def validate(lines: DataFrame) -> DataFrame:
     checks = (
         rec.isNotNull(),
         rec["has_keys"],
-        F.length(strip(rec["title"])) >= MIN_TITLE_CHARS,
-        F.length(strip(rec["content"])) >= MIN_CONTENT_CHARS,
+        at_least(strip(rec["title"]), MIN_TITLE_CHARS),
+        at_least(strip(rec["content"]), MIN_CONTENT_CHARS),
         F.contains(F.lower(rec["url"]), F.lit(URL_MARK)),
         is_iso_datetime(rec["published_at"]),
         rec["authors_ok"],

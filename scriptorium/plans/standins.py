@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scriptorium.functions.text import WHITESPACE
+from scriptorium.functions.text import WHITESPACE, generated
 from scriptorium.operators.chat import CHATML, MAX_TEXT_CHARS, ChatTemplate, head_turns
 from scriptorium.sources.schemas import BRONZE, MESSAGES, METRICS
 
@@ -88,8 +88,8 @@ def raw_lines(documents: DataFrame) -> DataFrame:
         .otherwise(line)
     )
     plain = records.select("doc_id", F.to_json(F.struct(*BRONZE.names)).alias("line"))
-    # A generated column, as opaque to the stages as a line that was read from a file.
-    return plain.select("doc_id", F.explode(F.array(broken)).alias("line"))
+    # As opaque to the stages as a line that was read from a file.
+    return plain.select("doc_id", generated(broken).alias("line"))
 
 
 def feed_entries(documents: DataFrame) -> DataFrame:
@@ -135,7 +135,8 @@ def chats(turns: DataFrame, template: ChatTemplate = CHATML) -> DataFrame:
     """
     limit = head_turns(MAX_TEXT_CHARS, template)
     order = ["turn", "role", "text"]
-    salted = turns.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(TURN_SALTS)))
+    # By input partition, so that copies of a turn are spread as well.
+    salted = turns.withColumn("salt", F.spark_partition_id() % TURN_SALTS)
     part = Window.partitionBy("conv_id", "salt").orderBy(*order)
     whole = Window.partitionBy("conv_id").orderBy(*order)
     heads = (

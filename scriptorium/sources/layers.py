@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from scriptorium.functions.text import strip
+from scriptorium.functions.text import is_blank, strip
 from scriptorium.sources.schemas import TRAINING_ROW
 
 PARTITION = "process_date"
@@ -52,7 +52,7 @@ def raw_lines(
 
 def stripped_lines(lines: DataFrame) -> DataFrame:
     """Strip column ``line`` and drop blank lines."""
-    return lines.withColumn("line", strip(F.col("line"))).where(F.length("line") > 0)
+    return lines.where(~is_blank(F.col("line"))).withColumn("line", strip(F.col("line")))
 
 
 def read_layer(
