@@ -43,8 +43,18 @@ def is_blank(text: Column) -> Column:
 
 
 def at_least(text: Column, chars: int) -> Column:
-    """True for texts of ``chars`` or more characters, without counting all of them."""
-    return F.length(F.substring(text, 1, chars)) == chars
+    """True for texts of ``chars`` or more characters.
+
+    A character takes one to four bytes, so the size in bytes decides for most texts; counting
+    characters reads the whole text.
+    """
+    size = F.octet_length(text)
+    return (size >= 4 * chars) | ((size >= chars) & (F.length(text) >= chars))
+
+
+def first_chars(text: Column, chars: int) -> Column:
+    """The first ``chars`` characters; a text that is no longer is passed on as it is."""
+    return F.when(at_least(text, chars + 1), F.substring(text, 1, chars)).otherwise(text)
 
 
 def strip_or_empty(text: Column) -> Column:

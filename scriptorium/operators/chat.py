@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from scriptorium.functions.text import at_least, generated, once, strip
+from scriptorium.functions.text import at_least, first_chars, generated, once, strip
 
 # Fixed values of the text gate and the instruction layout.
 MIN_TEXT_CHARS = 40
@@ -102,7 +102,7 @@ def training_text(
     chosen = F.coalesce(*choices) if choices else F.lit(None).cast(StringType())
     texts = rows.select(*keep, generated(once(chosen, strip)).alias("text"))
     return texts.where(at_least(F.col("text"), MIN_TEXT_CHARS + 1)).withColumn(
-        "text", F.substring("text", 1, MAX_TEXT_CHARS)
+        "text", first_chars(F.col("text"), MAX_TEXT_CHARS)
     )
 
 

@@ -176,7 +176,7 @@ def gate_failure(total: int, valid: int, source: str = "input") -> str | None:
     return None
 
 
-def check_gates(report: Row, source: str = "input") -> None:
+def check_gates(report: Row | dict, source: str = "input") -> None:
     """Raise when a report row fails a gate."""
     failure = gate_failure(report["total_lines"], report["valid"], source)
     if failure:

@@ -161,24 +161,31 @@ def _write_reports(spark: SparkSession, layout: Layout, reports: list[tuple], ra
     write_layer(report.coalesce(1), layout.layer("validation_report"))
 
 
-def _finish(spark: SparkSession, result: RunResult, stage: str, source: str, target: str, rows: int):
+def finish_stage(spark: SparkSession, stage: str, rows: int, source: str, target: str) -> None:
+    """Stop on an empty stage; record the rows of any other beside its layer."""
     require_rows(rows, stage)
-    result.rows[stage] = rows
     meta = StageMeta(rows, "pyspark", spark.sparkContext.appName, source, target)
     write_record(stage_meta(spark, meta), f"{target}/_meta")
 
 
+def _finish(
+    spark: SparkSession, result: RunResult, stage: str, source: str, target: str, rows: int
+) -> None:
+    finish_stage(spark, stage, rows, source, target)
+    result.rows[stage] = rows
+
+
 def process_days(
     spark: SparkSession,
     layout: Layout,
     days: Sequence[str],
     raw: str | None = None,
-    rebalance: bool = False,
 ) -> RunResult:
     """Validate days of raw lines and write their silver, gold and training layers.
 
-    Each stage reads what the one before wrote, so a lost executor costs one stage's tasks at most.
-    Writing replaces these days and no others. A day that fails a gate stops there; the others go on.
+    Each stage reads what the one before wrote, so a lost executor costs one stage's tasks at most. No
+    stage shuffles: a layer's files lie by day already, so a task writes to one day or a few. Writing
+    replaces these days and no others. A day that fails a gate stops there; the others go on.
     """
     result = RunResult(stopped=validate_days(spark, layout, days, raw))
     days = [d for d in days if d not in result.stopped]
@@ -186,16 +193,16 @@ def process_days(
         return result
 
     rows = read_layer(spark, layout.validated, BRONZE, BRONZE_REQUIRED, days)
-    written = write_layer(silver(rows), layout.silver, rebalance=rebalance)
+    written = write_layer(silver(rows), layout.silver)
     _finish(spark, result, "silver", layout.validated, layout.silver, written)
 
     rows = read_layer(spark, layout.silver, SILVER, SILVER_REQUIRED, days)
-    written = write_layer(gold(rows), layout.gold, rebalance=rebalance)
+    written = write_layer(gold(rows), layout.gold)
     _finish(spark, result, "gold", layout.silver, layout.gold, written)
 
     rows = read_layer(spark, layout.gold, GOLD, days=days)
     messages = training_messages(rows, keep=(PARTITION,)).drop("fallback")
-    written = write_layer(messages, layout.training, rebalance=rebalance)
+    written = write_layer(messages, layout.training)
     _finish(spark, result, "sft_train", layout.gold, layout.training, written)
     return result
 

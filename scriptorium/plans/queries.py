@@ -17,7 +17,12 @@ from scriptorium.operators.chat import training_text
 from scriptorium.operators.gold import gold
 from scriptorium.operators.silver import silver
 from scriptorium.operators.tokens import tokenize, utf8_bytes, word_pieces
-from scriptorium.operators.training import MIN_TAIL_CHARS, FALLBACK_START, split_body, training_messages
+from scriptorium.operators.training import (
+    FALLBACK_START,
+    MIN_TAIL_CHARS,
+    split_body,
+    training_messages,
+)
 from scriptorium.plans import standins as st
 from scriptorium.plans.daily import Layout, process_days
 from scriptorium.session import shared_dir

@@ -41,7 +41,7 @@ def run_incremental(
         # One row per calendar day of the batch.
         days = sorted(r[0] for r in batch.select(PARTITION).distinct().collect())
         if days:
-            done = process_days(batch.sparkSession, layout, days, raw=landing, rebalance=True)
+            done = process_days(batch.sparkSession, layout, days, raw=landing)
             if results is not None:
                 results.append(done)
 

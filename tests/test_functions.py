@@ -3,11 +3,10 @@
 import random
 from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from scriptorium.functions.iso8601 import is_iso_datetime
-from scriptorium.functions.text import WHITESPACE, at_least, is_blank, strip, strip_or_empty
+from scriptorium.functions.text import WHITESPACE, at_least, first_chars, is_blank, strip, strip_or_empty
 from scriptorium.functions.topics import TOPICS, title_bucket, title_topics
 
 EDGES = list(WHITESPACE) + ["​", "﻿", "᠎", "\x00", "a", "é", "中", "😀", "Ā", "ࠀ"]
@@ -27,11 +26,11 @@ def test_whitespace_is_what_python_strips():
 def test_strip_matches_python(spark):
     rows = spark.createDataFrame([(t,) for t in texts(2000, 1)], "t string")
     got = rows.select(
-        "t", strip(F.col("t")).alias("s"), is_blank(F.col("t")).alias("b"), at_least(F.col("t"), 4).alias("n")
+        "t", strip(F.col("t")).alias("s"), is_blank(F.col("t")).alias("b"), first_chars(F.col("t"), 4).alias("n")
     ).collect()
     assert [r for r in got if r.s != r.t.strip()] == []
     assert [r for r in got if r.b != (not r.t.strip())] == []
-    assert [r for r in got if r.n != (len(r.t) >= 4)] == []
+    assert [r for r in got if r.n != r.t[:4]] == []
 
 
 def test_strip_of_null(one):
@@ -123,7 +122,14 @@ def test_all_buckets_appear(spark):
     assert {r[0] for r in rows.select(title_bucket(F.col("t"))).collect()} == set(range(5))
 
 
-@pytest.mark.parametrize("chars", [1, 5, 20])
-def test_at_least_boundary(one, chars):
-    assert one(at_least(F.lit("é" * chars), chars)) is True
-    assert one(at_least(F.lit("é" * (chars - 1)), chars)) is False
+def test_lengths_around_the_byte_bounds(spark):
+    values = [c * n for c in "aé中😀" for n in range(0, 48)] + ["a😀" * n for n in range(24)]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    got = rows.select("v", at_least(F.col("v"), 11).alias("ok"), first_chars(F.col("v"), 11).alias("cut"))
+    wrong = [r for r in got.collect() if r.ok != (len(r.v) >= 11) or r.cut != r.v[:11]]
+    assert wrong == []
+
+
+def test_length_of_null(one):
+    assert one(at_least(F.lit(None).cast("string"), 3)) is None
+    assert one(first_chars(F.lit(None).cast("string"), 3)) is None
