@@ -42,7 +42,7 @@ def _gold(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _training(spark: SparkSession, args: argparse.Namespace) -> None:
-    rows = layers.read_layer(spark, args.input, GOLD)
+    rows = layers.read_layer(spark, args.input, GOLD, strict=True)
     messages = training_messages(rows, keep=(layers.PARTITION,)).drop("fallback")
     written = layers.write_layer(messages, args.output)
     daily.finish_stage(spark, "sft_train", written, args.input, args.output)

@@ -68,7 +68,7 @@ def _time() -> str:
     below_2359 = "23" + _after_hour("(?:[0-4][0-9]|5[0-8])", _PAIR)
     at_2359 = "23" + _after_hour("59", _SIXTY)
     offset = f"[+-](?:{below_23h}|{below_2359}|{at_2359})"
-    return f"(?:{time}|(?:{time}|{stray}|{long_fraction}){offset})"
+    return f"(?:{time}(?:{offset})?|(?:{stray}|{long_fraction}){offset})"
 
 
 ISO_PATTERN = f"^(?s:{_date()}(?:.{_time()})?)\\z"
@@ -81,5 +81,5 @@ def is_iso_datetime(text: Column) -> Column:
         F.concat(F.substring(value, 1, 4), F.lit("-12-28")).try_cast("date")
     )
     return value.rlike(ISO_PATTERN) & (
-        ~F.substring(value, 5, 4).rlike("^-?W53") | (last_week == 53)
+        ~F.contains(F.substring(value, 5, 4), F.lit("W53")) | (last_week == 53)
     )

@@ -22,24 +22,20 @@ SUMMARY_END = " символов текста."
 
 def body_length() -> Column:
     """Stored body length, or the length of the body where none is stored."""
-    return F.coalesce("body_len", F.length(F.coalesce("body", F.lit("")))).cast("int")
+    return F.coalesce("body_len", F.length("body"), F.lit(0)).cast("int")
 
 
 def quality_score() -> Column:
     """0.55 to 0.95, growing with the body up to the cap."""
-    capped = F.least(body_length(), F.lit(SCORE_BODY_CAP))
-    return F.round(F.lit(SCORE_BASE) + capped / F.lit(SCORE_BODY_UNIT), 4)
+    gain = F.least(body_length(), F.lit(SCORE_BODY_CAP)) / SCORE_BODY_UNIT
+    return F.round(gain + SCORE_BASE, 4)
 
 
 def summary() -> Column:
     """Template text with the start of the title and the body length."""
-    return F.concat(
-        F.lit(SUMMARY_START),
-        F.substring(F.coalesce("title", F.lit("")), 1, SUMMARY_TITLE_CHARS),
-        F.lit(SUMMARY_MIDDLE),
-        body_length().cast("string"),
-        F.lit(SUMMARY_END),
-    )
+    shown = F.ifnull(F.left("title", F.lit(SUMMARY_TITLE_CHARS)), F.lit(""))
+    size = body_length().cast("string")
+    return F.concat(F.lit(SUMMARY_START), shown, F.lit(SUMMARY_MIDDLE), size, F.lit(SUMMARY_END))
 
 
 def gold(silver: DataFrame) -> DataFrame:

@@ -200,7 +200,7 @@ def process_days(
     written = write_layer(gold(rows), layout.gold)
     _finish(spark, result, "gold", layout.silver, layout.gold, written)
 
-    rows = read_layer(spark, layout.gold, GOLD, days=days)
+    rows = read_layer(spark, layout.gold, GOLD, days=days, strict=True)
     messages = training_messages(rows, keep=(PARTITION,)).drop("fallback")
     written = write_layer(messages, layout.training)
     _finish(spark, result, "sft_train", layout.gold, layout.training, written)
@@ -214,7 +214,7 @@ def training_texts(
     template: ChatTemplate | None = CHATML,
 ) -> DataFrame:
     """Texts of the days' training rows, ready for a tokenizer."""
-    rows = read_layer(spark, layout.training, _with_day(TRAINING_ROW), days=days)
+    rows = read_layer(spark, layout.training, _with_day(TRAINING_ROW), days=days, strict=True)
     return training_text(rows, template, keep=(PARTITION,))
 
 

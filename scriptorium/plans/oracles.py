@@ -243,12 +243,12 @@ SELECT 'raw' AS raw_path, 'validated' AS validated_path, count(*) AS total_lines
 FROM flagged""",
         "reject_reasons": f"""WITH {_FLAGGED}
 SELECT reason, count(*) AS n FROM flagged WHERE reason IS NOT NULL GROUP BY reason""",
-        "silver_rows": f"{_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
+        "silver": f"{_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
         "gold_topics": f"{_PADDED_GOLD} SELECT url, title, mock_topics FROM gold",
         "gold_score": f"{_PADDED_GOLD} SELECT url, body_len, mock_quality_score FROM gold",
         "gold_summary": f"{_PADDED_GOLD} SELECT url, mock_summary FROM gold",
         "gold_full": f"{_PADDED_GOLD} SELECT {_GOLD_COLUMNS} FROM gold",
-        "training_set": f"{_PADDED_GOLD}, {_split('gold')} SELECT url, fallback, prompt, answer FROM messages",
+        "training_messages": f"{_PADDED_GOLD}, {_split('gold')} SELECT url, fallback, prompt, answer FROM messages",
         "training_split_stats": f"""{_SILVER}, {_split('silver')}
 SELECT fallback, count(*) AS n, CAST(sum(length(head)) AS BIGINT) AS head_chars,
        CAST(sum(length(tail)) AS BIGINT) AS tail_chars, CAST(min(length(b)) AS INTEGER) AS shortest_body

@@ -43,7 +43,8 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(run: Query) -> Query:
-    _QUERIES[run.__name__] = run
+    """Register under the function's name, without the underscore that tells it from the operator."""
+    _QUERIES[run.__name__.rstrip("_")] = run
     return run
 
 
@@ -144,7 +145,7 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def silver_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(_silver(spark, sf_dir))
 
 
@@ -172,7 +173,7 @@ def gold_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_messages_(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = training_messages(gold(_silver(spark, sf_dir)), keep=("url",))
     return rows.select(
         "url",

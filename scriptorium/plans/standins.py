@@ -14,6 +14,7 @@ from scriptorium.operators.chat import CHATML, MAX_TEXT_CHARS, ChatTemplate, hea
 from scriptorium.sources.schemas import BRONZE, MESSAGES, METRICS
 
 TURN_SALTS = 64
+TURN_ORDER = ("turn", "role", "text")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,28 +130,31 @@ def chats(turns: DataFrame, template: ChatTemplate = CHATML) -> DataFrame:
     """``messages`` per conversation: the leading turns that decide its training text.
 
     A training text ends at 12,000 characters and every rendered turn takes up some, so the turns after
-    the first few hundred cannot show and the text is the same as for the whole conversation. They are
-    left out in two steps, first within salted parts, so that a conversation holding much of the table
-    is spread over tasks and no task or row collects all of it.
+    the first few hundred cannot show, and the text is the same as for the whole conversation. The
+    longest conversation is counted first, over the key column alone. Unless it exceeds that number,
+    whole conversations are collected, with one shuffle.
     """
     limit = head_turns(MAX_TEXT_CHARS, template)
-    order = ["turn", "role", "text"]
-    # By input partition, so that copies of a turn are spread as well.
-    salted = turns.withColumn("salt", F.spark_partition_id() % TURN_SALTS)
-    part = Window.partitionBy("conv_id", "salt").orderBy(*order)
-    whole = Window.partitionBy("conv_id").orderBy(*order)
-    heads = (
-        salted.withColumn("rank", F.row_number().over(part))
-        .where(F.col("rank") <= limit)
-        .withColumn("rank", F.row_number().over(whole))
-        .where(F.col("rank") <= limit)
-    )
-    in_order = F.array_sort(F.collect_list(F.struct("rank", "role", F.col("text").alias("content"))))
-    return heads.groupBy("conv_id").agg(
-        F.transform(in_order, lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-        .cast(MESSAGES)
-        .alias("messages")
+    longest = turns.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    if longest > limit:
+        turns = _leading_turns(turns, limit)
+    in_order = F.array_sort(F.collect_list(F.struct(*TURN_ORDER)))
+    message = F.transform(
+        in_order, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content"))
     )
+    return turns.groupBy("conv_id").agg(message.cast(MESSAGES).alias("messages"))
+
+
+def _leading_turns(turns: DataFrame, limit: int) -> DataFrame:
+    """First ``limit`` turns of each conversation, without one task seeing all turns of a long one.
+
+    Parts of a conversation are cut first. They are told apart by input partition, which spreads copies
+    of a turn as well. Both cuts start on the map side.
+    """
+    for parts in ([F.spark_partition_id() % TURN_SALTS], []):
+        first = Window.partitionBy("conv_id", *parts).orderBy(*TURN_ORDER)
+        turns = turns.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= limit)
+    return turns
 
 
 def training_rows(documents: DataFrame) -> DataFrame:

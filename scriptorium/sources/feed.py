@@ -37,13 +37,14 @@ SCALES = {
     "full": Scale(page_size=100, pages=2),
 }
 DEFAULT_SCALE = "full"
-SCALE_VARIABLE = "NEWS_PIPELINE_SCALE"
+SCALE_VARIABLE = "SCRIPTORIUM_SCALE"
 
 
 def resolve_scale(
     conf: Mapping | None = None,
     params: Mapping | None = None,
     environ: Mapping[str, str] | None = None,
+    variable: str = SCALE_VARIABLE,
 ) -> str:
     """Name of the scale: run settings first, then the environment, then defaults of the job.
 
@@ -52,7 +53,7 @@ def resolve_scale(
     environ = os.environ if environ is None else environ
     candidates = (
         conf.get("scale") if isinstance(conf, Mapping) else None,
-        (environ.get(SCALE_VARIABLE) or "").strip(),
+        (environ.get(variable) or "").strip(),
         params.get("scale") if isinstance(params, Mapping) else None,
     )
     chosen = next((c for c in candidates if c), DEFAULT_SCALE)

@@ -61,12 +61,14 @@ def read_layer(
     schema: StructType,
     required: Iterable[str] = (),
     days: Sequence[str] | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """JSON lines under an explicit schema; ``days`` prunes partitions of a layer root.
 
-    A line that is not JSON stops the read: what reaches a layer has passed validation.
+    A line that is not JSON gives a row of nulls, or with ``strict`` stops the read.
     """
-    rows = spark.read.schema(schema).options(mode="FAILFAST", **JSON_OPTIONS).json(path)
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    rows = spark.read.schema(schema).options(mode=mode, **JSON_OPTIONS).json(path)
     if days is not None:
         rows = rows.where(F.col(PARTITION).isin(list(days)))
     check_contract(rows, required)

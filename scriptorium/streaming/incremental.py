@@ -39,7 +39,9 @@ def run_incremental(
 
     def update(batch: DataFrame, _batch_id: int) -> None:
         # One row per calendar day of the batch.
-        days = sorted(r[0] for r in batch.select(PARTITION).distinct().collect())
+        days = [r[0] for r in batch.select(PARTITION).distinct().orderBy(PARTITION).collect()]
+        if None in days:
+            raise ValueError(f"lines under {landing} outside of a day")
         if days:
             done = process_days(batch.sparkSession, layout, days, raw=landing)
             if results is not None:

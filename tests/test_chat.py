@@ -94,11 +94,9 @@ def test_columns_may_be_absent(spark):
 
 
 def test_rendered_once(spark, plan):
-    rows = training_text(training_rows(spark, [{"messages": [("user", LONG)]}]))
-    # Optimised, not folded away as a local relation.
-    rows = training_text(spark.range(1).select(F.expr(
-        "array(named_struct('role', 'user', 'content', repeat('x', cast(id + 50 as int)))) as messages")))
-    assert plan(rows).count("array_join(") == 1
+    message = "named_struct('role', 'user', 'content', repeat('x', cast(id + 50 as int)))"
+    rows = spark.range(1).selectExpr(f"array({message}) as messages")
+    assert plan(training_text(rows)).count("array_join(") == 1
 
 
 def test_json_lines(spark):
@@ -154,6 +152,21 @@ def test_hot_conversation(spark):
     assert chats(frame).agg(F.max(F.size("messages"))).first()[0] == limit
 
 
+def test_short_conversations_take_one_shuffle(spark, plan):
+    rows = [(c, t, "user", f"{c} {t} " * 9) for c in range(5) for t in range(c + 1)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r.text for r in training_text(chats(frame), keep=("conv_id",)).collect()}
+    assert got == brute_force(rows)
+    assert plan(chats(frame)).count("Exchange") == 1
+
+
+def test_long_conversations_are_cut_on_the_map_side(spark, plan):
+    rows = spark.range(2000).selectExpr(
+        "id % 2 as conv_id", "id as turn", "'user' as role", "cast(id as string) as text"
+    )
+    assert plan(chats(rows)).count("Partial") == 2
+
+
 def test_head_turns_fill_the_text():
     shortest = len("<|im_start|>" + "\n" + "<|im_end|>\n")
     assert head_turns(12000, CHATML) * shortest >= 12000 + len("<|im_end|>\n")

@@ -40,7 +40,7 @@ def test_missing_column(spark, tmp_path, capsys):
 
 
 def test_run_day(spark, tmp_path, monkeypatch, capsys):
-    monkeypatch.setenv("NEWS_PIPELINE_SCALE", "smoke")
+    monkeypatch.setenv("SCRIPTORIUM_SCALE", "smoke")
     feed = str(tmp_path / "feed")
     st.write_feed(st.feed_entries(st.table(spark, "/root/testdata/sf0.001", "documents")), feed)
     args = ["run-day", "--landed", feed, "--root", str(tmp_path / "out"), "--day", "2026-01-01"]

@@ -108,10 +108,10 @@ def test_window_is_top_k(entries, plan):
     "conf, environ, params, expected",
     [
         (None, {}, None, "full"),
-        ({"scale": " Smoke "}, {"NEWS_PIPELINE_SCALE": "test"}, {"scale": "full"}, "smoke"),
-        ({}, {"NEWS_PIPELINE_SCALE": " TEST "}, {"scale": "smoke"}, "test"),
-        ({"scale": ""}, {"NEWS_PIPELINE_SCALE": " "}, {"scale": "smoke"}, "smoke"),
-        ({"scale": "huge"}, {"NEWS_PIPELINE_SCALE": "test"}, {}, "full"),
+        ({"scale": " Smoke "}, {"SCRIPTORIUM_SCALE": "test"}, {"scale": "full"}, "smoke"),
+        ({}, {"SCRIPTORIUM_SCALE": " TEST "}, {"scale": "smoke"}, "test"),
+        ({"scale": ""}, {"SCRIPTORIUM_SCALE": " "}, {"scale": "smoke"}, "smoke"),
+        ({"scale": "huge"}, {"SCRIPTORIUM_SCALE": "test"}, {}, "full"),
         ({"scale": 5}, {}, {"scale": "test"}, "full"),
         ("smoke", {}, ["test"], "full"),
     ],

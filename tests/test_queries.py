@@ -32,8 +32,8 @@ def test_flagship(spark):
 
 @pytest.mark.parametrize(
     "name",
-    "atom_ingest validate_flags validated_records silver_rows gold_topics gold_score gold_summary "
-    "gold_full training_set render_fallbacks render_lines token_truncate token_ids perplexity eval_report "
+    "atom_ingest validate_flags validated_records silver gold_topics gold_score gold_summary "
+    "gold_full training_messages render_fallbacks render_lines token_truncate token_ids perplexity eval_report "
     "train_manifest lines_to_gold lines_to_text".split(),
 )
 def test_row_wise_queries_do_not_shuffle(spark, plan, name):

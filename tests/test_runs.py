@@ -114,9 +114,11 @@ def test_missing_input(spark, tmp_path):
 
 
 def test_bad_json_in_a_layer(spark, tmp_path):
-    (tmp_path / "x.json").write_text("{bad\n")
+    (tmp_path / "x.json").write_text("{bad\n\n")
+    [row] = layers.read_layer(spark, str(tmp_path), SILVER).collect()
+    assert set(row) == {None}
     with pytest.raises(Exception, match="MALFORMED"):
-        layers.read_layer(spark, str(tmp_path), SILVER).collect()
+        layers.read_layer(spark, str(tmp_path), SILVER, strict=True).collect()
 
 
 def test_raw_lines_split_like_text_files(spark, tmp_path):
