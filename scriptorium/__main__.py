@@ -58,7 +58,7 @@ def _validate(spark: SparkSession, args: argparse.Namespace) -> None:
     flagged = v.validate(layers.raw_lines(spark, args.input))
     valid = v.valid_records(flagged.observe(counts, *v.report_columns()))
     valid.select("line").write.mode("overwrite").text(args.output)
-    v.check_gates(counts.get, args.input)
+    v.check_gates(spark.createDataFrame([counts.get]), args.input)
     print(counts.get)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions.iso8601 import is_iso_datetime
@@ -164,20 +164,24 @@ def reject_reasons(validated: DataFrame) -> DataFrame:
     )
 
 
-def gate_failure(total: int, valid: int, source: str = "input") -> str | None:
-    """Why a validated input must not go on, or null. A share of exactly one half passes."""
-    invalid = total - valid
-    if total == 0:
-        return f"no lines read from {source}"
-    if valid == 0:
-        return f"no valid records in {source}"
-    if invalid / total > MAX_INVALID_RATIO:
-        return f"too many invalid rows in {source}: {invalid}/{total}"
-    return None
+def with_gates(counts: DataFrame) -> DataFrame:
+    """Add ``failure`` to report counts: why such an input must not go on, or null.
+
+    A share of exactly one half passes.
+    """
+    total, valid, invalid = F.col("total_lines"), F.col("valid"), F.col("invalid")
+    return counts.withColumn(
+        "failure",
+        F.when(total == 0, "no lines")
+        .when(valid == 0, "no valid records")
+        .when(invalid > total * MAX_INVALID_RATIO, "too many invalid lines"),
+    )
 
 
-def check_gates(report: Row | dict, source: str = "input") -> None:
-    """Raise when a report row fails a gate."""
-    failure = gate_failure(report["total_lines"], report["valid"], source)
-    if failure:
-        raise QualityGateError(failure)
+def check_gates(counts: DataFrame, source: str = "input") -> None:
+    """Raise when the one row of report counts fails a gate."""
+    row = with_gates(counts).first()
+    if row["failure"]:
+        raise QualityGateError(
+            f"{row['failure']} in {source}: {row['invalid']} of {row['total_lines']} invalid"
+        )

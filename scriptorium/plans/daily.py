@@ -98,7 +98,8 @@ def extract(
 ) -> int:
     """Newest entries of landed feed files to the day's raw bronze lines."""
     window = feed.feed_window(feed.read_feed(spark, landed), scale)
-    return write_layer(as_lines(feed.to_bronze(window, day, run_id)), layout.raw, fmt="text")
+    lines = as_lines(feed.to_bronze(window, day, run_id))
+    return write_layer(lines, layout.raw, days=[day], fmt="text")
 
 
 def validate_days(
@@ -109,25 +110,24 @@ def validate_days(
     Lines are parsed once: the counts of each day are taken while its valid lines are written, a few
     days at a time.
     """
-    stopped, reports = {}, []
+    raw = raw or layout.raw
+    counted = []
     for start in range(0, len(days), DAYS_PER_PASS):
-        for day, total, invalid in _validate_pass(
-            spark, layout, days[start : start + DAYS_PER_PASS], raw or layout.raw
-        ):
-            failure = v.gate_failure(total, total - invalid, f"{raw or layout.raw} {day}")
-            if failure:
-                stopped[day] = failure
-            else:
-                reports.append((day, total, total - invalid, invalid))
-    if reports:
-        _write_reports(spark, layout, reports, raw or layout.raw)
-    return stopped
+        counted += _validate_pass(spark, layout, days[start : start + DAYS_PER_PASS], raw)
+    counts = v.with_gates(
+        spark.createDataFrame(
+            counted, f"{PARTITION} string, total_lines bigint, valid bigint, invalid bigint"
+        )
+    )
+    failed = F.col("failure").isNotNull()
+    _write_reports(layout, counts.where(~failed).drop("failure"), raw)
+    return {r[PARTITION]: r["failure"] for r in counts.where(failed).collect()}
 
 
 def _validate_pass(
     spark: SparkSession, layout: Layout, days: Sequence[str], raw: str
-) -> list[tuple[str, int, int]]:
-    """Write the valid lines of a few days; returns (day, lines, invalid lines)."""
+) -> list[tuple[str, int, int, int]]:
+    """Write the valid lines of a few days; returns (day, lines, valid lines, invalid lines)."""
     flagged = v.validate(raw_lines(spark, raw, days))
     counts = Observation()
     metrics = []
@@ -138,17 +138,17 @@ def _validate_pass(
             F.count(F.when(here, F.col("reason"))).alias(f"invalid_{i}"),
         ]
     kept = v.valid_records(flagged.observe(counts, *metrics))
-    write_layer(kept.select(F.col("line").alias("value"), PARTITION), layout.validated, fmt="text")
-    return [(d, counts.get[f"total_{i}"], counts.get[f"invalid_{i}"]) for i, d in enumerate(days)]
+    lines = kept.select(F.col("line").alias("value"), PARTITION)
+    write_layer(lines, layout.validated, days=days, fmt="text")
+    seen = counts.get
+    found = [(day, seen[f"total_{i}"], seen[f"invalid_{i}"]) for i, day in enumerate(days)]
+    return [(day, total, total - invalid, invalid) for day, total, invalid in found]
 
 
-def _write_reports(spark: SparkSession, layout: Layout, reports: list[tuple], raw: str) -> None:
+def _write_reports(layout: Layout, counts: DataFrame, raw: str) -> None:
     def at(root: str):
         return F.concat(F.lit(f"{root}/{PARTITION}="), F.col(PARTITION))
 
-    counts = spark.createDataFrame(
-        reports, f"{PARTITION} string, total_lines bigint, valid bigint, invalid bigint"
-    )
     report = v.with_ratio(counts).select(
         PARTITION,
         at(raw).alias("raw_path"),
@@ -202,7 +202,7 @@ def process_days(
 
     rows = read_layer(spark, layout.gold, GOLD, days=days, strict=True)
     messages = training_messages(rows, keep=(PARTITION,)).drop("fallback")
-    written = write_layer(messages, layout.training)
+    written = write_layer(messages, layout.training, days=days)
     _finish(spark, result, "sft_train", layout.gold, layout.training, written)
     return result
 

@@ -243,6 +243,16 @@ SELECT 'raw' AS raw_path, 'validated' AS validated_path, count(*) AS total_lines
 FROM flagged""",
         "reject_reasons": f"""WITH {_FLAGGED}
 SELECT reason, count(*) AS n FROM flagged WHERE reason IS NOT NULL GROUP BY reason""",
+        "quality_gates": f"""WITH {_FLAGGED},
+counts AS (
+  SELECT CASE WHEN doc_id % 37 = 0 THEN 'cut' WHEN doc_id % 23 = 0 OR doc_id % 46 = 1 THEN 'mixed'
+              ELSE 'rest' END AS delivery,
+         count(*) AS total_lines, count(*) - count(reason) AS valid, count(reason) AS invalid
+  FROM flagged GROUP BY delivery)
+SELECT *, round(invalid / total_lines, 4) AS invalid_ratio,
+       CASE WHEN valid = 0 THEN 'no valid records'
+            WHEN invalid / total_lines > 0.5 THEN 'too many invalid lines' END AS failure
+FROM counts""",
         "silver": f"{_SILVER} SELECT {_SILVER_COLUMNS} FROM silver",
         "gold_topics": f"{_PADDED_GOLD} SELECT url, title, mock_topics FROM gold",
         "gold_score": f"{_PADDED_GOLD} SELECT url, body_len, mock_quality_score FROM gold",

@@ -141,6 +141,18 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.reject_reasons(_flagged(spark, sf_dir))
 
 
+@_query
+def quality_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, share and gate of three deliveries of lines, one wholly and one mostly invalid."""
+    delivery = (
+        F.when(F.col("doc_id") % 37 == 0, "cut")
+        .when((F.col("doc_id") % 23 == 0) | (F.col("doc_id") % 46 == 1), "mixed")
+        .otherwise("rest")
+    )
+    counts = _flagged(spark, sf_dir).groupBy(delivery.alias("delivery")).agg(*v.report_columns())
+    return v.with_gates(v.with_ratio(counts))
+
+
 # --- silver and gold -------------------------------------------------------------------------------
 
 

@@ -98,6 +98,7 @@ def write_layer(
     rows: DataFrame,
     root: str,
     day: str | None = None,
+    days: Sequence[str] = (),
     fmt: str = "json",
     rows_per_file: int | None = None,
     rebalance: bool = False,
@@ -105,28 +106,31 @@ def write_layer(
     """Write days of a layer, replacing those days only, and return the number of rows written.
 
     Rows are counted while they are written. ``day`` puts all rows under one day; without it each row
-    goes to its own ``process_date``. ``rebalance`` evens out file sizes by a shuffle that splits a
-    large day over tasks; use it when many days are written at once.
+    goes to its own ``process_date``. ``days`` names the days the rows stand for: one that turns out to
+    have no rows is emptied, where it would keep its earlier rows otherwise. ``rebalance`` evens out
+    file sizes by a shuffle that splits a large day over tasks; use it when many days are written at
+    once from input that is not laid out by day.
     """
     if day is not None:
         rows = rows.withColumn(PARTITION, F.lit(day))
     if rebalance:
         rows = rows.hint("rebalance", PARTITION)
     written = Observation()
-    writer = (
-        rows.observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
+    counted = rows.observe(
+        written, F.count(F.lit(1)).alias("rows"), F.collect_set(PARTITION).alias("days")
     )
+    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.format(fmt).save(root)
+    writer.partitionBy(PARTITION).format(fmt).save(root)
+    for empty in sorted(set(days) - set(written.get["days"])):
+        nothing = rows.sparkSession.createDataFrame([], rows.drop(PARTITION).schema)
+        nothing.write.mode("overwrite").format(fmt).save(f"{root}/{PARTITION}={empty}")
     return written.get["rows"]
 
 
 def require_rows(rows: int, stage: str) -> int:
-    """Stop a run whose stage wrote nothing. Such a write leaves earlier days untouched."""
+    """Stop a run whose stage wrote nothing."""
     if rows == 0:
         raise EmptyStageError(f"{stage}: no rows written")
     return rows

@@ -72,6 +72,13 @@ def test_empty_write_keeps_earlier_days(spark, tmp_path):
         layers.require_rows(0, "silver")
 
 
+def test_named_days_without_rows_are_emptied(spark, tmp_path):
+    root = str(tmp_path / "layer")
+    layers.write_layer(days_frame(spark, {"a": 3, "b": 2, "c": 1}), root)
+    assert layers.write_layer(days_frame(spark, {"a": 4}), root, days=["a", "b", "d"]) == 4
+    assert per_day(spark, root, "i int, process_date string") == {"a": 4, "c": 1}
+
+
 def test_file_sizes(spark, tmp_path):
     root = str(tmp_path / "layer")
     rows = days_frame(spark, {"a": 100, "b": 2}).repartition(4)
@@ -187,9 +194,9 @@ def test_gates_stop_single_days(spark, tmp_path):
     done = daily.process_days(spark, daily.Layout(root), DAYS + ["2026-01-04"], raw=landing)
     assert done.rows["silver"] == 2
     assert set(done.stopped) == {DAYS[1], DAYS[2], "2026-01-04"}
-    assert "too many invalid" in done.stopped[DAYS[1]]
-    assert "no valid" in done.stopped[DAYS[2]]
-    assert "no lines" in done.stopped["2026-01-04"]
+    assert "too many invalid lines" == done.stopped[DAYS[1]]
+    assert "no valid records" == done.stopped[DAYS[2]]
+    assert "no lines" == done.stopped["2026-01-04"]
     assert per_day(spark, f"{root}/gold") == {DAYS[0]: 2}
 
 
@@ -251,6 +258,18 @@ def test_landing_a_day_again_replaces_it(spark, tmp_path):
     assert per_day(spark, gold) == {DAYS[0]: 2}
 
 
+def test_a_day_landed_again_without_long_bodies_loses_its_messages(spark, tmp_path):
+    landing, training = str(tmp_path / "in"), str(tmp_path / "out" / "sft_train")
+    for day in DAYS[:2]:
+        land(landing, day, "f", [record(1, day)])
+    stream(spark, tmp_path)
+    assert per_day(spark, training, "process_date string") == {DAYS[0]: 1, DAYS[1]: 1}
+    short = [(record(1, content="A short body of a few words."), DAYS[0]), (record(2, DAYS[1]), DAYS[1])]
+    layers.write_layer(spark.createDataFrame(short, "value string, process_date string"), landing, fmt="text")
+    stream(spark, tmp_path)
+    assert per_day(spark, training, "process_date string") == {DAYS[1]: 1}
+
+
 def test_a_bad_day_does_not_hold_up_others(spark, tmp_path):
     landing = str(tmp_path / "in")
     land(landing, DAYS[0], "f", ["bad"])

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from scriptorium.operators import validate as v
@@ -47,7 +46,10 @@ CASES = [
     (GOOD_LINE.replace('"', "'"), "unparsable"),
     (GOOD_LINE[:-1] + ",}", "unparsable"),
     (GOOD_LINE[:-1] + ',"n":01}', "unparsable"),
+    (GOOD_LINE.replace("fair", "fair\t"), "unparsable"),
+    (GOOD_LINE.replace("fair", "fair\\ud800"), None),
     ("{}", "missing_key"),
+    (GOOD_LINE.replace('"title"', '"Title"'), "missing_key"),
     # other content is of no concern
     (GOOD_LINE[:-1] + ',"score":NaN}', None),
     (GOOD_LINE[:-1] + ',"score":-Infinity}', None),
@@ -177,15 +179,24 @@ def test_reason_counts(flagged):
 
 
 @pytest.mark.parametrize(
-    "total, valid, passes", [(2, 1, True), (10001, 5000, False), (10000, 5000, True), (3, 0, False), (0, 0, False)]
+    "total, valid, failure",
+    [
+        (2, 1, None),
+        (10000, 5000, None),
+        (10001, 5000, "too many invalid lines"),
+        (3, 0, "no valid records"),
+        (0, 0, "no lines"),
+    ],
 )
-def test_gates(total, valid, passes):
-    report = Row(total_lines=total, valid=valid)
-    if passes:
-        v.check_gates(report)
+def test_gates(spark, total, valid, failure):
+    counts = spark.createDataFrame(
+        [(total, valid, total - valid)], "total_lines long, valid long, invalid long"
+    )
+    if failure is None:
+        v.check_gates(counts)
     else:
-        with pytest.raises(v.QualityGateError):
-            v.check_gates(report)
+        with pytest.raises(v.QualityGateError, match=failure):
+            v.check_gates(counts)
 
 
 def test_report_of_nothing(spark):
