@@ -137,7 +137,7 @@ def chats(turns: DataFrame, template: ChatTemplate = CHATML) -> DataFrame:
     limit = head_turns(MAX_TEXT_CHARS, template)
     longest = turns.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
     if longest > limit:
-        turns = _leading_turns(turns, limit)
+        turns = _deciding_turns(turns, limit, template)
     in_order = F.array_sort(F.collect_list(F.struct(*TURN_ORDER)))
     message = F.transform(
         in_order, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content"))
@@ -145,16 +145,29 @@ def chats(turns: DataFrame, template: ChatTemplate = CHATML) -> DataFrame:
     return turns.groupBy("conv_id").agg(message.cast(MESSAGES).alias("messages"))
 
 
-def _leading_turns(turns: DataFrame, limit: int) -> DataFrame:
-    """First ``limit`` turns of each conversation, without one task seeing all turns of a long one.
+def _deciding_turns(turns: DataFrame, limit: int, template: ChatTemplate) -> DataFrame:
+    """At most ``limit`` turns and two more per conversation, which give the text of all its turns.
 
-    Parts of a conversation are cut first. They are told apart by input partition, which spreads copies
-    of a turn as well. Both cuts start on the map side.
+    These are the first rendered turns, the first turn that is not rendered, as it may open the chat, and
+    one turn without content, which voids it. No task sees all turns of a long conversation: parts of it
+    are cut first, told apart by input partition, which spreads copies of a turn as well.
     """
+    shown = F.coalesce(F.col("role").isin(*template.roles), F.lit(False))
+    turn = F.struct(*TURN_ORDER)
+    lone = F.array(F.min(F.when(~shown, turn)), F.min(F.when(shown, turn)))
+    others = (
+        turns.where(~shown | F.col("text").isNull())
+        .groupBy("conv_id")
+        .agg(lone.alias("lone"))
+        .select("conv_id", F.inline(F.array_compact("lone")))
+    )
+    leading = turns.where(shown & F.col("text").isNotNull())
     for parts in ([F.spark_partition_id() % TURN_SALTS], []):
         first = Window.partitionBy("conv_id", *parts).orderBy(*TURN_ORDER)
-        turns = turns.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= limit)
-    return turns
+        leading = leading.withColumn("rank", F.row_number().over(first)).where(
+            F.col("rank") <= limit
+        )
+    return leading.select("conv_id", *TURN_ORDER).unionByName(others)
 
 
 def training_rows(documents: DataFrame) -> DataFrame:

@@ -130,9 +130,12 @@ def brute_force(turns):
         by_conversation.setdefault(conv, []).append((turn, role, text))
     result = {}
     for conv, items in by_conversation.items():
-        items.sort()
+        items.sort(key=lambda t: t[:2])
+        known = [(role, text) for _, role, text in items if role in CHATML.roles]
+        if any(text is None for _, text in known):
+            continue
         text = "" if items[0][1] == "system" else SYSTEM
-        text = (text + "".join(shown(role, content) for _, role, content in items)).strip()
+        text = (text + "".join(shown(*turn) for turn in known)).strip()
         if len(text) > 40:
             result[conv] = text[:12000]
     return result
@@ -145,11 +148,16 @@ def test_hot_conversation(spark):
     turns += [(2, 3, "user", "copy")] * (2 * limit)
     turns += [(3, 0, "system", "s"), (3, 1, "user", "y" * 13000), (3, 2, "user", "z")]
     turns += [(4, t, "user", " " * 100) for t in range(limit + 1)]
+    turns += [(5, t, "tool", "not shown") for t in range(2 * limit)]
+    turns += [(5, 9000, "system", "late"), (5, 9001, "user", "shown")]
+    turns += [(6, t, "user", "x") for t in range(2 * limit)] + [(6, 9000, "user", None)]
+    turns += [(7, 0, "tool", None), (7, 1, "system", "s"), (7, 2, "user", "u" * 50)]
     frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     frame = frame.repartition(7)
     got = {r.conv_id: r.text for r in training_text(chats(frame), keep=("conv_id",)).collect()}
     assert got == brute_force(turns)
-    assert chats(frame).agg(F.max(F.size("messages"))).first()[0] == limit
+    assert set(got) == {0, 1, 2, 3, 4, 5, 7}
+    assert chats(frame).agg(F.max(F.size("messages"))).first()[0] == limit + 1
 
 
 def test_short_conversations_take_one_shuffle(spark, plan):
