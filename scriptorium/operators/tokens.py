@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+# Executors need not have this package: its functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_TOKENS = 512
 
-# Takes a batch of texts and the token limit, returns one list of ids per text.
-BatchTokenizer = Callable[[Sequence[str], int], Sequence[Sequence[int]]]
+# Takes a batch of texts and the token limit, returns one list or int32 array of ids per text.
+BatchTokenizer = Callable[[Sequence[str], int], Sequence[Sequence[int] | np.ndarray]]
 
 
 def tokenize(
@@ -30,21 +36,26 @@ def tokenize(
     schema = StructType(fields + [StructField("input_ids", ArrayType(IntegerType()))])
     kept = list(keep)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = load()
         for batch in batches:
-            out = batch[kept].copy()
-            ids = encode(batch["text"].tolist(), max_length)
-            out["input_ids"] = [list(row)[:max_length] for row in ids]
-            yield out
+            ids = encode(batch.column("text").to_pylist(), max_length)
+            column = pa.array([row[:max_length] for row in ids], pa.list_(pa.int32()))
+            yield pa.record_batch(
+                [*(batch.column(c) for c in kept), column], names=[*kept, "input_ids"]
+            )
 
-    ids = narrow.mapInPandas(run, schema)
+    ids = narrow.mapInArrow(run, schema)
     return ids.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
 
 
 def utf8_bytes() -> BatchTokenizer:
     """Byte tokenizer: each id is a byte of the UTF-8 text."""
-    return lambda texts, limit: [list(t.encode("utf-8")[:limit]) for t in texts]
+
+    def encode(texts: Sequence[str], limit: int) -> list[np.ndarray]:
+        return [np.frombuffer(t.encode()[:limit], dtype=np.uint8).astype(np.int32) for t in texts]
+
+    return encode
 
 
 def word_pieces(text: Column, max_length: int = MAX_TOKENS) -> Column:

@@ -1,6 +1,10 @@
 import json
+import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from scriptorium.operators.chat import CHATML, ChatTemplate, head_turns, render, training_text
@@ -227,6 +231,16 @@ def test_library_tokenizer(spark):
     assert tokenize(frame, load, max_length=2).first().input_ids == [1, 2]
 
 
+def test_tokenizer_travels_without_the_package(tmp_path):
+    code = "import pickle, sys; print(pickle.load(sys.stdin.buffer)()(['é'], 9)[0].tolist())"
+    sent = cloudpickle.dumps(utf8_bytes)
+    env = {k: w for k, w in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, "-c", code], input=sent, capture_output=True, cwd=tmp_path, env=env
+    )
+    assert run.stdout.decode().strip() == "[195, 169]", run.stderr
+
+
 def test_word_pieces(spark):
     frame = spark.createDataFrame([("Ab1, é" + " w" * 600,)], "text string")
     got = frame.select(word_pieces(F.col("text")).alias("p")).first().p

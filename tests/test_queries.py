@@ -40,7 +40,7 @@ def test_row_wise_queries_do_not_shuffle(spark, plan, name):
     text = plan(entry.queries()[name](spark, SF))
     assert "Exchange" not in text
     assert "BatchEvalPython" not in text
-    assert ("MapInPandas" in text) == (name == "token_ids")
+    assert ("MapInArrow" in text) == (name == "token_ids")
 
 
 @pytest.mark.parametrize("name", "raw_line_scan reject_reasons validation_report text_gate sample_count manifest".split())
