@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from scriptorium.operators import validate as v
 from scriptorium.operators.chat import CHATML, ChatTemplate, training_text
@@ -42,9 +43,14 @@ DAYS_PER_PASS = 16
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the layers of a run lie. Each layer is partitioned by ``process_date``."""
+    """Where the layers of a run lie. Each layer is partitioned by ``process_date``.
+
+    ``fmt`` is the format of the silver, gold and training layers. In a columnar one, a stage reads only
+    the columns it uses.
+    """
 
     root: str
+    fmt: str = "json"
 
     def layer(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -193,16 +199,16 @@ def process_days(
         return result
 
     rows = read_layer(spark, layout.validated, BRONZE, BRONZE_REQUIRED, days)
-    written = write_layer(silver(rows), layout.silver)
+    written = write_layer(silver(rows), layout.silver, fmt=layout.fmt)
     _finish(spark, result, "silver", layout.validated, layout.silver, written)
 
-    rows = read_layer(spark, layout.silver, SILVER, SILVER_REQUIRED, days)
-    written = write_layer(gold(rows), layout.gold)
+    rows = read_layer(spark, layout.silver, SILVER, SILVER_REQUIRED, days, fmt=layout.fmt)
+    written = write_layer(gold(rows), layout.gold, fmt=layout.fmt)
     _finish(spark, result, "gold", layout.silver, layout.gold, written)
 
-    rows = read_layer(spark, layout.gold, GOLD, days=days, strict=True)
+    rows = read_layer(spark, layout.gold, GOLD, days=days, strict=True, fmt=layout.fmt)
     messages = training_messages(rows, keep=(PARTITION,)).drop("fallback")
-    written = write_layer(messages, layout.training, days=days)
+    written = write_layer(messages, layout.training, days=days, fmt=layout.fmt)
     _finish(spark, result, "sft_train", layout.gold, layout.training, written)
     return result
 
@@ -214,7 +220,8 @@ def training_texts(
     template: ChatTemplate | None = CHATML,
 ) -> DataFrame:
     """Texts of the days' training rows, ready for a tokenizer."""
-    rows = read_layer(spark, layout.training, _with_day(TRAINING_ROW), days=days, strict=True)
+    schema = StructType([*TRAINING_ROW.fields, StructField(PARTITION, StringType())])
+    rows = read_layer(spark, layout.training, schema, days=days, strict=True, fmt=layout.fmt)
     return training_text(rows, template, keep=(PARTITION,))
 
 
@@ -254,9 +261,10 @@ def run_day(
     run_id: str = "manual",
     scale: str = feed.DEFAULT_SCALE,
     metrics_path: str | None = None,
+    fmt: str = "json",
 ) -> RunResult:
     """One daily run from landed feed files to the manifest. Running a day again replaces it."""
-    layout = Layout(root)
+    layout = Layout(root, fmt)
     extracted = extract(spark, landed, layout, day, run_id, scale)
     done = process_days(spark, layout, [day])
     if day in done.stopped:
@@ -270,8 +278,3 @@ def run_day(
         done.artifacts["eval_report"] = layout.day("eval_report", day)
     publish(spark, layout, day, run_id, done.artifacts)
     return done
-
-
-def _with_day(schema):
-    return type(schema)(list(schema.fields)).add(PARTITION, "string")
-

@@ -62,13 +62,16 @@ def read_layer(
     required: Iterable[str] = (),
     days: Sequence[str] | None = None,
     strict: bool = False,
+    fmt: str = "json",
 ) -> DataFrame:
-    """JSON lines under an explicit schema; ``days`` prunes partitions of a layer root.
+    """Rows of a layer under an explicit schema; ``days`` prunes partitions of a layer root.
 
     A line that is not JSON gives a row of nulls, or with ``strict`` stops the read.
     """
-    mode = "FAILFAST" if strict else "PERMISSIVE"
-    rows = spark.read.schema(schema).options(mode=mode, **JSON_OPTIONS).json(path)
+    reader = spark.read.schema(schema).format(fmt)
+    if fmt == "json":
+        reader = reader.options(mode="FAILFAST" if strict else "PERMISSIVE", **JSON_OPTIONS)
+    rows = reader.load(path)
     if days is not None:
         rows = rows.where(F.col(PARTITION).isin(list(days)))
     check_contract(rows, required)

@@ -27,6 +27,7 @@ def run_incremental(
     root: str,
     checkpoint: str,
     files_per_batch: int | None = None,
+    fmt: str = "json",
     results: list[RunResult] | None = None,
 ) -> StreamingQuery:
     """Bring every day with new files up to date, then stop.
@@ -35,7 +36,7 @@ def run_incremental(
     its earlier result. So a day that arrives in several batches keeps all its rows, and a batch that
     is repeated after a failure changes nothing. ``checkpoint`` must be a folder all executors share.
     """
-    layout = Layout(root)
+    layout = Layout(root, fmt)
 
     def update(batch: DataFrame, _batch_id: int) -> None:
         # One row per calendar day of the batch.

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from scriptorium.operators.training import training_messages
 from scriptorium.operators.validate import QualityGateError
 from scriptorium.plans import daily
 from scriptorium.plans import standins as st
@@ -290,3 +291,17 @@ def test_same_result_as_one_batch(spark, tmp_path):
     whole = spark.read.schema(GOLD).json(layout.gold)
     assert ours.count() == whole.count() > 0
     assert ours.exceptAll(whole).isEmpty()
+
+
+def test_columnar_layers(spark, tmp_path, plan):
+    land(str(tmp_path / "in"), DAYS[0], "f", [record(i) for i in range(4)])
+    rows = {}
+    for fmt in ("json", "parquet"):
+        layout = daily.Layout(str(tmp_path / fmt), fmt)
+        assert daily.process_days(spark, layout, DAYS[:1], raw=str(tmp_path / "in")).rows["sft_train"] == 4
+        rows[fmt] = layers.read_layer(spark, layout.gold, GOLD, days=DAYS[:1], fmt=fmt)
+    assert rows["json"].exceptAll(rows["parquet"]).isEmpty()
+    messages = training_messages(rows["parquet"])
+    assert "ReadSchema: struct<title:string,body:string>" in plan(messages)
+    texts = daily.training_texts(spark, daily.Layout(str(tmp_path / "parquet"), "parquet"), DAYS[:1])
+    assert texts.count() == 4
