@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_scratch: list[str] = []
 _local_root: tempfile.TemporaryDirectory | None = None
 
 
@@ -28,10 +30,10 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder that every executor can reach.
+    """A new scratch folder that every executor can reach; it is removed when the process ends.
 
     It lies under ``spark.checkpoint.dir``. Only a local-mode session without that setting gets a
-    temporary folder, removed when the process ends.
+    temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -41,4 +43,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         if _local_root is None:
             _local_root = tempfile.TemporaryDirectory(prefix="scriptorium-")
         root = _local_root.name
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    _scratch.append(path)
+    return path
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Delete the scratch folders this process asked for, wherever they lie."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(settings).delete(path, True)
