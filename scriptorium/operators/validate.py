@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions.iso8601 import is_iso_datetime
-from scriptorium.functions.text import at_least, generated, once, strip
-from scriptorium.sources.layers import JSON_OPTIONS
+from scriptorium.functions.text import at_least, generated, strip
+from scriptorium.sources.layers import json_object
 from scriptorium.sources.schemas import BRONZE
 
 # Fixed values of the record checks.
@@ -30,8 +30,6 @@ REASONS = (
     "bad_authors",
 )
 
-_CHECK_KEY = "__line_hash"
-
 
 class QualityGateError(RuntimeError):
     """A validated input is empty, wholly invalid, or mostly invalid."""
@@ -73,28 +71,6 @@ def _typed(rec: Column) -> Column:
     )
 
 
-def _parsed(lines: DataFrame) -> DataFrame:
-    """Add ``rec``: typed fields of the line's JSON object, null if the line is not one object.
-
-    A JSON reader stops after the first value, so ``{..}}`` or ``{..} x`` would pass. The line is
-    therefore parsed as the first element of an array whose second element holds the line's hash: what
-    comes after the first object breaks the array, or leaves more or other than these two elements.
-    """
-    keys = ", ".join(f"`{name}` variant" for name in (*BRONZE.names, _CHECK_KEY))
-    check = F.xxhash64("line").cast("string")
-    wrapped = F.concat(
-        F.lit("["), F.col("line"), F.lit(f',{{"{_CHECK_KEY}":'), check, F.lit("}]")
-    )
-    elements = F.from_json(wrapped, f"array<struct<{keys}>>", {"allowSingleQuotes": "false", **JSON_OPTIONS})
-
-    def record(e: Column) -> Column:
-        first, second = F.get(e, F.lit(0)), F.get(e, F.lit(1))
-        whole = (F.size(e) == 2) & first.isNotNull() & (_text(second[_CHECK_KEY]) == check)
-        return F.when(whole, _typed(first))
-
-    return lines.select("*", generated(once(elements, record)).alias("rec"))
-
-
 def validate(lines: DataFrame) -> DataFrame:
     """Flag each line with ``reason``: the first check it fails, or null when the record is valid.
 
@@ -116,7 +92,8 @@ def validate(lines: DataFrame) -> DataFrame:
     for name, passed in reversed(tuple(zip(REASONS, checks))):
         reason = F.when(~F.coalesce(passed, F.lit(False)), name).otherwise(reason)
     fields = [rec[name].alias(name) for name in BRONZE.names if name not in lines.columns]
-    return _parsed(lines).select(*lines.columns, reason.alias("reason"), *fields)
+    parsed = generated(json_object(F.col("line"), BRONZE.names, _typed)).alias("rec")
+    return lines.select("*", parsed).select(*lines.columns, reason.alias("reason"), *fields)
 
 
 def valid_records(validated: DataFrame) -> DataFrame:

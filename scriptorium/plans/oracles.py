@@ -185,7 +185,7 @@ def _manifest() -> str:
         "validation_report": "bool_or(ok)",
         "silver": "bool_or(ok)",
         "gold": "bool_or(ok)",
-        "sft_train": "bool_or(ok AND length(content) >= 850)",
+        "sft_train": f"bool_or(ok AND length({_strip('content')}) >= 850)",
     }
     columns = [
         f"CASE WHEN {made[a]} THEN '{a}/process_date=' || day END AS {a}"

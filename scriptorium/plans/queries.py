@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptorium.functions.text import at_least, strip
 from scriptorium.operators import report as rep
 from scriptorium.operators import validate as v
 from scriptorium.operators.chat import training_text
@@ -304,7 +305,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(PARTITION, F.lit("unknown")).alias(PARTITION), F.col("run_id")
     ).agg(
         F.bool_or(valid).alias("valid"),
-        F.bool_or(valid & (F.length("content") >= shortest)).alias("trainable"),
+        F.bool_or(valid & at_least(strip(F.col("content")), shortest)).alias("trainable"),
     )
 
     def made(name: str, when: Column) -> Column:

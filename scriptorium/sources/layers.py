@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from scriptorium.functions.text import is_blank, strip
-from scriptorium.sources.schemas import TRAINING_ROW
+from scriptorium.functions.text import generated, is_blank, once, strip
+from scriptorium.sources.schemas import MESSAGES, TRAINING_ROW
 
 PARTITION = "process_date"
 
 # The JSON reader's own bounds would turn a record with a very long text into nulls.
 JSON_OPTIONS = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
 
+_CHECK_KEY = "__line_hash"
+
 
 class ContractError(ValueError):
     """A stage's input lacks a required column."""
@@ -152,33 +154,63 @@ def write_record(record: DataFrame, path: str) -> None:
     record.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def training_rows_from_lines(lines: DataFrame) -> DataFrame:
-    """Training rows from JSON lines in column ``line``; other columns are kept.
+def json_object(line: Column, keys: Sequence[str], use: Callable[[Column], Column]) -> Column:
+    """``use`` of the wanted keys, as variants, of the JSON object in a line; null if it is not one object.
 
-    ``instruction`` is null only where the key is absent. JSON null, true and false there, and in
-    ``input`` and ``output``, become the words None, True and False.
+    A JSON reader stops after the first value, so ``{..}}`` or ``{..} x`` would pass. The line is
+    therefore parsed as the first element of an array whose second element holds the line's hash: what
+    comes after the first object breaks the array, or leaves more or other than these two elements.
     """
-    loose = ("instruction", "input", "output")
-    schema = ", ".join(
-        [f"{f.name} {f.dataType.simpleString()}" for f in TRAINING_ROW if f.name not in loose]
-        + [f"{name} variant" for name in loose]
-    )
-    kept = [c for c in lines.columns if c != "line"]
-    parsed = lines.select(
-        *kept, F.from_json("line", schema, {"mode": "FAILFAST", **JSON_OPTIONS}).alias("row")
-    )
+    fields = ", ".join(f"`{key}` variant" for key in (*keys, _CHECK_KEY))
+    check = F.xxhash64(line).cast("string")
+    wrapped = F.concat(F.lit("["), line, F.lit(f',{{"{_CHECK_KEY}":'), check, F.lit("}]"))
+    options = {"allowSingleQuotes": "false", **JSON_OPTIONS}
+
+    def used(elements: Column) -> Column:
+        first, second = F.get(elements, F.lit(0)), F.get(elements, F.lit(1))
+        found = F.try_variant_get(second[_CHECK_KEY], "$", "string")
+        whole = (F.size(elements) == 2) & first.isNotNull() & (found == check)
+        return F.when(whole, use(first))
+
+    return once(F.from_json(wrapped, f"array<struct<{fields}>>", options), used)
+
+
+def _training_fields(row: Column) -> Column:
+    def text(name: str) -> Column:
+        return F.try_variant_get(row[name], "$", "string")
 
-    def spelled(name: str):
-        value = F.col(f"row.{name}")
-        text = F.try_variant_get(value, "$", "string")
+    def kind(name: str) -> Column:
+        return F.schema_of_variant(row[name])
+
+    def spelled(name: str) -> Column:
         return (
-            F.when(F.is_variant_null(value), "None")
-            .when(F.schema_of_variant(value) == "BOOLEAN", F.initcap(text))
-            .otherwise(text)
-            .alias(name)
+            F.when(F.is_variant_null(row[name]), "None")
+            .when(kind(name) == "BOOLEAN", F.initcap(text(name)))
+            .otherwise(text(name))
         )
 
-    return parsed.select(*kept, "row.messages", "row.text", *[spelled(n) for n in loose])
+    nothing = (kind("text") != "STRING") & text("text").isin("false", "0", "0.0", "[]", "{}")
+    plain = F.when(~F.is_variant_null(row["text"]) & ~nothing, spelled("text"))
+    messages = F.try_variant_get(row["messages"], "$", MESSAGES.simpleString())
+    loose = [spelled(name).alias(name) for name in ("instruction", "input", "output")]
+    return F.struct(messages.alias("messages"), plain.alias("text"), *loose)
+
+
+def training_rows_from_lines(lines: DataFrame) -> DataFrame:
+    """Training rows from JSON lines in column ``line``; other columns are kept.
+
+    A line that is not a JSON object stops the read. ``messages`` that are not a list, and an
+    empty ``text`` of any type, count as absent. ``instruction`` is null only where the key is absent:
+    JSON null, true and false there, and in ``input`` and ``output``, become the words None, True and
+    False.
+    """
+    line = F.col("line")
+    row = json_object(line, TRAINING_ROW.names, _training_fields)
+    broken = F.raise_error(F.concat(F.lit("MALFORMED training row: "), line))
+    kept = [c for c in lines.columns if c != "line"]
+    return lines.select(*kept, generated(F.coalesce(row, broken)).alias("row")).select(
+        *kept, "row.*"
+    )
 
 
 def read_training_rows(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -121,8 +121,17 @@ def test_json_lines(spark):
     }
 
 
-def test_bad_json_line_stops_the_read(spark):
-    frame = spark.createDataFrame([("{bad",)], "line string")
+@pytest.mark.parametrize("row", [{"messages": "m"}, {"messages": [{"role": "user"}]}, {"text": 0},
+                                 {"text": None}, {"text": False}, {"text": []}, {"messages": {}, "text": ""}])
+def test_unusable_values_fall_through(spark, row):
+    line = json.dumps({**row, "instruction": LONG})
+    frame = spark.createDataFrame([(line,)], "line string")
+    assert training_text(training_rows_from_lines(frame)).first().text.startswith("### Instruction")
+
+
+@pytest.mark.parametrize("line", ["{bad", "[1]", "null", '{"text": "t"} x', '{"text": "t"}}'])
+def test_a_line_that_is_not_an_object_stops_the_read(spark, line):
+    frame = spark.createDataFrame([(line,)], "line string")
     with pytest.raises(Exception, match="MALFORMED"):
         training_rows_from_lines(frame).collect()
 
