@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import atexit
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _scratch: list[str] = []
-_local_root: tempfile.TemporaryDirectory | None = None
 
 
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
@@ -32,17 +30,14 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new scratch folder that every executor can reach; it is removed when the process ends.
 
-    It lies under ``spark.checkpoint.dir``. Only a local-mode session without that setting gets a
-    temporary folder.
+    It lies under ``spark.checkpoint.dir`` or, where a local session leaves that unset, under the
+    warehouse folder; a cluster has to name the checkpoint folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        global _local_root
-        if _local_root is None:
-            _local_root = tempfile.TemporaryDirectory(prefix="scriptorium-")
-        root = _local_root.name
+        root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "scratch")
     path = os.path.join(root, f"{name}-{uuid.uuid4().hex}")
     _scratch.append(path)
     return path
