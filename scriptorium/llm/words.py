@@ -73,24 +73,29 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
-    """Words of all texts; ``lower`` turns A-Z into a-z first."""
-    data, offsets = utf8(texts)
+def words_in(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, lower: bool = False) -> Words:
+    """Runs of bytes that ``inside`` (a table of 256) names, of texts that begin at ``offsets``."""
     if lower:
         data = _LOWER[data]
     n = len(data)
-    inside = ~_IS_SPACE[data]
+    held = inside[data]
     before, after = np.zeros(n, bool), np.zeros(n, bool)
-    before[1:], after[:-1] = inside[:-1], inside[1:]
+    before[1:], after[:-1] = held[:-1], held[1:]
     if n:
         before[offsets[:-1][offsets[:-1] < n]] = False
         after[offsets[1:][offsets[1:] > 0] - 1] = False
-    start = np.flatnonzero(inside & ~before)
-    end = np.flatnonzero(inside & ~after) + 1
+    start = np.flatnonzero(held & ~before)
+    end = np.flatnonzero(held & ~after) + 1
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_VALUE[data] * _power(_BASE, n), out=sums[1:])
     code = mix((sums[end] - sums[start]) * _power(_INVERSE, n + 1)[start])
-    return Words(len(texts), data, np.searchsorted(offsets, start, side="right") - 1, start, end, code)
+    text = np.searchsorted(offsets, start, side="right") - 1
+    return Words(len(offsets) - 1, data, text, start, end, code)
+
+
+def words_of(texts: pa.Array, lower: bool = False) -> Words:
+    """Words of all texts; ``lower`` turns A-Z into a-z first."""
+    return words_in(*utf8(texts), inside=~_IS_SPACE, lower=lower)
 
 
 def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
