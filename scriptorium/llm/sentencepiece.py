@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.words import _BASE, _INVERSE, _power, mix, slices, utf8
+from scriptorium.llm.words import _BASE, _INVERSE, _VALUE, _power, mix, slices, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -68,6 +68,10 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
             i += size
 
 
+def _slot(pairs: np.ndarray) -> np.ndarray:
+    return (pairs.astype(np.uint64) * np.uint64(_BASE)) >> np.uint64(43)
+
+
 class Model:
     """Pieces, scores and tables of a model file; picklable, of about the size of the file."""
 
@@ -110,10 +114,15 @@ class Model:
             pairs.sort()
             self.pair = np.array([k for k, _ in pairs] or [-1])
             self.pair_score = np.array([self.scores[i] for _, i in pairs] or [0.0])
+            self.maybe_pair = np.zeros(1 << 21, bool)
+            self.maybe_pair[_slot(self.pair)] = True
         self.longest = max(map(len, usable), default=1)
         hashes = self.hashes_of(usable)
         order = np.argsort(hashes)
         self.hash, self.hash_id = hashes[order], np.array([self.normal[p] for p in usable], np.int64)[order]
+        self.maybe = np.zeros(1 << 20, bool)  # by the first bits of a hash, whether any piece has them
+        self.maybe[self.hash >> np.uint64(44)] = True
+        self.parts = self._parts()
         self.lowest = min((self.scores[i] for i in self.normal.values()), default=0.0)
 
     @staticmethod
@@ -174,8 +183,7 @@ class Model:
                 out.append(" ⁇ ".encode() if kind == _UNKNOWN else piece.replace(SPACE, " ").encode())
         return out
 
-    @cached_property
-    def parts(self) -> np.ndarray:
+    def _parts(self) -> np.ndarray:
         """For two bytes of UTF-8, whether no piece has them side by side, so that no merge or piece spans the place."""
         apart = np.ones((256, 256), bool)
         apart[:, 0x80:0xC0] = False  # inside a character
@@ -190,16 +198,24 @@ class Model:
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of the pieces with these hashes, -1 where there is none."""
-        if not len(self.hash):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
-        return np.where(self.hash[at] == hashes, self.hash_id[at], -1)
+        ids = np.full(len(hashes), -1)
+        some = np.flatnonzero(self.maybe[hashes >> np.uint64(44)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.hash, hashes[some]), len(self.hash) - 1)
+            same = self.hash[at] == hashes[some]
+            ids[some[same]] = self.hash_id[at[same]]
+        return ids
 
     def _merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Scores of the pieces that the pairs merge to, -inf where there is none."""
+        score = np.full(len(a), -np.inf)
         key = a * len(self.pieces) + b
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        return np.where(self.pair[at] == key, self.pair_score[at], -np.inf)
+        some = np.flatnonzero(self.maybe_pair[_slot(key)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.pair, key[some]), len(self.pair) - 1)
+            same = self.pair[at] == key[some]
+            score[some[same]] = self.pair_score[at[same]]
+        return score
 
     def stable(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging never joins parts of piece a with parts of piece b that follows it."""
@@ -219,8 +235,9 @@ class Model:
             rest, a, b = rest[apart], a[apart], b[apart]
         return good
 
-    def _viterbi(self, units: list[str]) -> list[list[int]]:
-        """Ids of units of equally many characters; characters that no piece covers are -2 - code point."""
+    def _viterbi(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of units of equally many characters, and how many each unit has; characters that no piece covers are
+        -2 - code point."""
         n, length = len(units), len(units[0])
         points = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).reshape(n, length).astype(np.uint64)
         upto = np.zeros((n, length + 1), np.uint64)
@@ -255,45 +272,60 @@ class Model:
             reached[:, end] = best[:, end] > -np.inf
             begin[:, end] = starts[choice]
             last[:, end] = ids[row, choice]
-        out: list[list[int]] = [[] for _ in units]
-        at = np.full(n, length)
-        while (at > 0).any():
-            for i in np.flatnonzero(at > 0).tolist():
-                piece = int(last[i, at[i]])
-                out[i].append(piece if piece >= 0 else -2 - int(points[i, at[i] - 1]))
-                at[i] = begin[i, at[i]]
-        return [ids[::-1] for ids in out]
-
-    def encode_units(self, units: list[str]) -> list[np.ndarray]:
-        """Ids of each unit."""
+        # back from the end, all units at once; the ids of a unit come last first
+        owner, found = [], []
+        row, at = np.arange(n), np.full(n, length)
+        while len(row):
+            piece = last[row, at]
+            bare = piece < 0
+            piece[bare] = -2 - points[row[bare], at[bare] - 1].astype(np.int64)
+            owner.append(row), found.append(piece)
+            at = begin[row, at]
+            row, at = row[at > 0], at[at > 0]
+        owner, found = np.concatenate(owner)[::-1], np.concatenate(found)[::-1]
+        return found[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=n)
+
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the units one after the other, and how many each unit has."""
         by_length: dict[int, list[int]] = {}
-        found: list = [None] * len(units)
+        which, flat, counts = [], [], []
         for i, unit in enumerate(units):
             if self.type == BPE and (len(unit) > LONG or unit.startswith(SPACE * 2)):
-                found[i] = self.merge(unit)[0]
+                ids = np.array(self.merge(unit)[0])
+                which.append([i]), flat.append(ids), counts.append([len(ids)])
             else:
                 by_length.setdefault(len(unit), []).append(i)
-        for length, which in by_length.items():
+        for length, some in by_length.items():
             step = max(1, 400_000 // length)
-            for a in range(0, len(which), step):
-                some = which[a : a + step]
-                for i, ids in zip(some, self._viterbi([units[i] for i in some])):
-                    found[i] = ids
-        return [np.array(self._spelled(ids), np.int32) for ids in found]
-
-    def _spelled(self, ids: list[int]) -> list[int]:
-        """With uncovered characters as byte pieces, or runs of them as the unknown piece."""
-        if all(i >= 0 for i in ids):
-            return ids
-        out: list[int] = []
-        for k, i in enumerate(ids):
-            if i >= 0:
-                out.append(i)
-            elif len(self.bytes) == 256:
-                out += [self.bytes[byte] for byte in chr(-2 - i).encode()]
-            elif not k or ids[k - 1] >= 0:
-                out.append(self.unknown)
-        return out
+            for a in range(0, len(some), step):
+                ids, count = self._viterbi([units[i] for i in some[a : a + step]])
+                which.append(some[a : a + step]), flat.append(ids), counts.append(count)
+        if not units:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        which, flat, counts = np.concatenate(which), np.concatenate(flat), np.concatenate(counts)
+        flat, counts = self._spelled(flat, counts)
+        sizes = np.zeros(len(units), np.int64)
+        sizes[which] = counts
+        place = np.argsort(np.repeat(which, counts), kind="stable")
+        return flat[place].astype(np.int32), sizes
+
+    def _spelled(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """With uncovered characters as byte pieces, or runs of them in a unit as the unknown piece."""
+        bare = np.flatnonzero(ids < 0)
+        if not len(bare):
+            return ids, counts
+        owner = np.repeat(np.arange(len(counts)), counts)
+        if len(self.bytes) == 256:
+            spelled = [[self.bytes[byte] for byte in chr(-2 - i).encode()] for i in ids[bare].tolist()]
+        else:
+            follows = (bare > 0) & (ids[bare - 1] < 0) & (owner[bare - 1] == owner[bare])
+            spelled = [[] if f else [self.unknown] for f in follows]
+        many = np.ones(len(ids), np.int64)
+        many[bare] = [len(x) for x in spelled]
+        out, first = np.repeat(ids, many), np.cumsum(many) - many
+        for i, x in zip(bare.tolist(), spelled):
+            out[first[i] : first[i] + len(x)] = x
+        return out, np.bincount(owner, many, len(counts)).astype(np.int64)
 
 
 class Encoder:
@@ -301,7 +333,11 @@ class Encoder:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[int, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}  # place of a unit's code in the arrays
+        self.flat, self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the first of each text and at the end their number."""
@@ -318,24 +354,23 @@ class Encoder:
         start = np.flatnonzero(opens)
         end = np.append(start[1:], len(data))
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(mix(data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
+        np.cumsum(_VALUE[data] * _power(_BASE, len(data)), out=sums[1:])
         code = mix((sums[end] - sums[start[: len(end)]]) * _power(_INVERSE, len(data) + 1)[start]) if len(start) else np.zeros(0, np.uint64)
         keys, which, inverse = np.unique(code, return_index=True, return_inverse=True)
         keys = keys.tolist()
         if len(self.known) > REMEMBERED:
-            self.known = {}
+            self._forget()
         new = [i for i, key in enumerate(keys) if key not in self.known]
         body = data.tobytes()
-        units = [body[start[k] : end[k]].decode().replace(" ", SPACE) for k in which[new].tolist()]
-        for i, ids in zip(new, self.model.encode_units(units)):
-            self.known[keys[i]] = ids
-        held = [self.known[key] for key in keys]
-        sizes = np.fromiter(map(len, held), np.int64, len(held))
-        flat = np.concatenate([*held, np.zeros(0, np.int32)])
-        first = np.concatenate([[0], np.cumsum(sizes)])
-        many = sizes[inverse]
+        units = [body[a:b].decode().replace(" ", SPACE) for a, b in zip(start[which[new]].tolist(), end[which[new]].tolist())]
+        flat, sizes = self.model.encode_units(units)
+        self.known.update(zip((keys[i] for i in new), range(len(self.known), len(self.known) + len(new))))
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, sizes])
+        place = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[inverse]
+        many = self.size[place]
         upto = np.concatenate([[0], np.cumsum(many)])
-        ids = flat[np.arange(upto[-1]) - np.repeat(upto[:-1] - first[inverse], many)]
+        ids = self.flat[np.arange(upto[-1]) - np.repeat(upto[:-1] - self.first[place], many)]
         return ids, upto[np.searchsorted(start, offsets)]
 
     def decode(self, ids: np.ndarray) -> str:
