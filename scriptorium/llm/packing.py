@@ -30,7 +30,7 @@ from scriptorium.llm.words import slices
 
 WIDTH = 2_048
 #: Text of a shard, and rows of a block.
-SHARD_BYTES, BLOCK_ROWS = 8_000_000, 256
+SHARD_BYTES, BLOCK_ROWS = 4_000_000, 256
 
 BLOCK = (
     "shard long, block int, n_rows int, width int, id_bytes int, ids binary, cu_seqlens binary, resets binary, "

@@ -37,7 +37,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LONG = 200
 #: Units remembered by a worker.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that are turned into arrays at once.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 _LOWER = np.where((_PLAIN >= 65) & (_PLAIN <= 90), _PLAIN + 32, _PLAIN).astype(np.uint8)
