@@ -9,8 +9,9 @@ sequence is the one element, without words the set is empty. Two documents link
    of them, so if the elements are hashed into more than ``e`` groups, some group is the same in both. Sets of
    similar size use the same number of groups (a set near the next size band uses that one's as well), and every
    group's content is a key. Keys are combined in the task, met in one shuffle, and read off in order: documents
-   are joined to the smallest one that shares a key. A few spare groups make up for groups of at most one element,
-   whose keys would bring unlike documents together. The connected parts hold all links; no pair is listed.
+   are joined to the smallest one that shares a key. Some spare groups make up for groups that are empty (or
+   nearly, where groups are large), whose keys would bring unlike documents together. Shingles that many unlike
+   documents of a sample hold (lines all over the corpus) are left out of the keys, which cannot add a difference. The connected parts hold all links; no pair is listed.
 3. **R-tree.** The documents of a part meet in a task (beyond ``block_docs``, blocks of them meet two by two). Their
    elements are hashed into ``AXES`` groups, whose counts are a point; points are packed into a tree of boxes.
    Two boxes can hold a link only if the sum of their smaller upper coordinates reaches the overlap that their
@@ -43,6 +44,8 @@ AXES = 24
 LEAF, FANOUT = 32, 8
 #: Documents of one connected part, and their shingles, that a task takes from each of its two blocks.
 BLOCK_DOCS, BLOCK_SHINGLES = 6_000, 3_000_000
+#: Documents that common shingles are looked for in; unlike documents of these that must hold one; and how many count.
+COMMON_SAMPLE, COMMON_DOCS, COMMON = 8_000, 6, 30_000
 #: Keys that a task combines before it passes them on.
 COMBINE_KEYS = 1_500_000
 
@@ -76,23 +79,37 @@ def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return sizes, sums(mix(code)), sums(mix(code ^ np.uint64(0xA5A5_5A5A_C3C3_3C3C)))
 
 
-def _bands(level: int, scale: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Smallest set of each band, its differing elements at most, and its spare groups."""
+def _bands(level: int, scale: int, largest: int) -> tuple[np.ndarray, ...]:
+    """Of each band of set sizes: the smallest, differing elements at most, spare groups, and largest weak group.
+
+    Groups of at most one element are weak where groups are large on average, else empty groups only; there are as many
+    spare groups as the smallest sets of the band have weak ones, and some more.
+    """
     lows = [1]
     while len(lows) < 2 or lows[-2] <= largest:
         lows.append(max(lows[-1] + 1, int(lows[-1] * BAND)))
-    low = np.array(lows)
-    differ = 2 * (low[1:] - 1) * (scale - level) // (scale + level)
-    return low[:-1], differ, 1 + differ // 40
-
-
-def group_keys(sets: list[np.ndarray], level: int, scale: int) -> tuple[np.ndarray, np.ndarray]:
+    low, high = np.array(lows[:-1]), np.array(lows[1:]) - 1
+    differ = 2 * high * (scale - level) // (scale + level)
+    weak = (low >= 6 * (differ + 1)).astype(np.int64)
+    spare = np.zeros(len(low), np.int64)
+    for _ in range(3):  # the spare groups thin out the others a little
+        groups = differ + 1 + spare
+        mean = low / groups
+        expected = groups * np.exp(-mean) * np.where(weak, 1 + mean, 1.0)
+        spare = np.ceil(expected + 2.5 * np.sqrt(expected)).astype(np.int64) + 1
+    return low, differ, spare, weak
+
+
+def group_keys(sets: list[np.ndarray], level: int, scale: int, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(index of the set, key): sets that link have a key in common, unless they are equal."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    low, differ, spare = _bands(level, scale, int(sizes.max(initial=0)) * scale // level + 1)
+    low, differ, spare, weakest = _bands(level, scale, int(sizes.max(initial=0)) * scale // level + 1)
     own = np.searchsorted(low, sizes, side="right") - 1
     code = np.concatenate([*sets, np.zeros(0, np.uint64)])
     owner = np.repeat(np.arange(len(sets)), sizes)
+    rare = np.ones(len(code), bool)
+    if common is not None and len(common):
+        rare = common[np.minimum(np.searchsorted(common, code), len(common) - 1)] != code
     which, keys = [], []
     for band, takes in (
         (own, sizes > 0),
@@ -104,7 +121,7 @@ def group_keys(sets: list[np.ndarray], level: int, scale: int) -> tuple[np.ndarr
         base = np.concatenate([[0], np.cumsum(m)])
         if not base[-1]:
             continue
-        inside = takes[owner]
+        inside = takes[owner] & rare
         mine, values = owner[inside], mix(code[inside] + np.uint64(0x51ED_270B_9F3D))
         slot = base[mine] + (values % m[mine].astype(np.uint64)).astype(np.int64)
         count = np.bincount(slot, minlength=base[-1])
@@ -112,7 +129,7 @@ def group_keys(sets: list[np.ndarray], level: int, scale: int) -> tuple[np.ndarr
         content = halves[0].astype(np.uint64) + (halves[1].astype(np.uint64) << np.uint64(32))
         doc = np.repeat(np.arange(len(sets)), m)
         group = np.arange(base[-1]) - base[doc]
-        weak = count <= 1
+        weak = count <= weakest[band[doc]]
         few = np.bincount(doc, weak, len(sets)) <= spare[band]
         emit = ~(weak & few[doc])
         salt = mix((band[doc] * 1_000_003 + group).astype(np.uint64))
@@ -150,7 +167,22 @@ def _meet(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return key[opens], doc[opens], pairs[:, 0], pairs[:, 1]
 
 
-def _keys(shingle: int, level: int, scale: int, combine: int):
+def _held_shingles(shingle: int):
+    """(code, kind) of each shingle of each text; near copies mostly have the same kind, their smallest remixed code."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = shingle_sets(part.column("text"), shingle)
+                kinds = np.array([mix(s + np.uint64(77)).min() if len(s) else 0 for s in sets], np.uint64)
+                code = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+                kind = np.repeat(kinds, [len(s) for s in sets]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(kind)], ["code", "kind"])
+
+    return run
+
+
+def _keys(shingle: int, level: int, scale: int, combine: int, common: np.ndarray):
     """(key, doc_id, null) of each group, and (any, a, b) for documents that met in this task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +205,7 @@ def _keys(shingle: int, level: int, scale: int, combine: int):
                     if digest not in seen:
                         seen.add(digest)
                         fresh.append(i)
-                which, key = group_keys([sets[i] for i in fresh], level, scale)
+                which, key = group_keys([sets[i] for i in fresh], level, scale, common)
                 held.append((key, ids[np.array(fresh, np.int64)][which].astype(np.int64)))
                 n += len(key)
                 if n >= combine:
@@ -338,8 +370,16 @@ def similar_components(
     classed = settle(classed, "classes")
     twins = classed.filter("doc_id <> rep").select("doc_id", "rep").distinct()
 
+    # shingles of many unlike documents, from a sample of fixed size; leaving any out of the keys loses no link
+    some = classed.filter("doc_id = rep").select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(COMMON_SAMPLE)
+    seen = known.join(F.broadcast(settle(some, "some")), "doc_id").select("text")
+    told = seen.mapInArrow(_held_shingles(shingle), "code long, kind long").distinct()
+    told = told.groupBy("code").agg(F.count("*").alias("kinds"))
+    told = told.filter(F.col("kinds") >= COMMON_DOCS).orderBy(F.desc("kinds"), "code").limit(COMMON)
+    common = np.sort(np.array([r["code"] for r in told.collect()], np.int64).view(np.uint64))
+
     met = (
-        known.mapInArrow(_keys(shingle, level, scale, combine_keys), "key long, a long, b long")
+        known.mapInArrow(_keys(shingle, level, scale, combine_keys, common), "key long, a long, b long")
         .repartition("key")
         .sortWithinPartitions("key", "a")
         .mapInArrow(_neighbours, "a long, b long")
