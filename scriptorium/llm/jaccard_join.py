@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.store import components, settle
+from scriptorium.llm.store import components, settle, small_batches
 from scriptorium.llm.words import grams, mix, slices, words_of
 
 SHINGLE, LEVEL, SCALE = 5, 80, 100
@@ -361,6 +361,7 @@ def similar_components(
     combine_keys: int = COMBINE_KEYS,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document; component_id is the smallest doc_id it is linked with."""
+    small_batches(docs.sparkSession)
     known = docs.select("doc_id", "text").filter("doc_id is not null")
     signed = settle(known.mapInArrow(_signatures(shingle), "doc_id long, n_shingles long, d1 long, d2 long"), "sets")
     classes = signed.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("least"))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.sentencepiece import MODEL, _encoder, load
+from scriptorium.llm.store import small_batches
 from scriptorium.llm.words import slices
 
 WIDTH = 2_048
@@ -158,6 +159,7 @@ def _packed(width: int, id_type: str, pad: int, block_rows: int):
 
 def pack(docs: DataFrame, model: str = MODEL, width: int = WIDTH, shard_bytes: int = SHARD_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Blocks of packed ids of all texts (see above); write them as they come."""
+    small_batches(docs.sparkSession)
     loaded = load(model)
     id_type, pad = ("<u2" if len(loaded.pieces) <= 1 << 16 else "<u4"), loaded.unknown
     held = docs.sparkSession.sparkContext.broadcast(loaded)  # as large as the vocabulary, whatever the input

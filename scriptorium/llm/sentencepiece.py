@@ -31,13 +31,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.llm.store import small_batches
 from scriptorium.llm.words import _BASE, _INVERSE, _VALUE, _power, mix, slices, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LONG = 200
 #: Units remembered by a worker.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
@@ -427,6 +428,7 @@ def encode_decode(docs: DataFrame, model: str = MODEL, keep: tuple[str, ...] = (
 
     With ``digest`` the decoded text's sha256 and whether it equals the text come instead of it.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(load(model))  # as large as the vocabulary, whatever the input
     rows = docs.select(F.struct(*keep).alias("row"), "text")
     made = "decoded_sha256 string, round_trip boolean" if digest else "decoded string"

@@ -12,6 +12,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch at most.
+BATCH_BYTES = 8_000_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark cut Arrow batches by bytes, so that long texts do not add up in the executors' memory."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key).lower().removesuffix("b")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def settle(rows: DataFrame, name: str) -> DataFrame:
     """Write the rows to a new table in the shared folder and read them from there.
 

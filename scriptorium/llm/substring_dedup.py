@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.store import settle
+from scriptorium.llm.store import settle, small_batches
 from scriptorium.llm.words import Words, grams, slices, words_of
 
 WINDOW = 20
@@ -291,7 +291,7 @@ def _firsts(window: int, shard_words: int):
 
 
 def _removal(window: int, gram: int):
-    """Per row: kept words (null where nothing goes), counts and the digest of what is kept."""
+    """Per row: kept words (the text itself where nothing goes), counts and the digest of what is kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,7 +319,7 @@ def _removal(window: int, gram: int):
                         own = [w for w, s in zip(own, stay[first[i] : first[i + 1]]) if s]
                     joined = b" ".join(own)
                     digests.append(hashlib.sha256(joined).hexdigest())
-                    texts.append(joined.decode() if n_removed[i] else None)
+                    texts.append(joined.decode() if n_removed[i] else text.as_py())
                 made = [pa.array(texts, pa.string()), pa.array(n_words), pa.array(n_removed), pa.array(digests)]
                 names = ["row", "kept_text", "n_words", "n_removed", "kept_sha256"]
                 yield pa.RecordBatch.from_arrays([part.column("row"), *made], names)
@@ -338,8 +338,9 @@ def remove_repeats(
     """For every row ``row`` (a struct of the ``keep`` columns), ``kept_text``, ``n_words``, ``n_removed`` and
     ``kept_sha256``.
 
-    ``kept_text`` joins the kept words by one space; it is null where no word goes.
+    ``kept_text`` joins the kept words by one space; it is the text itself where no word goes.
     """
+    small_batches(docs.sparkSession)
     # place and anchor of all documents, written once: counted first, then joined with the repeated ones
     known = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
     anchors = settle(known.mapInArrow(_anchor_codes(window, gram), "doc_id long, anchor long"), "anchors")

@@ -23,7 +23,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.store import settle
+from scriptorium.llm.store import settle, small_batches
 from scriptorium.llm.words import Words, slices, utf8, words_in, words_of
 
 #: Labelled rows to learn from at most, and words of the learned list.
@@ -163,13 +163,14 @@ def with_features(rows: DataFrame, learned: list[int]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            texts = batch.column("row").field("text")
+            for part in slices(pa.RecordBatch.from_arrays([batch.column("row"), texts], ["row", "text"]), "text"):
                 made = features(part.column("text"), known)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), *(pa.array(c) for c in made.T.copy())], ["row", *FEATURES]
                 )
 
-    packed = rows.select("text", F.struct(*[c for c in rows.columns]).alias("row"))
+    packed = rows.select(F.struct(*rows.columns).alias("row"))
     kind = packed.schema["row"].dataType.simpleString()
     return packed.mapInArrow(run, f"row {kind}, " + ", ".join(f"{c} double" for c in FEATURES))
 
@@ -183,6 +184,7 @@ class Model:
     """Word list, trees and calibration learned from a bounded sample of labelled documents."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
+        small_batches(docs.sparkSession)
         usable = labels.filter("toxic is not null and doc_id is not null").filter(~held_out())
         usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
         # the smallest hashes: a top-k of each task, at most `sample` rows in all, so broadcasting is bounded

@@ -1,0 +1,31 @@
+"""The pipeline's stages on the smallest tables, and the registered queries against their SQL."""
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from check import connect, difference
+from scriptorium.llm import oracles, queries
+from scriptorium.llm.store import settle, table
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", queries.queries())
+def test_query_matches_sql_or_runs(spark, name):
+    ours = entry.queries()[name](spark, SF).toArrow()
+    assert len(ours) > 0
+    if name in oracles.oracle_sql():
+        assert difference(ours, connect(SF).sql(oracles.oracle_sql()[name]).to_arrow_table()) is None
+
+
+def test_stages_keep_columns_and_clean_documents(spark):
+    docs = table(spark, SF, "documents")
+    columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = settle(stage(spark, docs, SF), name)
+        left = {r.doc_id for r in docs.select("doc_id").collect()}
+        assert left <= ids and len(left) > 0.8 * len(ids)
+        ids = left
+        assert name == "sentencepiece" or docs.columns == columns
+    assert docs.columns == ["doc_id", "n_tokens", "ids", "decoded"]
