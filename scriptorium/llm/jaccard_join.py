@@ -12,7 +12,8 @@ sequence is the one element, without words the set is empty. Two documents link
    are joined to the smallest one that shares a key. Some spare groups make up for groups that are empty (or
    nearly, where groups are large), whose keys would bring unlike documents together. Shingles that many unlike
    documents of a sample hold (lines all over the corpus) are left out of the keys, which cannot add a difference. The connected parts hold all links; no pair is listed.
-3. **R-tree.** The documents of a part meet in a task (beyond ``block_docs``, blocks of them meet two by two). Their
+3. **R-tree.** The documents of a part meet in a task (a part of more than ``block_docs`` is taken by bands of set sizes,
+   and blocks of a large band meet two by two). Their
    elements are hashed into ``AXES`` groups, whose counts are a point; points are packed into a tree of boxes.
    Two boxes can hold a link only if the sum of their smaller upper coordinates reaches the overlap that their
    smallest sets need; the same holds for two points. Pairs that pass and are not connected yet are verified on
@@ -25,6 +26,7 @@ other than doc_id and text are not used; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -314,7 +316,7 @@ def linked_pairs(
 
 
 def _links(shingle: int, level: int, scale: int):
-    """Links from rows sorted by (part, one, two): the documents of blocks one and two of a connected part."""
+    """Links from rows sorted by (part, band, one, two): the documents of blocks one and two of a part."""
 
     def joined(ids: list[int], blocks: list[int], texts: list[str]) -> list[tuple[int, int]]:
         sets = []
@@ -335,12 +337,12 @@ def _links(shingle: int, level: int, scale: int):
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("part", "one", "two", "block", "doc_id", "text"))
-            for part, one, two, block, doc, text in zip(*columns):
-                if (part, one, two) != last:
+            columns = (batch.column(c).to_pylist() for c in ("part", "band", "one", "two", "block", "doc_id", "text"))
+            for part, band, one, two, block, doc, text in zip(*columns):
+                if (part, band, one, two) != last:
                     if len(held[0]) > 1:
                         found += joined(*held)
-                    last, held = (part, one, two), ([], [], [])
+                    last, held = (part, band, one, two), ([], [], [])
                 held[0].append(doc), held[1].append(block), held[2].append(text)
             if len(found) > 10_000:
                 yield out()
@@ -391,15 +393,22 @@ def similar_components(
     parts = settle(components(met, "near").withColumnRenamed("root", "part"), "parts")
 
     measured = parts.join(classed.select(F.col("doc_id").alias("node"), "n_shingles"), "node")
-    sizes = measured.groupBy("part").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("elements"))
+    counted = [F.count("*").alias("n"), F.sum("n_shingles").alias("elements")]
     blocks = F.ceil(F.greatest(F.col("n") / block_docs, F.col("elements") / BLOCK_SHINGLES))
+    # a large part is taken by bands of set sizes: a pair meets in the band of its larger set
+    band = lambda n: F.floor(F.log(n) / math.log(BAND) + 1e-9)
+    reach = F.sequence(band(F.col("n_shingles")), band(F.col("n_shingles") * (scale / level)))
+    banded = measured.join(measured.groupBy("part").agg(*counted), "part").select(
+        "node", "part", "n_shingles", F.explode(F.when(blocks > 1, reach).otherwise(F.array(F.lit(-1).cast("long")))).alias("band")
+    )
     placed = (
-        parts.join(sizes, "part")
+        banded.join(banded.groupBy("part", "band").agg(*counted), ["part", "band"])
         .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
         .select(
             F.col("node").alias("doc_id"),
             "part",
+            "band",
             "block",
             F.least("block", "other").alias("one"),
             F.greatest("block", "other").alias("two"),
@@ -407,8 +416,8 @@ def similar_components(
     )
     links = (
         known.join(placed, "doc_id")
-        .repartition("part", "one", "two")
-        .sortWithinPartitions("part", "one", "two")
+        .repartition("part", "band", "one", "two")
+        .sortWithinPartitions("part", "band", "one", "two")
         .mapInArrow(_links(shingle, level, scale), "a long, b long")
     )
     linked = components(links, "linked")
