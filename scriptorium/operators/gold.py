@@ -27,13 +27,13 @@ def body_length() -> Column:
 
 def quality_score() -> Column:
     """0.55 to 0.95, growing with the body up to the cap."""
-    gain = F.least(body_length(), F.lit(SCORE_BODY_CAP)) / SCORE_BODY_UNIT
-    return F.round(gain + SCORE_BASE, 4)
+    capped = F.least(body_length(), F.lit(SCORE_BODY_CAP))
+    return F.round(SCORE_BASE + capped / SCORE_BODY_UNIT, 4)
 
 
 def summary() -> Column:
     """Template text with the start of the title and the body length."""
-    shown = F.ifnull(F.left("title", F.lit(SUMMARY_TITLE_CHARS)), F.lit(""))
+    shown = F.coalesce(F.substring("title", 1, SUMMARY_TITLE_CHARS), F.lit(""))
     size = body_length().cast("string")
     return F.concat(F.lit(SUMMARY_START), shown, F.lit(SUMMARY_MIDDLE), size, F.lit(SUMMARY_END))
 

@@ -62,8 +62,8 @@ def resolve_scale(
 
 
 def read_feed(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Entries of landed Atom files, one row each."""
-    return spark.read.schema(FEED_ENTRY).option("rowTag", "entry").xml(path)
+    """Entries of landed Atom files, one row each; a malformed entry fails the read."""
+    return spark.read.schema(FEED_ENTRY).option("rowTag", "entry").option("mode", "FAILFAST").xml(path)
 
 
 def newest_first() -> list[Column]:

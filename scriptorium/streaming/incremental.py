@@ -14,8 +14,8 @@ def landed_stream(
 ) -> DataFrame:
     """Raw lines that arrive under ``landing/process_date=<day>/``."""
     reader = spark.readStream.format("text").schema(f"value string, {PARTITION} string")
-    # A day that is landed again replaces its files, perhaps before they were read.
-    reader = reader.option("ignoreMissingFiles", True)
+    # Files of any age count: a backfill may keep its old modification times.
+    reader = reader.option("maxFileAge", "36500d")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(landing)
