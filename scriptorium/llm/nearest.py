@@ -223,6 +223,8 @@ def nearest(
         def run(key, asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
             if first:
                 empty = pd.DataFrame({"query_id": asking["vec_id"], "embedding": asking["embedding"], "bound": np.inf})
+                for name in ("ids", "scores"):
+                    empty[name] = pd.Series([[] for _ in range(len(asking))], index=empty.index, dtype=object)
             else:
                 empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
             if not len(held) or not len(asking):
@@ -233,7 +235,9 @@ def nearest(
             who, score = search(held["vec_id"].to_numpy(), rows, query_ids, wanted, bounds, projection, k, stop)
             if first:
                 squared = (wanted * wanted).sum(axis=1) + projection.largest
-                return empty.assign(bound=squared - 2 * score[:, -1])
+                good = [w >= 0 for w in who]
+                held_ids, held_scores = [w[g] for w, g in zip(who, good)], [x[g] for x, g in zip(score, good)]
+                return empty.assign(bound=squared - 2 * score[:, -1], ids=held_ids, scores=held_scores)
             at, place = np.nonzero(who >= 0)
             return pd.DataFrame({"query_id": query_ids[at], "vec_id": who[at, place], "score": score[at, place]})
 
@@ -247,7 +251,7 @@ def nearest(
         return asking.groupBy(by).cogroup(every.groupBy(by)).applyInPandas(run, kind)
 
     home = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(5)), per_cell).cast("long"))
-    bounded = settle(meet(home, answers(True), "query_id long, embedding array<double>, bound double"), "bounds")
+    bounded = settle(meet(home, answers(True), "query_id long, embedding array<double>, bound double, ids array<long>, scores array<double>"), "bounds")
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,8 +269,11 @@ def nearest(
                 ["vec_id", "embedding", "bound", "cell", "block"],
             )
 
-    going = bounded.mapInArrow(routed, "vec_id long, embedding array<double>, bound double, cell long, block long")
+    going = bounded.drop("ids", "scores").mapInArrow(routed, "vec_id long, embedding array<double>, bound double, cell long, block long")
     found = meet(going, answers(False), "query_id long, vec_id long, score double")
+    # what the first block gave counts as well, so that no query ends with fewer than it has seen
+    told = bounded.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("query_id", "x.ids", "x.scores")
+    found = found.union(told)
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
