@@ -246,10 +246,10 @@ class CountTree:
 
     def __init__(self, sets: list[np.ndarray], members: np.ndarray):
         self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-        owner = np.repeat(np.arange(len(sets)), self.sizes)
-        axis = (mix(np.concatenate(sets)) >> np.uint64(20)) % np.uint64(AXES)
-        counts = np.bincount(owner * AXES + axis.astype(np.int64), minlength=len(sets) * AXES)
-        self.points = counts.reshape(len(sets), AXES).astype(np.int32)
+        self.points = np.zeros((len(sets), AXES), np.int32)
+        for point, codes in zip(self.points, sets):
+            axis = (mix(codes) >> np.uint64(20)) % np.uint64(AXES)
+            point[:] = np.bincount(axis.astype(np.int64), minlength=AXES)
         self.root = self._node(members)
 
     def _node(self, members: np.ndarray) -> tuple:
@@ -318,10 +318,7 @@ def linked_pairs(
 def _links(shingle: int, level: int, scale: int):
     """Links from rows sorted by (part, band, one, two): the documents of blocks one and two of a part."""
 
-    def joined(ids: list[int], blocks: list[int], texts: list[str]) -> list[tuple[int, int]]:
-        sets = []
-        for part in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"]), "text"):
-            sets += shingle_sets(part.column("text"), shingle)
+    def joined(ids: list[int], blocks: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
         block = np.array(blocks)
         left = np.flatnonzero(block == block.min())
         right = np.flatnonzero(block != block.min())
@@ -337,13 +334,16 @@ def _links(shingle: int, level: int, scale: int):
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("part", "band", "one", "two", "block", "doc_id", "text"))
-            for part, band, one, two, block, doc, text in zip(*columns):
-                if (part, band, one, two) != last:
-                    if len(held[0]) > 1:
-                        found += joined(*held)
-                    last, held = (part, band, one, two), ([], [], [])
-                held[0].append(doc), held[1].append(block), held[2].append(text)
+            # texts become sets as they arrive, so that a task holds no more than its blocks' sets
+            for piece in slices(batch, "text"):
+                columns = (piece.column(c).to_pylist() for c in ("part", "band", "one", "two", "block", "doc_id"))
+                sets = shingle_sets(piece.column("text"), shingle)
+                for part, band, one, two, block, doc, codes in zip(*columns, sets):
+                    if (part, band, one, two) != last:
+                        if len(held[0]) > 1:
+                            found += joined(*held)
+                        last, held = (part, band, one, two), ([], [], [])
+                    held[0].append(doc), held[1].append(block), held[2].append(codes)
             if len(found) > 10_000:
                 yield out()
                 found = []
