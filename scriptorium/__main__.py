@@ -71,7 +71,8 @@ def _run_day(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _incremental(spark: SparkSession, args: argparse.Namespace) -> None:
-    run_incremental(spark, args.landing, args.root, args.checkpoint).awaitTermination()
+    done = run_incremental(spark, args.landing, args.root, args.checkpoint)
+    print(done.rows if done else "nothing new")
 
 
 def parser() -> argparse.ArgumentParser:

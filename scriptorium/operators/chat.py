@@ -18,16 +18,14 @@ INSTRUCTION_HEADINGS = ("### Instruction\n", "\n### Input\n", "\n### Output\n")
 
 @dataclass(frozen=True)
 class ChatTemplate:
-    """How a list of messages becomes text.
+    """How a list of messages becomes text, whatever their roles.
 
-    Turns of other roles than ``roles`` are left out. ``default_system`` opens a chat that does not
-    start with a system turn.
+    ``default_system`` opens a chat that does not start with a system turn.
     """
 
     turn_open: str
     role_end: str
     turn_close: str
-    roles: tuple[str, ...]
     default_system: str | None = None
 
     def turn(self, role: Column, content: Column) -> Column:
@@ -41,17 +39,12 @@ CHATML = ChatTemplate(
     turn_open="<|im_start|>",
     role_end="\n",
     turn_close="<|im_end|>\n",
-    roles=("system", "user", "assistant"),
     default_system="You are Qwen, created by Alibaba Cloud. You are a helpful assistant.",
 )
 
 
 def render(messages: Column, template: ChatTemplate = CHATML) -> Column:
-    """Chat text without a generation prompt; null for no messages or a turn without content."""
-
-    def shown(m: Column) -> Column:
-        return F.coalesce(m["role"].isin(*template.roles), F.lit(False))
-
+    """Chat text without a generation prompt; null for no messages or a turn without role or content."""
     opening = F.lit("")
     if template.default_system is not None:
         has_system = F.coalesce(F.get(messages, F.lit(0))["role"] == "system", F.lit(False))
@@ -60,13 +53,11 @@ def render(messages: Column, template: ChatTemplate = CHATML) -> Column:
         )
 
     def joined(turns: Column) -> Column:
-        # A turn without content renders as null.
+        # A turn without role or content renders as null.
         complete = F.forall(turns, lambda turn: turn.isNotNull())
         return F.when(complete, F.concat(opening, F.array_join(turns, "")))
 
-    turns = F.transform(
-        F.filter(messages, shown), lambda m: template.turn(m["role"], m["content"])
-    )
+    turns = F.transform(messages, lambda m: template.turn(m["role"], m["content"]))
     return F.when(F.size(messages) > 0, once(turns, joined))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -175,10 +176,16 @@ def finish_stage(spark: SparkSession, stage: str, rows: int, source: str, target
 
 
 def _finish(
-    spark: SparkSession, result: RunResult, stage: str, source: str, target: str, rows: int
+    spark: SparkSession, result: RunResult, stage: str, source: str, target: str, rows: dict[str, int]
 ) -> None:
-    finish_stage(spark, stage, rows, source, target)
-    result.rows[stage] = rows
+    """Record the rows of each day beside the layer; a later run for other days leaves them."""
+    app = spark.sparkContext.appName
+    metas = [
+        stage_meta(spark, StageMeta(n, "pyspark", app, source, target)).withColumn(PARTITION, F.lit(day))
+        for day, n in rows.items()
+    ]
+    write_layer(reduce(DataFrame.unionByName, metas).coalesce(1), f"{target}/_meta")
+    result.rows[stage] = result.rows.get(stage, 0) + sum(rows.values())
 
 
 def process_days(
@@ -191,26 +198,35 @@ def process_days(
 
     Each stage reads what the one before wrote, so a lost executor costs one stage's tasks at most. No
     stage shuffles: a layer's files lie by day already, so a task writes to one day or a few. Writing
-    replaces these days and no others. A day that fails a gate stops there; the others go on.
+    replaces these days and no others. A day that fails a gate stops there; the others go on. The rows
+    of each stage are recorded per day.
     """
     result = RunResult(stopped=validate_days(spark, layout, days, raw))
     days = [d for d in days if d not in result.stopped]
-    if not days:
-        return result
+    for start in range(0, len(days), DAYS_PER_PASS):
+        _later_stages(spark, layout, days[start : start + DAYS_PER_PASS], result)
+    for stage, rows in result.rows.items():
+        require_rows(rows, stage)
+    return result
+
 
+def _later_stages(
+    spark: SparkSession, layout: Layout, days: Sequence[str], result: RunResult
+) -> None:
+    """Silver, gold and training layer of a few days."""
     rows = read_layer(spark, layout.validated, BRONZE, BRONZE_REQUIRED, days)
-    written = write_layer(silver(rows), layout.silver, fmt=layout.fmt)
+    written: dict[str, int] = {}
+    write_layer(silver(rows), layout.silver, days=days, fmt=layout.fmt, per_day=written)
     _finish(spark, result, "silver", layout.validated, layout.silver, written)
 
     rows = read_layer(spark, layout.silver, SILVER, SILVER_REQUIRED, days, fmt=layout.fmt)
-    written = write_layer(gold(rows), layout.gold, fmt=layout.fmt)
+    write_layer(gold(rows), layout.gold, days=days, fmt=layout.fmt, per_day=written)
     _finish(spark, result, "gold", layout.silver, layout.gold, written)
 
     rows = read_layer(spark, layout.gold, GOLD, days=days, strict=True, fmt=layout.fmt)
     messages = training_messages(rows, keep=(PARTITION,)).drop("fallback")
-    written = write_layer(messages, layout.training, days=days, fmt=layout.fmt)
+    write_layer(messages, layout.training, days=days, fmt=layout.fmt, per_day=written)
     _finish(spark, result, "sft_train", layout.gold, layout.training, written)
-    return result
 
 
 def training_texts(

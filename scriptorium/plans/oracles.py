@@ -6,15 +6,41 @@ planting rules of the stand-ins and computes the result in one go.
 
 from __future__ import annotations
 
-from scriptorium.functions.text import WHITESPACE
-from scriptorium.operators.chat import CHATML
-from scriptorium.operators.report import ARTIFACTS, EVAL_NOTES
-
-_WS = f"'{WHITESPACE}'"
+# Fixed values, written out here so that a wrong constant in the operators shows.
+_WS = (
+    "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(32)"
+    " || chr(133) || chr(160) || chr(5760) || chr(8192) || chr(8193) || chr(8194) || chr(8195) || chr(8196)"
+    " || chr(8197) || chr(8198) || chr(8199) || chr(8200) || chr(8201) || chr(8202) || chr(8232) || chr(8233)"
+    " || chr(8239) || chr(8287) || chr(12288)"
+)
+_EVAL_NOTES = "Метрики с train; отдельный test split не использовался."
+_ARTIFACTS = (
+    "bronze_raw",
+    "bronze_validated",
+    "validation_report",
+    "silver",
+    "gold",
+    "sft_train",
+    "qwen_checkpoint_dir",
+    "qwen_train_manifest",
+    "qwen_metrics",
+    "eval_report",
+)
+_DEFAULT_SYSTEM = "You are Qwen, created by Alibaba Cloud. You are a helpful assistant."
 
 
 def _strip(expr: str) -> str:
-    return f"trim({expr}, {_WS})"
+    return f"trim({expr}, ({_WS}))"
+
+
+def _share(part: str, total: str) -> str:
+    """Share to four places from whole numbers, halves to even."""
+    rest = f"2 * ({part} * 10000 % {total})"
+    whole = f"{part} * 10000 // {total}"
+    return (
+        f"({whole} + CASE WHEN {rest} > {total} OR ({rest} = {total} AND ({whole}) % 2 = 1) "
+        f"THEN 1 ELSE 0 END) / 10000.0::DOUBLE"
+    )
 
 
 _PUBLISHED = (
@@ -29,7 +55,7 @@ bronze AS (
   SELECT doc_id,
          CASE WHEN doc_id % 23 = 0 THEN 'http://example.com/abs/' ELSE 'http://arxiv.org/abs/' END
            || CAST(doc_id AS VARCHAR) AS url,
-         CASE WHEN doc_id % 31 = 0 THEN 'abc' ELSE substr(text, 1, 90) END AS title,
+         CASE WHEN doc_id % 31 = 0 THEN 'abc' ELSE split_part(text, chr(10), 1) END AS title,
          text AS content,
          CASE WHEN doc_id % 5 <> 0 THEN source || '|' || lang ELSE '' END AS authors,
          CASE WHEN doc_id % 5 <> 0 THEN 2 ELSE 0 END AS n_authors,
@@ -125,7 +151,7 @@ def _turn(role: str, content: str) -> str:
     return f"'<|im_start|>' || {role} || chr(10) || {content} || '<|im_end|>' || chr(10)"
 
 
-_SYSTEM = _turn("'system'", f"'{CHATML.default_system}'")
+_SYSTEM = _turn("'system'", f"'{_DEFAULT_SYSTEM}'")
 
 
 def _gated(select: str, rows: str, text: str = "raw_text") -> str:
@@ -143,13 +169,13 @@ def _forms(chat: bool) -> str:
     return f"""
 forms AS (
   SELECT doc_id,
-         CASE doc_id % 6 WHEN 0 THEN {message}
-                         WHEN 1 THEN {_strip('doc')} WHEN 2 THEN {_strip('doc')} WHEN 4 THEN {_strip('doc')}
-                         WHEN 3 THEN {layout} END AS raw_text
-  FROM (SELECT *, CASE WHEN doc_id % 11 = 0
-                       THEN substr(text, 1, 1) || repeat('x', CAST(doc_id % 9 + 36 AS BIGINT))
-                       ELSE text END AS doc
-        FROM documents))
+         CASE form WHEN 0 THEN {message}
+                   WHEN 1 THEN {_strip('doc')} WHEN 2 THEN {_strip('doc')} WHEN 4 THEN {_strip('doc')}
+                   WHEN 3 THEN {layout} END AS raw_text
+  FROM (SELECT doc_id, text AS doc, doc_id % 5 AS form, lang, source FROM documents
+        UNION ALL
+        SELECT -1 - doc_id, repeat('x', CAST(doc_id % 9 + 36 AS BIGINT)), doc_id % 5, lang, source
+        FROM documents WHERE doc_id % 11 = 0))
 """
 
 
@@ -158,7 +184,7 @@ _PLAIN = f"texts AS ({_gated('doc_id, lang', 'documents', 'text')})"
 _CATEGORIES = "['cs.AI', 'cs.CL', 'cs.LG', 'cs.DB', 'math.CO']"
 _ENTRIES = f"""
 entries AS (
-  SELECT doc_id, 'http://arxiv.org/abs/' || CAST(doc_id AS VARCHAR) AS id, substr(text, 1, 90) AS title,
+  SELECT doc_id, 'http://arxiv.org/abs/' || CAST(doc_id AS VARCHAR) AS id, split_part(text, chr(10), 1) AS title,
          CASE WHEN doc_id % 29 <> 0 THEN {_PUBLISHED} END AS published
   FROM documents
   WHERE list_has_any([list_extract({_CATEGORIES}, doc_id % 5 + 1),
@@ -191,7 +217,7 @@ def _manifest() -> str:
         f"CASE WHEN {made[a]} THEN '{a}/process_date=' || day END AS {a}"
         if a in made
         else f"CAST(NULL AS VARCHAR) AS {a}"
-        for a in ARTIFACTS
+        for a in _ARTIFACTS
     ]
     return f"""WITH {_FLAGGED},
 days AS (SELECT *, reason IS NULL AS ok,
@@ -225,7 +251,7 @@ SELECT id, title, published FROM entries ORDER BY published DESC NULLS LAST, id
 SELECT id, title, published FROM entries ORDER BY published DESC NULLS LAST, id LIMIT 20 OFFSET 20""",
         "atom_ingest": f"""
 SELECT 'arxiv' AS source, 'http://arxiv.org/abs/' || CAST(doc_id AS VARCHAR) AS url,
-       {_strip('substr(text, 1, 90)')} AS title, {_strip('text')} AS content,
+       {_strip('split_part(text, chr(10), 1)')} AS title, {_strip('text')} AS content,
        CASE WHEN doc_id % 5 <> 0 THEN source || '|' || lang ELSE '' END AS authors,
        CASE WHEN doc_id % 29 <> 0 THEN {_PUBLISHED} ELSE '' END AS published_at,
        {_PUBLISHED} AS updated_at, '2026-01-01' AS process_date, 'run' AS run_id
@@ -239,7 +265,7 @@ FROM valid""",
         "validation_report": f"""WITH {_FLAGGED}
 SELECT 'raw' AS raw_path, 'validated' AS validated_path, count(*) AS total_lines,
        count(*) - count(reason) AS valid, count(reason) AS invalid,
-       round(count(reason) / count(*), 4) AS invalid_ratio
+       {_share('count(reason)', 'count(*)')} AS invalid_ratio
 FROM flagged""",
         "reject_reasons": f"""WITH {_FLAGGED}
 SELECT reason, count(*) AS n FROM flagged WHERE reason IS NOT NULL GROUP BY reason""",
@@ -249,7 +275,7 @@ counts AS (
               ELSE 'rest' END AS delivery,
          count(*) AS total_lines, count(*) - count(reason) AS valid, count(reason) AS invalid
   FROM flagged GROUP BY delivery)
-SELECT *, round(invalid / total_lines, 4) AS invalid_ratio,
+SELECT *, {_share('invalid', 'total_lines')} AS invalid_ratio,
        CASE WHEN valid = 0 THEN 'no valid records'
             WHEN invalid / total_lines > 0.5 THEN 'too many invalid lines' END AS failure
 FROM counts""",
@@ -286,7 +312,7 @@ WHERE length({_strip('raw_text')}) > 40 GROUP BY process_date""",
         "eval_report": f"""WITH {_LOSSES}
 SELECT process_date, FALSE AS mock, train_loss, perplexity_estimate,
        'metrics/' || CAST(doc_id AS VARCHAR) AS metrics_source, 'cpu' AS device, model_name,
-       '{EVAL_NOTES}' AS notes
+       '{_EVAL_NOTES}' AS notes
 FROM priced""",
         "train_manifest": f"""WITH {_LOSSES}
 SELECT doc_id, 'finished_micro_sft' AS status, FALSE AS mock, 'models/' || CAST(doc_id AS VARCHAR) AS checkpoint_dir,
@@ -298,7 +324,7 @@ FROM priced""",
         "lines_to_text": f"{chain_texts} {_gated('url', 'chats')}",
         "incremental": valid_gold,
         "stage_rows": f"""{chain}
-SELECT 'silver' AS stage, count(*) AS rows, 'pyspark' AS engine FROM silver
-UNION ALL SELECT 'gold', count(*), 'pyspark' FROM gold
-UNION ALL SELECT 'sft_train', count(*), 'pyspark' FROM messages""",
+SELECT 'silver' AS stage, process_date, count(*) AS rows, 'pyspark' AS engine FROM silver GROUP BY process_date
+UNION ALL SELECT 'gold', process_date, count(*), 'pyspark' FROM gold GROUP BY process_date
+UNION ALL SELECT 'sft_train', process_date, count(*), 'pyspark' FROM messages GROUP BY process_date""",
     }

@@ -351,29 +351,29 @@ def _landed_days(spark: SparkSession, sf_dir: str) -> str:
     landing = shared_dir(spark, "landing")
     lines = st.raw_lines(_documents(spark, sf_dir))
     days = lines.select(F.col("line").alias("value"), st.day().alias(PARTITION))
-    write_layer(days, landing, fmt="text")
+    write_layer(days, landing, fmt="text", rebalance=True)
     return landing
 
 
 @_query
 def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold layer after a streaming run over landed days."""
+    """Gold layer after an incremental run over landed days."""
     root = shared_dir(spark, "layers")
     landing = _landed_days(spark, sf_dir)
-    run_incremental(spark, landing, root, shared_dir(spark, "stream")).awaitTermination()
+    run_incremental(spark, landing, root, shared_dir(spark, "seen"))
     return _flat(read_layer(spark, Layout(root).gold, GOLD))
 
 
 @_query
 def stage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that each stage of a run over three days reports in its metadata."""
+    """Rows per day that each stage of a run over three days reports in its metadata."""
     layout = Layout(shared_dir(spark, "layers"))
     days = ["2026-01-01", "2026-01-02", "2026-01-03"]
     process_days(spark, layout, days, raw=_landed_days(spark, sf_dir))
     stages = [
-        spark.read.schema("rows bigint, engine string")
+        spark.read.schema(f"rows bigint, engine string, {PARTITION} string")
         .json(f"{layout.layer(stage)}/_meta")
-        .select(F.lit(stage).alias("stage"), "rows", "engine")
+        .select(F.lit(stage).alias("stage"), PARTITION, "rows", "engine")
         for stage in ("silver", "gold", "sft_train")
     ]
     return stages[0].unionByName(stages[1]).unionByName(stages[2])

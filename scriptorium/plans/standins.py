@@ -14,6 +14,8 @@ from scriptorium.operators.chat import CHATML, MAX_TEXT_CHARS, ChatTemplate, hea
 from scriptorium.sources.schemas import BRONZE, MESSAGES, METRICS
 
 TURN_SALTS = 64
+# Default of spark.sql.optimizer.windowGroupLimitThreshold.
+MAP_SIDE_TURNS = 1000
 TURN_ORDER = ("turn", "role", "text")
 
 
@@ -30,6 +32,11 @@ def day() -> Column:
     return F.concat(F.lit("2026-01-0"), (1 + F.col("doc_id") % 3).cast("string"))
 
 
+def _title() -> Column:
+    """The whole first line."""
+    return F.substring_index("text", "\n", 1)
+
+
 def _published() -> Column:
     month = F.lpad((1 + F.col("doc_id") % 12).cast("string"), 2, "0")
     of_month = F.lpad((1 + F.col("doc_id") % 28).cast("string"), 2, "0")
@@ -44,7 +51,7 @@ def bronze(documents: DataFrame) -> DataFrame:
         "doc_id",
         F.lit("arxiv").alias("source"),
         F.concat(host, F.col("doc_id").cast("string")).alias("url"),
-        F.when(_every(31), "abc").otherwise(F.substring("text", 1, 90)).alias("title"),
+        F.when(_every(31), "abc").otherwise(_title()).alias("title"),
         F.col("text").alias("content"),
         F.when(~_every(5), F.array("source", "lang")).alias("authors"),
         published.alias("published_at"),
@@ -103,7 +110,7 @@ def feed_entries(documents: DataFrame) -> DataFrame:
     return documents.select(
         "doc_id",
         F.concat(F.lit("http://arxiv.org/abs/"), F.col("doc_id").cast("string")).alias("id"),
-        F.substring("text", 1, 90).alias("title"),
+        _title().alias("title"),
         F.col("text").alias("summary"),
         F.when(~_every(29), _published()).alias("published"),
         _published().alias("updated"),
@@ -129,57 +136,55 @@ def write_feed(entries: DataFrame, path: str) -> None:
 def chats(turns: DataFrame, template: ChatTemplate = CHATML) -> DataFrame:
     """``messages`` per conversation: the leading turns that decide its training text.
 
-    A training text ends at 12,000 characters and every rendered turn takes up some, so the turns after
-    the first few hundred cannot show, and the text is the same as for the whole conversation. The
-    longest conversation is counted first, over the key column alone. Unless it exceeds that number,
-    whole conversations are collected, with one shuffle.
-    """
-    limit = head_turns(MAX_TEXT_CHARS, template)
-    longest = turns.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
-    if longest > limit:
-        turns = _deciding_turns(turns, limit, template)
-    in_order = F.array_sort(F.collect_list(F.struct(*TURN_ORDER)))
-    message = F.transform(
-        in_order, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content"))
-    )
-    return turns.groupBy("conv_id").agg(message.cast(MESSAGES).alias("messages"))
-
+    A training text ends at 12,000 characters and every turn takes up some, so the turns after the first
+    few hundred cannot show, and the text is the same as for the whole conversation; one turn without
+    role or content, which voids a chat, is kept wherever it stands. This is one plan for conversations
+    of any length: parts of a conversation, told apart by input partition, are cut before the whole, in
+    the task that reads them and again after the shuffle, so no task sees all turns of a long one.
 
-def _deciding_turns(turns: DataFrame, limit: int, template: ChatTemplate) -> DataFrame:
-    """At most ``limit`` turns and two more per conversation, which give the text of all its turns.
-
-    These are the first rendered turns, the first turn that is not rendered, as it may open the chat, and
-    one turn without content, which voids it. No task sees all turns of a long conversation: parts of it
-    are cut first, told apart by input partition, which spreads copies of a turn as well.
+    Spark cuts before the shuffle up to MAP_SIDE_TURNS; a template with so little markup that more turns
+    can show is refused.
     """
-    shown = F.coalesce(F.col("role").isin(*template.roles), F.lit(False))
-    turn = F.struct(*TURN_ORDER)
-    lone = F.array(F.min(F.when(~shown, turn)), F.min(F.when(shown, turn)))
-    others = (
-        turns.where(~shown | F.col("text").isNull())
-        .groupBy("conv_id")
-        .agg(lone.alias("lone"))
-        .select("conv_id", F.inline(F.array_compact("lone")))
-    )
-    leading = turns.where(shown & F.col("text").isNotNull())
+    limit = head_turns(MAX_TEXT_CHARS, template)
+    if limit > MAP_SIDE_TURNS:
+        raise ValueError(f"the markup lets {limit} turns show, more than {MAP_SIDE_TURNS}")
+    whole = F.col("role").isNotNull() & F.col("text").isNotNull()
+    voids = turns.where(~whole).groupBy("conv_id").agg(F.min(F.struct(*TURN_ORDER)).alias("void"))
+    leading = turns.where(whole)
     for parts in ([F.spark_partition_id() % TURN_SALTS], []):
         first = Window.partitionBy("conv_id", *parts).orderBy(*TURN_ORDER)
         leading = leading.withColumn("rank", F.row_number().over(first)).where(
             F.col("rank") <= limit
         )
-    return leading.select("conv_id", *TURN_ORDER).unionByName(others)
+    deciding = leading.select("conv_id", *TURN_ORDER).unionByName(voids.select("conv_id", "void.*"))
+    in_order = F.array_sort(F.collect_list(F.struct(*TURN_ORDER)))
+    message = F.transform(
+        in_order, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content"))
+    )
+    return deciding.groupBy("conv_id").agg(message.cast(MESSAGES).alias("messages"))
 
 
 def training_rows(documents: DataFrame) -> DataFrame:
-    """Training rows with ``doc_id`` in the accepted forms: messages, text, instruction, or none usable.
+    """Training rows with ``doc_id`` in the accepted forms: messages, text and instruction.
 
-    Texts are whole documents; every eleventh is cut to around the length gate.
+    Every document goes through whole. Further rows, with a negative id, have texts around the length
+    gate or nothing usable.
     """
-    doc = F.when(
-        _every(11),
-        F.concat(F.substring("text", 1, 1), F.repeat(F.lit("x"), (F.col("doc_id") % 9 + 36).cast("int"))),
-    ).otherwise(F.col("text"))
-    form = F.col("doc_id") % 6
+    own, extra = F.col("doc_id"), -1 - F.col("doc_id")
+    around = F.repeat(F.lit("x"), (own % 9 + 36).cast("int"))
+
+    def row(doc_id: Column, doc: Column, form: Column) -> Column:
+        return F.struct(doc_id.alias("doc_id"), doc.alias("doc"), form.cast("int").alias("form"))
+
+    rows = F.array_compact(
+        F.array(
+            row(own, F.col("text"), own % 5),
+            F.when(_every(11), row(extra, around, own % 5)),
+            F.when(_every(6), row(extra, F.lit(None).cast("string"), F.lit(5))),
+        )
+    )
+    documents = documents.select("lang", "source", F.inline(rows))
+    form = F.col("form")
     user = F.struct(F.lit("user").alias("role"), F.col("doc").alias("content"))
     empty_turn = F.struct(F.lit("user").alias("role"), F.lit(None).cast("string").alias("content"))
     messages = (
@@ -187,7 +192,7 @@ def training_rows(documents: DataFrame) -> DataFrame:
         .when(form == 1, F.array().cast(MESSAGES))
         .when(form == 4, F.array(empty_turn))
     )
-    return documents.withColumn("doc", doc).select(
+    return documents.select(
         "doc_id",
         messages.cast(MESSAGES).alias("messages"),
         F.when(form.isin(1, 2, 4), F.concat(F.lit(" "), "doc", F.lit("\n")))

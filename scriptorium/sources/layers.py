@@ -107,6 +107,7 @@ def write_layer(
     fmt: str = "json",
     rows_per_file: int | None = None,
     rebalance: bool = False,
+    per_day: dict[str, int] | None = None,
 ) -> int:
     """Write days of a layer, replacing those days only, and return the number of rows written.
 
@@ -114,15 +115,19 @@ def write_layer(
     goes to its own ``process_date``. ``days`` names the days the rows stand for: one that turns out to
     have no rows is emptied, where it would keep its earlier rows otherwise. ``rebalance`` evens out
     file sizes by a shuffle that splits a large day over tasks; use it when many days are written at
-    once from input that is not laid out by day.
+    once from input that is not laid out by day. ``per_day`` receives the rows of each of ``days``.
     """
     if day is not None:
         rows = rows.withColumn(PARTITION, F.lit(day))
     if rebalance:
         rows = rows.hint("rebalance", PARTITION)
     written = Observation()
+    each = [F.count(F.when(F.col(PARTITION) == d, 1)).alias(f"day_{i}") for i, d in enumerate(days)]
     counted = rows.observe(
-        written, F.count(F.lit(1)).alias("rows"), F.collect_set(PARTITION).alias("days")
+        written,
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set(PARTITION).alias("days"),
+        *(each if per_day is not None else []),
     )
     writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
@@ -131,6 +136,8 @@ def write_layer(
     for empty in sorted(set(days) - set(written.get["days"])):
         nothing = rows.sparkSession.createDataFrame([], rows.drop(PARTITION).schema)
         nothing.write.mode("overwrite").format(fmt).save(f"{root}/{PARTITION}={empty}")
+    if per_day is not None:
+        per_day.update({d: written.get[f"day_{i}"] for i, d in enumerate(days)})
     return written.get["rows"]
 
 

@@ -1,57 +1,55 @@
-"""Incremental runs: new files in a landing folder bring their days up to date."""
+"""Incremental runs: new and changed files in a landing folder bring their days up to date."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
 
 from scriptorium.plans.daily import Layout, RunResult, process_days
-from scriptorium.sources.layers import PARTITION
+from scriptorium.sources.layers import PARTITION, write_layer
 
+#: What tells one state of a landed file from another, and its day.
+LANDED = f"path string, modificationTime timestamp, length long, {PARTITION} string"
 
-def landed_stream(
-    spark: SparkSession, landing: str, files_per_batch: int | None = None
-) -> DataFrame:
-    """Raw lines that arrive under ``landing/process_date=<day>/``."""
-    reader = spark.readStream.format("text").schema(f"value string, {PARTITION} string")
-    # Files of any age count: a backfill may keep its old modification times.
-    reader = reader.option("maxFileAge", "36500d")
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(landing)
+
+def landed_files(spark: SparkSession, landing: str) -> DataFrame:
+    """Path, time, size and day of each file under ``landing/process_date=<day>/``; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
+    day = F.regexp_extract("path", f"/{PARTITION}=([^/]+)/[^/]*$", 1)
+    return files.select("path", "modificationTime", "length", day.alias(PARTITION))
+
+
+def _seen_files(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(LANDED).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LANDED)
 
 
 def run_incremental(
-    spark: SparkSession,
-    landing: str,
-    root: str,
-    checkpoint: str,
-    files_per_batch: int | None = None,
-    fmt: str = "json",
-    results: list[RunResult] | None = None,
-) -> StreamingQuery:
-    """Bring every day with new files up to date, then stop.
-
-    A batch names the days it touches; each of them is worked out again from all its files and replaces
-    its earlier result. So a day that arrives in several batches keeps all its rows, and a batch that
-    is repeated after a failure changes nothing. ``checkpoint`` must be a folder all executors share.
+    spark: SparkSession, landing: str, root: str, checkpoint: str, fmt: str = "json"
+) -> RunResult | None:
+    """Bring every day whose landed files changed up to date; None if there is none.
+
+    A file counts as changed when its time or size did, so a day landed again under the same name is
+    taken, and one with an old time as well. Each changed day is worked out once, from all its files, and
+    replaces its earlier result. What was seen is taken down before the work and kept in ``checkpoint``
+    after it: a run that fails is repeated, and a file that changes meanwhile is taken by the next run. A
+    file that vanishes meanwhile stops the run. ``checkpoint`` must be a folder all executors share.
     """
-    layout = Layout(root, fmt)
-
-    def update(batch: DataFrame, _batch_id: int) -> None:
-        # One row per calendar day of the batch.
-        days = [r[0] for r in batch.select(PARTITION).distinct().orderBy(PARTITION).collect()]
-        if None in days:
-            raise ValueError(f"lines under {landing} outside of a day")
-        if days:
-            done = process_days(batch.sparkSession, layout, days, raw=landing)
-            if results is not None:
-                results.append(done)
-
-    return (
-        landed_stream(spark, landing, files_per_batch)
-        .writeStream.foreachBatch(update)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    listing, seen_at = f"{checkpoint}/listing", f"{checkpoint}/files"
+    landed_files(spark, landing).write.mode("overwrite").parquet(listing)
+    now, seen = spark.read.schema(LANDED).parquet(listing), _seen_files(spark, seen_at)
+    changed = now.subtract(seen).union(seen.subtract(now))
+    # One row per calendar day that changed.
+    days = [r[0] for r in changed.select(PARTITION).distinct().orderBy(PARTITION).collect()]
+    if "" in days:
+        raise ValueError(f"files under {landing} outside of a day")
+    if not days:
+        return None
+    done = process_days(spark, Layout(root, fmt), days, raw=landing)
+    write_layer(now.where(F.col(PARTITION).isin(days)), seen_at, days=days, fmt="parquet")
+    return done

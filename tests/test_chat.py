@@ -36,9 +36,12 @@ def texts(spark, rows, **options):
         ([("system", "s"), ("user", "q")], shown("system", "s") + shown("user", "q")),
         ([("user", "q"), ("system", "s")], SYSTEM + shown("user", "q") + shown("system", "s")),
         ([("user", "")], SYSTEM + shown("user", "")),
-        ([("user", "q"), ("critic", "c"), (None, "n")], SYSTEM + shown("user", "q")),
+        ([("user", "q"), ("critic", "c")], SYSTEM + shown("user", "q") + shown("critic", "c")),
+        ([("user", "q"), ("critic", "c"), (None, "n")], None),
         ([("user", None)], None),
-        ([("critic", None), ("user", "100% {x}")], SYSTEM + shown("user", "100% {x}")),
+        ([("critic", None), ("user", "100% {x}")], None),
+        ([(None, "a"), ("user", "b")], None),
+        ([("user", "100% {x}"), ("tool", "r")], SYSTEM + shown("user", "100% {x}") + shown("tool", "r")),
         ([], None),
         (None, None),
     ],
@@ -49,9 +52,9 @@ def test_render(spark, messages, expected):
 
 
 def test_other_template(spark):
-    plain = ChatTemplate("<", ":", ">", roles=("user",))
+    plain = ChatTemplate("<", ":", ">")
     row = training_rows(spark, [{"messages": [("user", "a"), ("user", "b"), ("system", "c")]}])
-    assert row.select(render(F.col("messages"), plain).alias("t")).first().t == "<user:a><user:b>"
+    assert row.select(render(F.col("messages"), plain).alias("t")).first().t == "<user:a><user:b><system:c>"
 
 
 def test_gate_boundary(spark):
@@ -143,9 +146,9 @@ def brute_force(turns):
         by_conversation.setdefault(conv, []).append((turn, role, text))
     result = {}
     for conv, items in by_conversation.items():
-        items.sort(key=lambda t: t[:2])
-        known = [(role, text) for _, role, text in items if role in CHATML.roles]
-        if any(text is None for _, text in known):
+        items.sort(key=lambda t: (t[0], t[1] or "", t[2] or ""))
+        known = [(role, text) for _, role, text in items]
+        if any(None in turn for turn in known):
             continue
         text = "" if items[0][1] == "system" else SYSTEM
         text = (text + "".join(shown(*turn) for turn in known)).strip()
@@ -161,7 +164,7 @@ def test_hot_conversation(spark):
     turns += [(2, 3, "user", "copy")] * (2 * limit)
     turns += [(3, 0, "system", "s"), (3, 1, "user", "y" * 13000), (3, 2, "user", "z")]
     turns += [(4, t, "user", " " * 100) for t in range(limit + 1)]
-    turns += [(5, t, "tool", "not shown") for t in range(2 * limit)]
+    turns += [(5, t, "tool", "shown as well") for t in range(2 * limit)]
     turns += [(5, 9000, "system", "late"), (5, 9001, "user", "shown")]
     turns += [(6, t, "user", "x") for t in range(2 * limit)] + [(6, 9000, "user", None)]
     turns += [(7, 0, "tool", None), (7, 1, "system", "s"), (7, 2, "user", "u" * 50)]
@@ -169,16 +172,28 @@ def test_hot_conversation(spark):
     frame = frame.repartition(7)
     got = {r.conv_id: r.text for r in training_text(chats(frame), keep=("conv_id",)).collect()}
     assert got == brute_force(turns)
-    assert set(got) == {0, 1, 2, 3, 4, 5, 7}
+    assert set(got) == {0, 1, 2, 3, 4, 5}
     assert chats(frame).agg(F.max(F.size("messages"))).first()[0] == limit + 1
 
 
-def test_short_conversations_take_one_shuffle(spark, plan):
-    rows = [(c, t, "user", f"{c} {t} " * 9) for c in range(5) for t in range(c + 1)]
-    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r.conv_id: r.text for r in training_text(chats(frame), keep=("conv_id",)).collect()}
-    assert got == brute_force(rows)
-    assert plan(chats(frame)).count("Exchange") == 1
+def test_a_long_conversation_changes_no_other(spark):
+    rows = [(c, t, "tool" if t == 1 else "user", f"{c} {t} " * 9) for c in range(5) for t in range(c + 1)]
+    rows += [(8, 0, "user", "a"), (8, 0, None, "b")]
+    long = [(9, t, "user", "x" * 30) for t in range(1200)]
+    schema = "conv_id long, turn long, role string, text string"
+    alone, beside = (
+        {r.conv_id: r.messages for r in chats(spark.createDataFrame(part, schema)).collect()}
+        for part in (rows, rows + long)
+    )
+    assert {c: m for c, m in beside.items() if c != 9} == alone
+    texts_of = training_text(chats(spark.createDataFrame(rows, schema)), keep=("conv_id",))
+    assert {r.conv_id: r.text for r in texts_of.collect()} == brute_force(rows)
+
+
+def test_a_template_with_little_markup_is_refused(spark):
+    rows = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
+    with pytest.raises(ValueError, match="turns show"):
+        chats(rows, ChatTemplate("", "", ""))
 
 
 def test_long_conversations_are_cut_on_the_map_side(spark, plan):

@@ -221,13 +221,9 @@ def test_failed_gate_raises_for_a_day(spark, tmp_path):
 # --- incremental -----------------------------------------------------------------------------------
 
 
-def stream(spark, tmp_path, **options):
-    results = []
-    query = run_incremental(
-        spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt"), results=results, **options
-    )
-    query.awaitTermination()
-    return results
+def stream(spark, tmp_path):
+    done = run_incremental(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    return [done] if done else []
 
 
 def test_days_arrive_in_pieces(spark, tmp_path):
@@ -235,7 +231,7 @@ def test_days_arrive_in_pieces(spark, tmp_path):
     for i in range(3):
         land(landing, DAYS[0], f"f{i}", [record(i)])
     land(landing, DAYS[1], "g", [record(9, DAYS[1])])
-    assert len(stream(spark, tmp_path, files_per_batch=1)) == 4
+    assert len(stream(spark, tmp_path)) == 1
     assert per_day(spark, gold) == {DAYS[0]: 3, DAYS[1]: 1}
 
     assert stream(spark, tmp_path) == []
@@ -259,6 +255,45 @@ def test_landing_a_day_again_replaces_it(spark, tmp_path):
     assert per_day(spark, gold) == {DAYS[0]: 2}
 
 
+def test_a_file_landed_again_under_its_name_is_taken(spark, tmp_path):
+    landing, gold = str(tmp_path / "in"), str(tmp_path / "out" / "gold")
+    land(landing, DAYS[0], "raw.jsonl", [record(i) for i in range(3)])
+    land(landing, DAYS[1], "raw.jsonl", [record(1, DAYS[1])])
+    stream(spark, tmp_path)
+    land(landing, DAYS[0], "raw.jsonl", [record(i) for i in range(5)])
+    [done] = stream(spark, tmp_path)
+    assert done.rows["gold"] == 5
+    assert per_day(spark, gold) == {DAYS[0]: 5, DAYS[1]: 1}
+
+
+def test_a_file_with_an_old_time_is_taken(spark, tmp_path):
+    landing, gold = str(tmp_path / "in"), str(tmp_path / "out" / "gold")
+    land(landing, DAYS[0], "f", [record(1)])
+    stream(spark, tmp_path)
+    land(landing, DAYS[1], "f", [record(1, DAYS[1])])
+    os.utime(f"{landing}/process_date={DAYS[1]}/f", (1e9, 1e9))
+    stream(spark, tmp_path)
+    assert per_day(spark, gold) == {DAYS[0]: 1, DAYS[1]: 1}
+
+
+def test_a_file_outside_of_a_day_is_refused(spark, tmp_path):
+    land(str(tmp_path / "in"), DAYS[0], "f", [record(1)])
+    (tmp_path / "in" / "stray").write_text(record(2))
+    with pytest.raises(ValueError, match="outside of a day"):
+        stream(spark, tmp_path)
+
+
+def test_stage_records_are_kept_per_day(spark, tmp_path):
+    landing, layout = str(tmp_path / "in"), daily.Layout(str(tmp_path / "out"))
+    land(landing, DAYS[0], "f", [record(i) for i in range(3)])
+    land(landing, DAYS[1], "f", [record(i, DAYS[1]) for i in range(2)])
+    for day in DAYS[:2]:
+        daily.process_days(spark, layout, [day], raw=landing)
+    for layer in (layout.silver, layout.gold, layout.training):
+        got = spark.read.schema("rows long, process_date string").json(f"{layer}/_meta").collect()
+        assert {r.process_date: r.rows for r in got} == {DAYS[0]: 3, DAYS[1]: 2}
+
+
 def test_a_day_landed_again_without_long_bodies_loses_its_messages(spark, tmp_path):
     landing, training = str(tmp_path / "in"), str(tmp_path / "out" / "sft_train")
     for day in DAYS[:2]:
@@ -283,8 +318,9 @@ def test_a_bad_day_does_not_hold_up_others(spark, tmp_path):
 def test_same_result_as_one_batch(spark, tmp_path):
     documents = st.table(spark, "/root/testdata/sf0.001", "documents")
     lines = st.raw_lines(documents).select(F.col("line").alias("value"), st.day().alias("process_date"))
-    layers.write_layer(lines.repartition(5), str(tmp_path / "in"), fmt="text")
-    stream(spark, tmp_path, files_per_batch=2)
+    for part in lines.repartition(5).randomSplit([1.0, 1.0], seed=1):
+        part.write.mode("append").partitionBy("process_date").text(str(tmp_path / "in"))
+        stream(spark, tmp_path)
     layout = daily.Layout(str(tmp_path / "whole"))
     daily.process_days(spark, layout, DAYS, raw=str(tmp_path / "in"))
     ours = spark.read.schema(GOLD).json(str(tmp_path / "out" / "gold"))

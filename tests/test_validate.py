@@ -202,3 +202,12 @@ def test_gates(spark, total, valid, failure):
 def test_report_of_nothing(spark):
     report = v.validation_report(v.validate(spark.createDataFrame([], "line string"))).first()
     assert (report.total_lines, report.invalid_ratio) == (0, None)
+
+
+def test_shares_round_like_python(spark):
+    pairs = [(1, 32), (5, 32), (3, 20000)]
+    pairs += [(i, t) for t in (1, 3, 7, 32, 96, 160, 625, 2000, 4000, 20000) for i in range(0, t + 1, max(1, t // 400))]
+    rows = spark.createDataFrame(pairs, "invalid long, total_lines long")
+    got = {(r.invalid, r.total_lines): r.invalid_ratio for r in v.with_ratio(rows).collect()}
+    assert [got[p] for p in pairs[:3]] == [0.0312, 0.1562, 0.0001]
+    assert {p: x for p, x in got.items() if x != round(p[0] / p[1], 4)} == {}
