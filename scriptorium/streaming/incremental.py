@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,12 +20,9 @@ def landed_files(spark: SparkSession, landing: str) -> DataFrame:
 
 
 def _seen_files(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LANDED).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LANDED)
+    # Writing no rows makes the folder of a first run.
+    spark.createDataFrame([], LANDED).write.mode("append").partitionBy(PARTITION).parquet(path)
+    return spark.read.schema(LANDED).parquet(path)
 
 
 def run_incremental(
