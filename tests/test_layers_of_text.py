@@ -76,26 +76,40 @@ def test_score_for_all_lengths(spark):
     assert wrong == []
 
 
-def by_steps(body):
-    """Head, tail and fallback by the stated steps, or None."""
-    body = body.strip()
-    tail, fallback = body[1400:2800], False
-    if len(tail) < 50:
-        tail, fallback = body[800:1500], True
-    return None if len(body) < 160 or len(tail) < 50 else (body[:1400], tail, fallback)
-
-
-LENGTHS = [0, 159, 160, 161, 849, 850, 851, 1399, 1400, 1401, 1449, 1450, 1451, 1500, 2799, 2800, 2801, 9000]
+# Of a stripped body of so many characters: end of the head, range of the tail, and whether it is the fallback.
+SPLITS = {
+    159: None,
+    160: None,
+    849: None,
+    850: (850, 800, 850, True),
+    851: (851, 800, 851, True),
+    1399: (1399, 800, 1399, True),
+    1400: (1400, 800, 1400, True),
+    1401: (1400, 800, 1401, True),
+    1449: (1400, 800, 1449, True),
+    1450: (1400, 1400, 1450, False),
+    1451: (1400, 1400, 1451, False),
+    1500: (1400, 1400, 1500, False),
+    2799: (1400, 1400, 2799, False),
+    2800: (1400, 1400, 2800, False),
+    2801: (1400, 1400, 2800, False),
+    9000: (1400, 1400, 2800, False),
+}
 
 
 def test_split_boundaries(spark):
     rng = random.Random(5)
-    bodies = ["".join(rng.choices("ab é中😀\n", k=n - 2)).join("xx") for n in LENGTHS if n > 1]
+    bodies = ["".join(rng.choices("ab é中😀\n", k=n - 2)).join("xx") for n in SPLITS]
     bodies += ["　" + b + "\t " for b in bodies] + ["", None]
     rows = silver_rows(spark, [{"url": str(i), "body": b} for i, b in enumerate(bodies)])
     got = {int(r.url): (r.head, r.tail, r.fallback) for r in split_body(rows).collect()}
-    expected = {i: by_steps(b or "") for i, b in enumerate(bodies)}
-    assert got == {i: e for i, e in expected.items() if e}
+    expected = {}
+    for i, body in enumerate(bodies):
+        whole = (body or "").strip()
+        if cut := SPLITS.get(len(whole)):
+            head, start, end, fallback = cut
+            expected[i] = (whole[:head], whole[start:end], fallback)
+    assert got == expected
 
 
 def test_messages(spark):
