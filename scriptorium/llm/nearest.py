@@ -137,7 +137,11 @@ def search(
     ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray,
     projection: Projection, k: int, stop: float,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores) of the k best rows for each query, -1 where there are fewer; ``bounds`` are squared distances."""
+    """(ids, scores) of the k best ids for each query, -1 where there are fewer; ``bounds`` are squared distances.
+
+    An id that several rows have takes one place, with the best of its scores.
+    """
+    repeated = len(np.unique(ids)) < len(ids)
     points, spots = projection.vectors(rows), projection.queries(queries)
     leaves = _leaves(points)
     low, high = (np.array([f(points[x], axis=0) for x in leaves]) for f in (np.min, np.max))
@@ -157,6 +161,10 @@ def search(
         score[query_ids[asking][:, None] == ids[some][None, :]] = -np.inf
         value = np.concatenate([best[asking], score], axis=1)
         name = np.concatenate([who[asking], np.broadcast_to(ids[some], score.shape)], axis=1)
+        if repeated:  # only the best row of each id stays
+            order = np.lexsort((-value, name), axis=1)
+            value, name = (np.take_along_axis(x, order, axis=1) for x in (value, name))
+            value[:, 1:][name[:, 1:] == name[:, :-1]] = -np.inf
         order = np.lexsort((name, -value), axis=1)[:, :k]
         best[asking] = np.take_along_axis(value, order, axis=1)
         who[asking] = np.where(np.isinf(best[asking]), -1, np.take_along_axis(name, order, axis=1))

@@ -353,3 +353,20 @@ def test_toxicity_learns_and_scores_all_texts(spark):
     assert len(wrong) < 12 and found[900] < 0.7
     none = toxicity.Model(docs, labels.limit(0)).score(docs)
     assert {r.score for r in none.collect()} == {0.0}
+
+
+def test_repeated_rows_take_one_place_among_the_neighbours(spark):
+    rng = np.random.default_rng(8)
+    rows = rng.standard_normal((300, 8))
+    data = [(i, r.tolist()) for i, r in enumerate(rows)]
+    near = int(np.argsort(-(rows @ rows[0]))[:2].max())  # the best of query 0 that is not itself
+    kind = "vec_id long, embedding array<double>"
+    once = spark.createDataFrame(data, kind)
+    asked = once.filter("vec_id % 20 = 0")
+    expected = sorted(nearest(once, asked, k=10).collect())
+    # a worse row of an id counts no more than an equal one
+    for more in (data, [data[near]] * 30, [(near, (rows[near] * 0.99).tolist())] * 30):
+        found = nearest(spark.createDataFrame(data + more, kind), asked, k=10).collect()
+        assert {(r.query_id, r.rank) for r in found} == {(q, n) for q in range(0, 300, 20) for n in range(1, 11)}
+        same = sum((a.query_id, a.rank, a.vec_id) == (b.query_id, b.rank, b.vec_id) for a, b in zip(sorted(found), expected))
+        assert same >= 0.95 * len(expected)
