@@ -5,8 +5,9 @@ their names, and system turns as they are; spans give the characters to learn fr
 
 A dialogue may hold a third of all rows, so it is rendered in parts of ``PART_TURNS`` turn numbers: the parts in order, put
 together, are the whole dialogue, and spans count from the beginning of their row. A part that holds more than
-``PIECE_ROWS`` different rows, because many share a turn number, is cut into pieces by turn number and content, whose
-order is that of ``piece``. No group is larger than that, and equal rows are combined before the shuffle.
+``PIECE_ROWS`` different rows, because many share a turn number, is cut into pieces of that many consecutive turns, whose
+order is that of ``piece``. No group is larger than that, and equal rows are combined before they are counted. The
+different rows of parts with more rows than that are numbered by a sort over all tasks, so none sorts a whole part.
 
 Defined cases: equal rows are one turn. Turns of the same number follow each other by role, then text; turns without
 number come last, in a part without number. A null role is a speaker named ``unknown`` who gets no perspective; a null or empty
@@ -16,7 +17,7 @@ form one dialogue. Line ends in names become spaces; contents are kept as they a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.llm.store import settle
@@ -41,18 +42,35 @@ def _head(role: Column, participant: Column) -> Column:
     return F.concat(F.lit(_BEGIN), shown, F.lit("\n"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with their ``number`` within (conv_id, part) by turn, role and text."""
+    order = ["conv_id", "part", "turn", "role", "text"]
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
+    placed = settle(placed, "placed").withColumn("task", F.shiftright("place", 33))
+    of_task = placed.groupBy("conv_id", "part", "task").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_id", "part").orderBy("task")
+    # rows of a part follow each other in a task
+    begun = of_task.select(
+        F.col("conv_id").alias("c"), F.col("part").alias("p"), F.col("task").alias("t"),
+        (F.sum("n").over(earlier) - F.col("n") - F.col("first")).alias("offset"),
+    )
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("part").eqNullSafe(F.col("p")) & (F.col("task") == F.col("t"))
+    return placed.join(settle(begun, "begun"), same).withColumn("number", F.col("place") + F.col("offset"))
+
+
 def perspectives(turns: DataFrame, part_turns: int = PART_TURNS, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """(conv_id, participant, part, piece, n_turns, text, spans) from rows (conv_id, turn, role, text)."""
     rows = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("part", F.floor(F.col("turn") / part_turns))
+    # raw rows only tell which parts may be crowded; what counts is the place among the different rows
     counts = rows.groupBy("conv_id", "part").agg(F.count("*").alias("n")).filter(F.col("n") > piece_rows)
-    crowded = settle(counts.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.ceil(F.col("n") / piece_rows).alias("cuts")), "crowded")
+    crowded = settle(counts.select(F.col("conv_id").alias("c"), F.col("part").alias("p")), "crowded")
     same = F.col("conv_id").eqNullSafe(F.col("c")) & F.col("part").eqNullSafe(F.col("p"))
-    offset = F.coalesce(F.pmod("turn", F.lit(part_turns)), F.lit(0))
-    piece = offset * F.col("cuts") + F.pmod(F.xxhash64("role", "text"), F.col("cuts"))
-    rows = rows.join(crowded, same, "left").withColumn("piece", F.coalesce(piece, F.lit(0)).cast("long"))
+    few = rows.join(crowded, same, "left_anti").withColumn("piece", F.lit(0).cast("long"))
+    many = _numbered(rows.join(crowded, same, "left_semi").distinct())
+    many = many.withColumn("piece", F.floor(F.col("number") / piece_rows)).select(*few.columns)
 
-    pieces = rows.groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
+    pieces = few.union(many).groupBy("conv_id", "part", "piece").agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
     speakers = turns.filter(F.col("role") != SYSTEM).select(F.col("conv_id").alias("c"), F.col("role").alias("participant")).distinct()
     seen = pieces.join(speakers, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
 

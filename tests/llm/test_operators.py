@@ -286,6 +286,23 @@ def test_every_speaker_gets_the_whole_dialogue(spark):
     assert [r.text[s.start : s.end] for r in ann for s in r.spans] == ["t1", "t3", "late"]
 
 
+def test_pieces_hold_consecutive_turns_up_to_the_bound(spark):
+    kind = "conv_id long, turn long, role string, text string"
+    shown = lambda found: sorted((r.participant, r.part, r.piece, r.n_turns, r.text) for r in found.collect())
+    rows = [(1, i, ("ann", "bob")[i % 2], f"t{i}") for i in range(8)]
+    once = shown(perspectives(spark.createDataFrame(rows, kind)))
+    assert [x[:4] for x in once] == [("ann", 0, 0, 8), ("bob", 0, 0, 8)]
+    assert shown(perspectives(spark.createDataFrame(rows * 33, kind))) == once
+    # more different turns than fit: full pieces, in the order of turn, role and text
+    rows += [(1, 3, "cid", f"x{i:03}") for i in range(40)] + [(None, None, None, "alone"), (1, None, "ann", None)]
+    mixed = spark.createDataFrame(rows * 2, kind).repartition(7)
+    found = [r for r in perspectives(mixed, piece_rows=10).collect() if r.participant == "ann" and r.part == 0]
+    found.sort(key=lambda r: r.piece)
+    assert [(r.piece, r.n_turns) for r in found] == [(0, 10), (1, 10), (2, 10), (3, 10), (4, 8)]
+    texts = [line for r in found for line in r.text.replace("<|im_end|>", "").split("\n")[1::2]]
+    assert texts == ["t0", "t1", "t2", "t3", *[f"x{i:03}" for i in range(40)], "t4", "t5", "t6", "t7"]
+
+
 def test_archives_give_the_pages_back(spark, tmp_path):
     pages = [(i, f"http://a/{i}\r\n x", "<p>é</p>" * (i % 7)) for i in range(40)] + [(50, None, None), (50, None, None)]
     rows = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, refers_to string")
