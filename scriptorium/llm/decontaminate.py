@@ -11,8 +11,11 @@ Texts become words (A-Z lower-cased, ASCII other than letters and digits separat
 3. **Extend.** The windows of the remaining documents are compared with the items' windows as word sequences, which
    gives every occurrence and no other. Equal items count as one until their ids are listed.
 
-Defined cases: null, empty and wordless texts have no windows. Rows that repeat a doc_id with the same text get the same
-result; rows without doc_id or item_id take no part and count as clean. An empty benchmark leaves all documents clean.
+What a document holds depends on its text alone, so the text's digest stands for it in all steps and ids are only carried.
+
+Defined cases: null, empty and wordless texts have no windows. Rows with the same text get the same result, whatever their
+doc_id and whether they have one. Items without item_id are looked for like all others; only their id is not
+listed. An empty benchmark leaves all documents clean.
 """
 
 from __future__ import annotations
@@ -63,28 +66,32 @@ def _fingerprints(rows: DataFrame, window: int, short: list[int]) -> DataFrame:
     return hashed.select(*[c for c in rows.columns if c != "w"], F.explode(F.array_distinct(prints)).alias("print"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, n_words, n_hit, spans, items) of every document.
+def searched(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """For every row ``row`` (a struct of the ``keep`` columns), ``n_words``, ``n_hit``, ``spans`` and ``items``.
 
     ``spans`` are (first word, number of words) of the occurrences, ``items`` the sorted ids of the items found.
     """
-    items = benchmark.filter("item_id is not null").select("item_id", words("text").alias("w")).filter("size(w) > 0")
+    items = benchmark.select("item_id", words("text").alias("w")).filter("size(w) > 0")
     bodies = items.select("item_id", "w", F.array_join("w", " ").alias("body"))
-    classes = bodies.groupBy("body").agg(F.min("item_id").alias("item"), F.first("w").alias("w"))
+    classes = bodies.groupBy("body").agg(F.first("w").alias("w")).withColumn("item", F.monotonically_increasing_id())
     classes = settle(classes, "items")
-    members = bodies.select("item_id", "body").distinct().join(classes.select("body", "item"), "body").drop("body")
+    members = bodies.filter("item_id is not null").select("item_id", "body").distinct().join(classes.select("body", "item"), "body").drop("body")
     lengths = classes.select(F.size("w").alias("n")).filter(F.col("n") < window).distinct()
     short = sorted(r["n"] for r in lengths.collect())  # fewer than window values
 
-    known = docs.filter("doc_id is not null").select("doc_id", "text")
+    # a short code finds the suspects; the few texts that share one are told apart by their digest
+    code, digest = F.xxhash64("text"), F.sha2("text", 256)
+    known = docs.filter("text is not null").select("text")
     of_items = _fingerprints(classes.select("w"), window, short).distinct()
     found = (
-        _fingerprints(known.select("doc_id", words("text").alias("w")), window, short)
+        _fingerprints(known.select(code.alias("code"), words("text").alias("w")), window, short)
         .join(settle(of_items, "prints"), "print", "left_semi")
-        .select("doc_id")
+        .select("code")
         .distinct()
     )
-    suspects = known.join(settle(found, "suspects"), "doc_id").select("doc_id", words("text").alias("w"))
+    suspects = known.withColumn("code", code).join(settle(found, "suspects"), "code").select(digest.alias("digest"), words("text").alias("w"))
 
     def run_of(n: int):
         body = lambda i: F.array_join(F.slice("w", i + 1, n), " ")
@@ -97,11 +104,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
     long_items = spelled(classes.filter(F.size("w") >= window).select("item", "w"), [window])
     windows = long_items.select("item", "body").union(classes.filter(F.size("w") < window).select("item", "body"))
-    hits = spelled(suspects, [window, *short]).join(settle(windows.distinct(), "windows"), "body").select("doc_id", "start", "n", "item")
+    hits = spelled(suspects, [window, *short]).join(settle(windows.distinct(), "windows"), "body").select("digest", "start", "n", "item")
     hits = settle(hits.distinct(), "hits")
-    spans = hits.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("spans"))
-    listed = hits.select("doc_id", "item").distinct().join(members, "item")
-    listed = listed.groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    spans = hits.groupBy("digest").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("spans"))
+    listed = hits.select("digest", "item").distinct().join(members, "item", "left")
+    listed = listed.groupBy("digest").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     covered = F.aggregate(
         "spans",
         F.struct(F.lit(0).alias("end"), F.lit(0).alias("n")),
@@ -111,11 +118,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         ),
         lambda done: done["n"],
     )
-    per_doc = spans.join(listed, "doc_id").withColumn("n_hit", covered)
-    return docs.select("doc_id", F.size(words("text")).alias("n_words")).join(per_doc, "doc_id", "left").select(
-        "doc_id",
+    per_text = spans.join(listed, "digest").select("digest", covered.alias("n_hit"), "spans", "items")
+    per_text = settle(per_text, "found")
+    told = docs.select(F.struct(*keep).alias("row"), F.size(words("text")).alias("n_words"), digest.alias("digest"))
+    return told.join(per_text, "digest", "left").select(
+        "row",
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         "spans",
         "items",
     )
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, n_words, n_hit, spans, items) of every document, as :func:`searched` finds them."""
+    return searched(docs, benchmark, window).select("row.doc_id", "n_words", "n_hit", "spans", "items")

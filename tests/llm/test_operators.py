@@ -10,7 +10,7 @@ import sentencepiece
 import zstandard
 
 from scriptorium.llm import packing, toxicity, warc
-from scriptorium.llm.decontaminate import contamination
+from scriptorium.llm.decontaminate import contamination, searched
 from scriptorium.llm.jaccard_join import similar_components
 from scriptorium.llm.nearest import nearest
 from scriptorium.llm.perspectives import perspectives
@@ -153,6 +153,16 @@ def test_empty_benchmark_leaves_all_clean(spark):
     assert {r.n_hit for r in found} == {0}
 
 
+def test_documents_and_items_without_id_are_searched(spark):
+    passage = " ".join(f"w{i}" for i in range(12))
+    docs = [(None, f"a {passage} b"), (None, "clean words only"), (None, None), (7, "clean words only"), (7, f"{passage} end"), (8, "x y z")]
+    bench = spark.createDataFrame([(3, passage), (None, passage), (None, "x y z")], "item_id long, text string")
+    found = searched(spark.createDataFrame(docs, "doc_id long, text string"), bench, keep=("doc_id", "text")).collect()
+    held = {tuple(r.row): (r.n_hit, r.items or []) for r in found}
+    assert len(found) == len(docs)
+    assert held == dict(zip(docs, [(12, [3]), (0, []), (0, []), (0, []), (12, [3]), (3, [])]))
+
+
 # --- tokens -------------------------------------------------------------------------------------------
 
 HARD = [

@@ -29,3 +29,22 @@ def test_stages_keep_columns_and_clean_documents(spark):
         ids = left
         assert name == "sentencepiece" or docs.columns == columns
     assert docs.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+
+
+def test_stages_work_on_documents_without_id(spark, tmp_path):
+    spark.createDataFrame([(1, " ".join(f"b{i}" for i in range(12)))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    body, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "wv")
+    leak = "it says " + " ".join(f"b{i}" for i in range(12))
+    rows = [(5, body, "x"), (None, body, "x"), (None, other, "x"), (None, other, "x"), (None, leak, "x"), (None, "", "x"), (None, "", "x")]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, source string, n_chars long")
+    shown = lambda df: sorted(((r.doc_id, r.text, r.n_chars) for r in df.collect()), key=repr)
+    size = lambda *rows: sorted(((i, t, len(t)) for i, t in rows), key=repr)
+    one = corpus_pipeline.keep_one_of_each(spark, docs, str(tmp_path))
+    assert one.columns == docs.columns
+    assert shown(one) == size((5, body), (None, other), (None, leak), (None, ""), (None, ""))
+    cut = corpus_pipeline.cut_repeats(spark, docs, str(tmp_path))
+    assert cut.columns == docs.columns
+    assert shown(cut) == size((5, body), (None, other), (None, leak), (None, ""), (None, ""))
+    clean = corpus_pipeline.reject_contaminated(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns
+    assert shown(clean) == size((5, body), (None, body), (None, other), (None, other), (None, ""), (None, ""))
