@@ -48,3 +48,11 @@ def test_stages_work_on_documents_without_id(spark, tmp_path):
     clean = corpus_pipeline.reject_contaminated(spark, docs, str(tmp_path))
     assert clean.columns == docs.columns
     assert shown(clean) == size((5, body), (None, body), (None, other), (None, other), (None, ""), (None, ""))
+
+
+def test_one_row_stays_of_those_that_repeat_a_document(spark):
+    body, other = (" ".join(f"{c}{i}" for i in range(60)) for c in "wv")
+    rows = [(5, body)] * 50 + [(6, body), (7, other), (7, other), (7, "another text"), (8, None), (8, None), (9, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = corpus_pipeline.keep_one_of_each(spark, docs, SF)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted([(5, body), (7, other), (7, "another text"), (8, None), (9, "alone")], key=repr)
