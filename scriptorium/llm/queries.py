@@ -14,10 +14,11 @@ from scriptorium.llm.nearest import nearest
 from scriptorium.llm.packing import pack, segments
 from scriptorium.llm.perspectives import perspectives
 from scriptorium.llm.sentencepiece import MODEL, encode_decode
-from scriptorium.llm.sharding import assign_shards
+from scriptorium.llm.sharding import write_shards
 from scriptorium.llm.store import settle, table
 from scriptorium.llm.substring_dedup import remove_repeats
 from scriptorium.llm.warc import archive_root, read_archives, write_archives
+from scriptorium.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,8 +41,8 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shard of every document, no shard above a million bytes."""
-    found = assign_shards(table(spark, sf_dir, "documents"), limit=1_000_000)
+    """Documents written as shards of at most a million bytes, and the shard in which each row was found."""
+    found = write_shards(table(spark, sf_dir, "documents"), shared_dir(spark, "shards"), limit=1_000_000)
     return found.select("doc_id", "n_bytes", "shard", "copy", "shard_bytes")
 
 

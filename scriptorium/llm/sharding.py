@@ -6,7 +6,8 @@ rows fit the limit, so only oversized buckets have been split on another bit. Wh
 alone go on with more bits. Rows with the same hash (equal rows) cannot be told apart by bits; if they exceed the limit
 together they are numbered, by their place within and among input partitions, and cut by number.
 
-Only ids, hashes and sizes are shuffled. A bucket is a string of its bits, the empty one holding everything.
+:func:`assign_shards` shuffles ids, hashes and sizes only; :func:`write_shards` moves the rows and writes the shards. A bucket
+is a string of its bits, the empty one holding everything.
 
 Defined cases: a null text has no bytes and hashes like an empty one, a null doc_id like the word ``null``. A row larger
 than the limit is a shard of its own (one per row). An empty table has no shards. Other columns are not used for the
@@ -19,6 +20,7 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from scriptorium.llm.store import settle
 
@@ -32,21 +34,21 @@ def _prefix(depth: int):
     return F.shiftright("hash", BITS - depth)
 
 
-def assign_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """(place, doc_id, n_bytes, shard, copy, shard_bytes) of every row of documents.
-
-    ``shard`` and ``copy`` together name a shard; ``copy`` is above 0 only where equal rows exceed the limit. ``place`` is the
-    row's number by input partition, as ``monotonically_increasing_id`` gives it.
-    """
+def _measures() -> list:
+    """n_bytes and hash of a row."""
     text = F.coalesce("text", F.lit(""))
     spelled = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(text))
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("place"),
-        "doc_id",
+    return [
         F.octet_length(text).cast("long").alias("n_bytes"),
         F.conv(F.substring(F.md5(spelled), 1, BITS // 4), 16, 10).cast("long").alias("hash"),
-    )
-    rows = settle(rows, "hashed")
+    ]
+
+
+def _buckets(rows: DataFrame, limit: int) -> list[tuple[DataFrame, int, DataFrame]]:
+    """Of each round the rows that are left, the bits of a fine prefix, and (fine, b): the buckets found in the round.
+
+    bucket_bytes is null where equal rows exceed the limit; each row has a bucket in exactly one round.
+    """
     total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     known, rest, least = [], rows, 0
     depth = min(BITS, max(0, math.ceil(math.log2(max(1, total) / limit))) + SLACK)
@@ -76,38 +78,78 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
         rest = rest.join(large, _prefix(depth) == F.col("fine"), "left_semi")
         least, depth = depth + 1, min(BITS, depth + MORE)
 
-    found = None
-    for some, depth, buckets in known:
-        placed = some.join(buckets, _prefix(depth) == F.col("fine")).select("place", "doc_id", "n_bytes", "hash", "b.*")
-        found = placed if found is None else found.union(placed)
-    found = settle(found, "placed")
+    return known
 
-    fits = found.filter("bucket_bytes is not null").withColumn("copy", F.lit(0).cast("long"))
-    over = found.filter("bucket_bytes is null").withColumn("part", F.shiftright("place", 33))
+
+def _copies(over: DataFrame, limit: int) -> DataFrame:
+    """Equal rows (place, hash, n_bytes, …) with ``copy``, cut by their number so that none exceeds the limit."""
+    over = over.withColumn("part", F.shiftright("place", 33))
     counts = over.groupBy("hash", "part").agg(F.count("*").alias("n"))
     before = counts.withColumn("before", F.sum("n").over(Window.partitionBy("hash").orderBy("part")) - F.col("n"))
     number = F.col("before") + F.row_number().over(Window.partitionBy("hash", "part").orderBy("place")) - 1
     over = over.join(before.drop("n"), ["hash", "part"]).withColumn("number", number)
     each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.lit(1), "n_bytes")))
-    over = over.withColumn("copy", F.floor(F.col("number") / each).cast("long"))
+    return over.withColumn("copy", F.floor(F.col("number") / each).cast("long"))
+
+
+def _bits():
+    return F.when(F.col("depth") > 0, F.expr("lpad(bin(prefix), depth, '0')")).otherwise("")
+
+
+def assign_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """(place, doc_id, n_bytes, shard, copy, shard_bytes) of every row of documents.
+
+    ``shard`` and ``copy`` together name a shard; ``copy`` is above 0 only where equal rows exceed the limit. ``place`` is the
+    row's number by input partition, as ``monotonically_increasing_id`` gives it.
+    """
+    rows = settle(docs.select(F.monotonically_increasing_id().alias("place"), "doc_id", *_measures()), "hashed")
+    found = None
+    for some, depth, buckets in _buckets(rows, limit):
+        placed = some.join(buckets, _prefix(depth) == F.col("fine")).select("place", "doc_id", "n_bytes", "hash", "b.*")
+        found = placed if found is None else found.union(placed)
+    found = settle(found, "placed")
+
+    fits = found.filter("bucket_bytes is not null").withColumn("copy", F.lit(0).cast("long"))
+    over = _copies(found.filter("bucket_bytes is null"), limit)
     of_copy = over.groupBy("hash", "copy").agg(F.sum("n_bytes").alias("copy_bytes"))
     over = over.join(of_copy, ["hash", "copy"]).withColumn("bucket_bytes", F.col("copy_bytes"))
 
     columns = ["place", "doc_id", "n_bytes", "depth", "prefix", "copy", "bucket_bytes"]
-    bits = F.when(F.col("depth") > 0, F.expr("lpad(bin(prefix), depth, '0')")).otherwise("")
     return fits.select(*columns).union(over.select(*columns)).select(
-        "place", "doc_id", "n_bytes", bits.alias("shard"), "copy", F.col("bucket_bytes").alias("shard_bytes")
+        "place", "doc_id", "n_bytes", _bits().alias("shard"), "copy", F.col("bucket_bytes").alias("shard_bytes")
     )
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
-    """Write every shard as one folder of Parquet, in one task; returns the assignment.
+    """Write every shard as one folder of Parquet, in one task; returns (doc_id, n_bytes, shard, copy, shard_bytes) of what
+    was written, read from there.
 
-    Rows are matched with their shard by place, so the input has to be read in the same order twice, as files are.
+    A row finds its shard by its hash, and equal rows that exceed the limit by a number that is written with them first, so
+    the input may come in another order each time it is read.
     """
-    placed = settle(assign_shards(docs, limit), "shards")
-    shard = F.concat_ws("-", F.concat(F.lit("b"), "shard"), "copy").alias("_shard")
-    packed = docs.select(F.monotonically_increasing_id().alias("place"), F.struct(*docs.columns).alias("row"))
-    rows = packed.join(placed.select("place", shard), "place").repartition("_shard")
-    rows.select("row.*", "_shard").write.partitionBy("_shard").parquet(path)
-    return placed
+    whole = docs.select(F.struct(*docs.columns).alias("row"), *_measures())
+    rounds = _buckets(settle(whole.select("n_bytes", "hash"), "hashed"), limit)
+    rows, none = whole, F.lit(None).cast(rounds[0][2].schema["b"].dataType)
+    rows = rows.withColumn("bucket", none)
+    for _, depth, buckets in rounds:
+        rows = rows.join(buckets, _prefix(depth) == F.col("fine"), "left")
+        rows = rows.select("row", "n_bytes", "hash", F.coalesce("bucket", "b").alias("bucket"))
+    rows = rows.select("row", "n_bytes", "hash", "bucket.*")
+    shard = F.concat_ws("-", F.concat(F.lit("b"), _bits()), F.col("copy")).alias("_shard")
+    routed = rows.filter("bucket_bytes is not null").withColumn("copy", F.lit(0).cast("long")).select("row", shard)
+    if any(not buckets.filter("b.bucket_bytes is null").isEmpty() for _, _, buckets in rounds):
+        over = settle(rows.filter("bucket_bytes is null").withColumn("place", F.monotonically_increasing_id()), "over")
+        routed = routed.union(_copies(over, limit).select("row", shard))
+    routed.repartition("_shard").select("row.*", "_shard").write.partitionBy("_shard").parquet(path)
+
+    written = docs.sparkSession.read.schema(StructType([*docs.schema.fields, StructField("_shard", StringType())])).parquet(path)
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")
+    written = settle(written.select("doc_id", size, "_shard"), "written")
+    sizes = written.groupBy("_shard").agg(F.sum("n_bytes").alias("shard_bytes"))
+    return written.join(settle(sizes, "sizes"), "_shard").select(
+        "doc_id",
+        "n_bytes",
+        F.regexp_extract("_shard", "^b([01]*)-", 1).alias("shard"),
+        F.substring_index("_shard", "-", -1).cast("long").alias("copy"),
+        "shard_bytes",
+    )

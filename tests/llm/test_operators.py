@@ -1,5 +1,7 @@
 """The operators against brute force on small tables with nulls, ties, repeats, empty and long texts."""
 
+import glob
+import hashlib
 import random
 import re
 
@@ -8,8 +10,9 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 import zstandard
+from pyspark.sql import functions as F
 
-from scriptorium.llm import packing, toxicity, warc
+from scriptorium.llm import packing, queries, toxicity, warc
 from scriptorium.llm.decontaminate import contamination, searched
 from scriptorium.llm.jaccard_join import similar_components
 from scriptorium.llm.nearest import nearest
@@ -280,6 +283,34 @@ def test_no_shard_is_too_large(spark, tmp_path):
     assert {r["shard"] for r in assign_shards(docs, 10**9).collect()} == {""}
 
 
+def test_shards_hold_their_rows_in_whatever_order_the_input_is_read(spark, tmp_path):
+    rows = documents(spark).union(spark.createDataFrame([(5, "same " * 40, 1, "", 1)] * 30 + [(None, None, 1, "", 1)], DOCS))
+    # another order at every read, as of an input that is split differently
+    dealt = F.udf(lambda: random.SystemRandom().randrange(10**6), "int").asNondeterministic()
+    found = write_shards(rows.repartition(5, dealt()), str(tmp_path / "shards"), 1000)
+    written = spark.read.parquet(str(tmp_path / "shards")).collect()
+    assert sorted(tuple(r)[:5] for r in written if r.doc_id is not None) == sorted(tuple(r) for r in rows.collect() if r.doc_id is not None)
+    assert sum(r.doc_id is None for r in written) == rows.filter("doc_id is null").count()
+    sizes = {}
+    for r in written:
+        body = hashlib.md5((r.text or "").encode()).hexdigest()
+        spelled = f"{'null' if r.doc_id is None else r.doc_id}:{body}"
+        bits = f"{int(hashlib.md5(spelled.encode()).hexdigest()[:15], 16):060b}"
+        shard, copy = r._shard[1:].split("-")
+        assert bits.startswith(shard)
+        sizes.setdefault((shard, int(copy)), []).append(len((r.text or "").encode()))
+    assert all(sum(s) <= 1000 or len(s) == 1 for s in sizes.values())
+    told = {(r.shard, r.copy): r.shard_bytes for r in found.collect()}
+    assert told == {name: sum(s) for name, s in sizes.items()}
+
+
+def test_the_sharding_query_writes_its_shards(spark):
+    made = lambda: set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir').removeprefix('file:')}/**/_shard=b*", recursive=True))
+    held = made()
+    found = {(r.shard, r.copy) for r in queries.op4_sharding(spark, "/root/testdata/sf0.001").collect()}
+    assert {f"_shard=b{s}-{c}" for s, c in found} == {path.rsplit("/", 1)[1] for path in made() - held}
+
+
 def test_every_speaker_gets_the_whole_dialogue(spark):
     rows = [(1, i, r, f"t{i}") for i, r in enumerate(["system", "ann", "bob", "ann", None])]
     rows += [(1, 1, "ann", "t1"), (1, None, "bob", None), (1, 40, "ann", "late"), (2, 0, "system", "alone")]
