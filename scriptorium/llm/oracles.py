@@ -120,6 +120,28 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
+_SQL["op12_lexical"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), a AS (
+    SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_all FROM d WHERE len(w) > 0
+), t AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term
+), f AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM t, a GROUP BY term, n_docs
+), i AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), s AS (
+    SELECT item_id, r, doc_id,
+        CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * n_docs) // n_all)))) AS BIGINT) AS score
+    FROM i JOIN t USING (term) JOIN f USING (term) JOIN d USING (r), a GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS n FROM s WHERE score > 0) WHERE n <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)

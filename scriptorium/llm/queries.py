@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import toxicity
+from scriptorium.llm import quality, toxicity
 from scriptorium.llm.decontaminate import contamination
 from scriptorium.llm.jaccard_join import similar_components
+from scriptorium.llm.lexical import ranked
 from scriptorium.llm.nearest import nearest
 from scriptorium.llm.packing import pack, segments
 from scriptorium.llm.perspectives import perspectives
+from scriptorium.llm.runs import runs, with_planted_period
 from scriptorium.llm.sentencepiece import MODEL, encode_decode
 from scriptorium.llm.sharding import write_shards
 from scriptorium.llm.store import settle, table
@@ -97,6 +99,41 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of four periods and more in every document, every tenth of them made to repeat itself, and the rest without them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs(docs.withColumn("text", with_planted_period(F.col("doc_id"), F.col("text"))))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("n"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "row.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.n")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(-1000 * F.col("longest.n") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that match each benchmark item best by its terms."""
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs.select("doc_id", "text", "n_chars"), quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "row.doc_id",
+        quality.held_out("row.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 _QUERIES = (
     op1_sentencepiece,
     op2_nearest,
@@ -108,6 +145,9 @@ _QUERIES = (
     op8_substring_dedup,
     op9_decontaminate,
     op10_toxicity,
+    op11_runs,
+    op12_lexical,
+    op13_quality,
 )
 
 
