@@ -104,7 +104,7 @@ def extract(
     scale: str = feed.DEFAULT_SCALE,
 ) -> int:
     """Newest entries of landed feed files to the day's raw bronze lines."""
-    window = feed.feed_window(feed.read_feed(spark, landed), scale)
+    window = feed.feed_window(feed.read_feed(spark, landed, feed.CATEGORIES), scale)
     lines = as_lines(feed.to_bronze(window, day, run_id))
     return write_layer(lines, layout.raw, days=[day], fmt="text")
 

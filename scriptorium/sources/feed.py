@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.functions.text import strip_or_empty
-from scriptorium.sources.schemas import FEED_ENTRY
+from scriptorium.sources.atom import read_atom
 
 # The record source and the categories of the feed.
 SOURCE = "arxiv"
@@ -61,9 +61,14 @@ def resolve_scale(
     return name if name in SCALES else DEFAULT_SCALE
 
 
-def read_feed(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Entries of landed Atom files, one row each; a malformed entry fails the read."""
-    return spark.read.schema(FEED_ENTRY).option("rowTag", "entry").option("mode", "FAILFAST").xml(path)
+def read_feed(
+    spark: SparkSession, path: str | Sequence[str], categories: Sequence[str] | None = None
+) -> DataFrame:
+    """Entries of landed Atom files, one row each; a file that is not one whole document fails the read.
+
+    With ``categories`` the entries filed under none of them are skipped while parsing.
+    """
+    return read_atom(spark, [path] if isinstance(path, str) else list(path), categories)
 
 
 def newest_first() -> list[Column]:
