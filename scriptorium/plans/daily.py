@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +15,12 @@ from scriptorium.operators.gold import gold
 from scriptorium.operators.report import eval_report, manifest
 from scriptorium.operators.silver import silver
 from scriptorium.operators.training import training_messages
+from scriptorium.session import remove
 from scriptorium.sources import feed
 from scriptorium.sources.layers import (
     PARTITION,
+    STAGE_META,
+    DayCounts,
     StageMeta,
     raw_lines,
     read_layer,
@@ -38,8 +40,8 @@ from scriptorium.sources.schemas import (
 )
 
 PIPELINE = "scriptorium_daily"
-# Days whose counts are observed in one pass over their lines.
-DAYS_PER_PASS = 16
+#: Layers of a run, by the names of the manifest.
+LAYERS = ("bronze_raw", "bronze_validated", "validation_report", "silver", "gold", "sft_train")
 
 
 @dataclass(frozen=True)
@@ -47,14 +49,16 @@ class Layout:
     """Where the layers of a run lie. Each layer is partitioned by ``process_date``.
 
     ``fmt`` is the format of the silver, gold and training layers. In a columnar one, a stage reads only
-    the columns it uses.
+    the columns it uses. With ``run`` every layer lies in a folder of that run, which nobody reads before the run
+    is published (see :mod:`scriptorium.plans.publication`).
     """
 
     root: str
     fmt: str = "json"
+    run: str | None = None
 
     def layer(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        return f"{self.root}/{name}" + (f"/run={self.run}" if self.run else "")
 
     def day(self, name: str, day: str) -> str:
         return f"{self.layer(name)}/{PARTITION}={day}"
@@ -82,10 +86,11 @@ class Layout:
 
 @dataclass
 class RunResult:
-    """Rows per stage, and the days that a quality gate stopped with the reason."""
+    """Rows per stage, the days that a quality gate stopped with the reason, and the rejected lines per day and reason."""
 
     rows: dict[str, int] = field(default_factory=dict)
     stopped: dict[str, str] = field(default_factory=dict)
+    rejected: dict[str, dict[str, int]] = field(default_factory=dict)
     artifacts: dict[str, str] = field(default_factory=dict)
 
 
@@ -110,46 +115,36 @@ def extract(
 
 
 def validate_days(
-    spark: SparkSession, layout: Layout, days: Sequence[str], raw: str | None = None
+    spark: SparkSession,
+    layout: Layout,
+    days: Sequence[str],
+    raw: str | None = None,
+    rejected: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, str]:
     """Write validated lines and a report per day; returns the days that fail a gate, with the reason.
 
-    Lines are parsed once: the counts of each day are taken while its valid lines are written, a few
-    days at a time.
+    Lines are read and parsed once, in one job for any number of days: the counts per day and reject reason
+    are taken while the valid lines are written. ``rejected`` receives those that are not 0.
     """
     raw = raw or layout.raw
+    counts, seen = DayCounts(days, 1 + len(v.REASONS)), Observation()
+    kind = F.array_position(F.array(*map(F.lit, v.REASONS)), F.coalesce("reason", F.lit("")))
+    flagged = v.validate(raw_lines(spark, raw, days)).observe(seen, counts.metric(F.col(PARTITION), kind).alias("n"))
+    lines = v.valid_records(flagged).select(F.col("line").alias("value"), PARTITION)
+    write_layer(lines, layout.validated, days=days, fmt="text")
     counted = []
-    for start in range(0, len(days), DAYS_PER_PASS):
-        counted += _validate_pass(spark, layout, days[start : start + DAYS_PER_PASS], raw)
-    counts = v.with_gates(
+    for day, (valid, *invalid) in counts.read(seen.get["n"]).items():
+        counted.append((day, valid + sum(invalid), valid, sum(invalid)))
+        if rejected is not None and any(invalid):
+            rejected[day] = {reason: n for reason, n in zip(v.REASONS, invalid) if n}
+    gated = v.with_gates(
         spark.createDataFrame(
             counted, f"{PARTITION} string, total_lines bigint, valid bigint, invalid bigint"
         )
     )
     failed = F.col("failure").isNotNull()
-    _write_reports(layout, counts.where(~failed).drop("failure"), raw)
-    return {r[PARTITION]: r["failure"] for r in counts.where(failed).collect()}
-
-
-def _validate_pass(
-    spark: SparkSession, layout: Layout, days: Sequence[str], raw: str
-) -> list[tuple[str, int, int, int]]:
-    """Write the valid lines of a few days; returns (day, lines, valid lines, invalid lines)."""
-    flagged = v.validate(raw_lines(spark, raw, days))
-    counts = Observation()
-    metrics = []
-    for i, day in enumerate(days):
-        here = F.col(PARTITION) == day
-        metrics += [
-            F.count(F.when(here, 1)).alias(f"total_{i}"),
-            F.count(F.when(here, F.col("reason"))).alias(f"invalid_{i}"),
-        ]
-    kept = v.valid_records(flagged.observe(counts, *metrics))
-    lines = kept.select(F.col("line").alias("value"), PARTITION)
-    write_layer(lines, layout.validated, days=days, fmt="text")
-    seen = counts.get
-    found = [(day, seen[f"total_{i}"], seen[f"invalid_{i}"]) for i, day in enumerate(days)]
-    return [(day, total, total - invalid, invalid) for day, total, invalid in found]
+    _write_reports(layout, gated.where(~failed).drop("failure"), raw)
+    return {r[PARTITION]: r["failure"] for r in gated.where(failed).collect()}
 
 
 def _write_reports(layout: Layout, counts: DataFrame, raw: str) -> None:
@@ -180,11 +175,9 @@ def _finish(
 ) -> None:
     """Record the rows of each day beside the layer; a later run for other days leaves them."""
     app = spark.sparkContext.appName
-    metas = [
-        stage_meta(spark, StageMeta(n, "pyspark", app, source, target)).withColumn(PARTITION, F.lit(day))
-        for day, n in rows.items()
-    ]
-    write_layer(reduce(DataFrame.unionByName, metas).coalesce(1), f"{target}/_meta")
+    metas = [(n, "pyspark", app, source, target, day) for day, n in rows.items()]
+    table = spark.createDataFrame(metas, f"{STAGE_META}, {PARTITION} string")
+    write_layer(table.coalesce(1), f"{target}/_meta")
     result.rows[stage] = result.rows.get(stage, 0) + sum(rows.values())
 
 
@@ -201,10 +194,11 @@ def process_days(
     replaces these days and no others. A day that fails a gate stops there; the others go on. The rows
     of each stage are recorded per day.
     """
-    result = RunResult(stopped=validate_days(spark, layout, days, raw))
+    result = RunResult()
+    result.stopped = validate_days(spark, layout, days, raw, result.rejected)
     days = [d for d in days if d not in result.stopped]
-    for start in range(0, len(days), DAYS_PER_PASS):
-        _later_stages(spark, layout, days[start : start + DAYS_PER_PASS], result)
+    if days:
+        _later_stages(spark, layout, days, result)
     for stage, rows in result.rows.items():
         require_rows(rows, stage)
     return result
@@ -213,7 +207,7 @@ def process_days(
 def _later_stages(
     spark: SparkSession, layout: Layout, days: Sequence[str], result: RunResult
 ) -> None:
-    """Silver, gold and training layer of a few days."""
+    """Silver, gold and training layer of the days."""
     rows = read_layer(spark, layout.validated, BRONZE, BRONZE_REQUIRED, days)
     written: dict[str, int] = {}
     write_layer(silver(rows), layout.silver, days=days, fmt=layout.fmt, per_day=written)
@@ -229,6 +223,14 @@ def _later_stages(
     _finish(spark, result, "sft_train", layout.gold, layout.training, written)
 
 
+def clear_days(spark: SparkSession, layout: Layout, days: Sequence[str]) -> None:
+    """Take the days out of every layer, for days whose raw lines are gone."""
+    for name in LAYERS:
+        for day in days:
+            remove(spark, layout.day(name, day))
+            remove(spark, f"{layout.layer(name)}/_meta/{PARTITION}={day}")
+
+
 def training_texts(
     spark: SparkSession,
     layout: Layout,

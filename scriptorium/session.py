@@ -43,13 +43,28 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _located(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, in any file system that Spark reads."""
+    files, place = _located(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    files, place = _located(spark, path)
+    files.delete(place, True)
+
+
 @atexit.register
 def remove_scratch() -> None:
     """Delete the scratch folders this process asked for, wherever they lie."""
     spark = SparkSession.getActiveSession()
     if spark is None:
         return
-    settings = spark.sparkContext._jsc.hadoopConfiguration()
     while _scratch:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(settings).delete(path, True)
+        remove(spark, _scratch.pop())

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+from collections import Counter
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from scriptorium.functions.text import generated, is_blank, once, strip
+from scriptorium.session import exists
 from scriptorium.sources.schemas import MESSAGES, TRAINING_ROW
 
 PARTITION = "process_date"
@@ -21,6 +25,9 @@ JSON_OPTIONS = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
 _CHECK_KEY = "__line_hash"
 
 
+STAGE_META = "rows bigint, engine string, spark_app string, input string, output string"
+
+
 class ContractError(ValueError):
     """A stage's input lacks a required column."""
 
@@ -47,11 +54,23 @@ def raw_lines(
     """
     if days is None:
         return stripped_lines(spark.read.text(path).select(F.col("value").alias("line")))
-    lines = spark.read.schema(f"value string, {PARTITION} string").text(path)
-    lines = lines.where(F.col(PARTITION).isin(list(days)))
+    reader = spark.read.schema(f"value string, {PARTITION} string").format("text")
+    lines = _load_days(spark, reader, path, days)
     return stripped_lines(lines.select(F.col("value").alias("line"), PARTITION))
 
 
+def _load_days(
+    spark: SparkSession, reader: DataFrameReader, path: str | Sequence[str], days: Sequence[str]
+) -> DataFrame:
+    """Rows of some days of a layer root; of the other days not even the files are listed."""
+    if isinstance(path, str):
+        folders = [f"{path.rstrip('/')}/{PARTITION}={d}" for d in days]
+        there = [f for f in folders if exists(spark, f)]
+        if there:
+            reader, path = reader.option("basePath", path), there
+    return reader.load(path).where(F.col(PARTITION).isin(list(days)))
+
+
 def stripped_lines(lines: DataFrame) -> DataFrame:
     """Strip column ``line`` and drop blank lines."""
     return lines.where(~is_blank(F.col("line"))).withColumn("line", strip(F.col("line")))
@@ -73,9 +92,7 @@ def read_layer(
     reader = spark.read.schema(schema).format(fmt)
     if fmt == "json":
         reader = reader.options(mode="FAILFAST" if strict else "PERMISSIVE", **JSON_OPTIONS)
-    rows = reader.load(path)
-    if days is not None:
-        rows = rows.where(F.col(PARTITION).isin(list(days)))
+    rows = reader.load(path) if days is None else _load_days(spark, reader, path, days)
     check_contract(rows, required)
     return rows
 
@@ -99,6 +116,39 @@ def check_contract(rows: DataFrame, required: Iterable[str]) -> None:
         raise ContractError(f"missing columns {missing}, have {rows.columns}")
 
 
+class DayCounts:
+    """Rows per day and class, taken in one metric of an ``Observation`` for any number of days.
+
+    A histogram with as many bins as there are days and classes holds each of their numbers in a bin of its
+    own, so it is exact; rows of other days stay out of it. Where two tasks' bins of a number meet, their mean is taken,
+    so numbers are kept far below what a double holds and read by rounding.
+    """
+
+    def __init__(self, days: Sequence[str], classes: int = 1):
+        self.days, self.classes = list(dict.fromkeys(days)), classes
+        salts = (str(n) for n in itertools.count())
+        self.salt = next(s for s in salts if len({self._code(s, d) for d in self.days}) == len(self.days))
+
+    @staticmethod
+    def _code(salt: str, day: str) -> int:
+        return int(hashlib.md5(f"{salt}{day}".encode()).hexdigest()[:8], 16)
+
+    def metric(self, day: Column, of: Column | None = None) -> Column:
+        """The counts of ``day`` and of ``of``, a number below ``classes``."""
+        number = F.conv(F.substring(F.md5(F.concat(F.lit(self.salt), day)), 1, 8), 16, 10).cast("double")
+        coded = number * self.classes + (F.lit(0) if of is None else of)
+        known = F.when(day.isin(self.days), coded) if self.days else F.lit(None).cast("double")
+        return F.histogram_numeric(known, F.lit(max(2, len(self.days) * self.classes)))
+
+    def read(self, bins: Sequence | None) -> dict[str, list[int]]:
+        """Counts of each class, by day."""
+        found = Counter()
+        for b in bins or ():
+            found[round(b["x"])] += round(b["y"])
+        codes = {d: self._code(self.salt, d) * self.classes for d in self.days}
+        return {d: [found[c + i] for i in range(self.classes)] for d, c in codes.items()}
+
+
 def write_layer(
     rows: DataFrame,
     root: str,
@@ -121,13 +171,12 @@ def write_layer(
         rows = rows.withColumn(PARTITION, F.lit(day))
     if rebalance:
         rows = rows.hint("rebalance", PARTITION)
-    written = Observation()
-    each = [F.count(F.when(F.col(PARTITION) == d, 1)).alias(f"day_{i}") for i, d in enumerate(days)]
+    written, each = Observation(), DayCounts(days)
     counted = rows.observe(
         written,
         F.count(F.lit(1)).alias("rows"),
         F.collect_set(PARTITION).alias("days"),
-        *(each if per_day is not None else []),
+        *([each.metric(F.col(PARTITION)).alias("each")] if per_day is not None else []),
     )
     writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
@@ -137,7 +186,7 @@ def write_layer(
         nothing = rows.sparkSession.createDataFrame([], rows.drop(PARTITION).schema)
         nothing.write.mode("overwrite").format(fmt).save(f"{root}/{PARTITION}={empty}")
     if per_day is not None:
-        per_day.update({d: written.get[f"day_{i}"] for i, d in enumerate(days)})
+        per_day.update({d: n for d, [n] in each.read(written.get["each"]).items()})
     return written.get["rows"]
 
 
@@ -151,8 +200,7 @@ def require_rows(rows: int, stage: str) -> int:
 def stage_meta(spark: SparkSession, meta: StageMeta) -> DataFrame:
     """One-row record of a finished stage."""
     return spark.createDataFrame(
-        [(meta.rows, meta.engine, meta.spark_app, meta.input, meta.output)],
-        "rows bigint, engine string, spark_app string, input string, output string",
+        [(meta.rows, meta.engine, meta.spark_app, meta.input, meta.output)], STAGE_META
     )
 
 

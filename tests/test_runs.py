@@ -3,8 +3,11 @@
 import glob
 import json
 import os
+import shutil
+from collections import Counter
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -14,6 +17,7 @@ from scriptorium.plans import daily
 from scriptorium.plans import standins as st
 from scriptorium.sources import layers
 from scriptorium.sources.schemas import GOLD, SILVER
+from scriptorium.streaming import incremental
 from scriptorium.streaming.incremental import run_incremental
 
 DAYS = ["2026-01-01", "2026-01-02", "2026-01-03"]
@@ -201,14 +205,44 @@ def test_gates_stop_single_days(spark, tmp_path):
     assert per_day(spark, f"{root}/gold") == {DAYS[0]: 2}
 
 
-def test_many_days_are_counted_in_passes(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(daily, "DAYS_PER_PASS", 2)
+def test_many_days_are_one_validation_job(spark, tmp_path):
     landing, root = str(tmp_path / "in"), str(tmp_path / "out")
-    for n, day in enumerate(DAYS, 1):
-        land(landing, day, "a", [record(i, day) for i in range(n)])
-    assert daily.validate_days(spark, daily.Layout(root), DAYS, landing) == {}
-    got = spark.read.schema("process_date string, valid long").json(f"{root}/validation_report")
-    assert {r.process_date: r.valid for r in got.collect()} == {d: n for n, d in enumerate(DAYS, 1)}
+    days = [f"2026-{1 + n // 28:02}-{1 + n % 28:02}" for n in range(60)]
+    lines = [(record(i, day), day) for n, day in enumerate(days) for i in range(1 + n % 4)]
+    lines += [(bad, day) for day in days[::3] for bad in ("bad", record(1, day, title="x"))]
+    lines.append((record(1), "another"))
+    layers.write_layer(spark.createDataFrame(lines, "value string, process_date string"), landing, fmt="text", rebalance=True)
+    rejected = {}
+    stopped = daily.validate_days(spark, daily.Layout(root), days, landing, rejected)
+    got = spark.read.schema("process_date string, valid long, invalid long").json(f"{root}/validation_report")
+    expected = {d: (1 + n % 4, 2 if n % 3 == 0 else 0) for n, d in enumerate(days)}
+    assert stopped == {d: "too many invalid lines" for d, (valid, invalid) in expected.items() if invalid > valid}
+    assert {r.process_date: (r.valid, r.invalid) for r in got.collect()} == {d: n for d, n in expected.items() if d not in stopped}
+    assert rejected == {d: {"unparsable": 1, "bad_title": 1} for d, n in expected.items() if n[1]}
+
+
+def test_counts_per_day_and_class(spark):
+    days = [f"d{i}" for i in range(300)]
+    counts, seen = layers.DayCounts(days, 3), Observation()
+    rows = spark.range(0, 20_000, 1, 7).select(F.concat(F.lit("d"), F.col("id") % 400).alias("day"), (F.col("id") % 3).alias("kind"))
+    rows.unionByName(spark.createDataFrame([(None, 1)], "day string, kind long")).observe(
+        seen, counts.metric(F.col("day"), F.col("kind")).alias("n")
+    ).count()
+    expected = Counter((f"d{i % 400}", i % 3) for i in range(20_000))
+    assert counts.read(seen.get["n"]) == {d: [expected[d, k] for k in range(3)] for d in days}
+    assert layers.DayCounts([]).read([]) == {}
+
+
+def test_reading_a_day_lists_its_folder_only(spark, tmp_path):
+    root = str(tmp_path / "layer")
+    layers.write_layer(days_frame(spark, {d: 2 for d in "abcde"}), root)
+    schema = StructType([StructField("i", IntegerType()), StructField("process_date", StringType())])
+    rows = layers.read_layer(spark, root, schema, days=["b", "d", "none"])
+    assert {f.split("process_date=")[1][0] for f in rows.inputFiles()} == {"b", "d"}
+    assert sorted(r.process_date for r in rows.collect()) == ["b", "b", "d", "d"]
+    lines = layers.raw_lines(spark, root, ["e"])
+    assert len({f.rsplit("/", 1)[0] for f in lines.inputFiles()}) == 1 and lines.count() == 2
+    assert layers.read_layer(spark, root, schema, days=["none"]).count() == 0
 
 
 def test_failed_gate_raises_for_a_day(spark, tmp_path):
@@ -276,6 +310,64 @@ def test_a_file_with_an_old_time_is_taken(spark, tmp_path):
     assert per_day(spark, gold) == {DAYS[0]: 1, DAYS[1]: 1}
 
 
+@pytest.mark.parametrize("after", [False, True])
+def test_a_crash_repeats_exactly_the_open_days(spark, tmp_path, monkeypatch, after):
+    """Before or after the work, but in either case before the stream takes the batch down."""
+    landing, gold = str(tmp_path / "in"), str(tmp_path / "out" / "gold")
+    land(landing, DAYS[0], "f", [record(1)])
+    stream(spark, tmp_path)
+    land(landing, DAYS[1], "f", [record(1, DAYS[1])])
+    worked, whole = [], incremental.process_days
+
+    def dies(*args, **kwargs):
+        worked.append(args[2])
+        if after:
+            whole(*args, **kwargs)
+        raise RuntimeError("lost the driver")
+
+    monkeypatch.setattr(incremental, "process_days", dies)
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="lost the driver"):
+            stream(spark, tmp_path)
+    assert worked == [[DAYS[1]]] * 2
+    # what lands in between is a state of its own
+    land(landing, DAYS[2], "f", [record(1, DAYS[2])])
+
+    def counted(*args, **kwargs):
+        worked.append(args[2])
+        return whole(*args, **kwargs)
+
+    monkeypatch.setattr(incremental, "process_days", counted)
+    [done] = stream(spark, tmp_path)
+    assert worked[2:] == [[DAYS[1]], [DAYS[2]]]
+    assert done.rows["gold"] == 2
+    assert per_day(spark, gold) == dict.fromkeys(DAYS, 1)
+    assert stream(spark, tmp_path) == []
+
+
+def test_a_vanished_day_is_emptied_in_every_layer(spark, tmp_path):
+    landing, out = str(tmp_path / "in"), tmp_path / "out"
+    for day in DAYS[:2]:
+        land(landing, day, "f", [record(1, day)])
+    stream(spark, tmp_path)
+    shutil.rmtree(f"{landing}/process_date={DAYS[0]}")
+    assert len(stream(spark, tmp_path)) == 1
+    for layer in ("silver", "gold", "sft_train", "validation_report", "silver/_meta", "gold/_meta"):
+        assert per_day(spark, str(out / layer), "process_date string") == {DAYS[1]: 1}
+    assert per_day(spark, str(out / "bronze_validated"), "process_date string, value string") == {DAYS[1]: 1}
+    assert stream(spark, tmp_path) == []
+    land(landing, DAYS[0], "f", [record(1)])
+    stream(spark, tmp_path)
+    assert per_day(spark, str(out / "gold")) == {DAYS[0]: 1, DAYS[1]: 1}
+
+
+def test_two_listings_stay(spark, tmp_path):
+    for n in range(4):
+        land(str(tmp_path / "in"), DAYS[0], f"f{n}", [record(n)])
+        stream(spark, tmp_path)
+    assert sorted(p.name for p in (tmp_path / "ckpt" / "listings").iterdir() if p.name != "5") == ["3", "4"]
+
+
 def test_a_file_outside_of_a_day_is_refused(spark, tmp_path):
     land(str(tmp_path / "in"), DAYS[0], "f", [record(1)])
     (tmp_path / "in" / "stray").write_text(record(2))
