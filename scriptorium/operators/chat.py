@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from scriptorium.functions.text import at_least, first_chars, generated, once, strip
+from scriptorium.operators.templates import CompiledTemplate
 
 # Fixed values of the text gate and the instruction layout.
 MIN_TEXT_CHARS = 40
@@ -43,8 +44,10 @@ CHATML = ChatTemplate(
 )
 
 
-def render(messages: Column, template: ChatTemplate = CHATML) -> Column:
+def render(messages: Column, template: ChatTemplate | CompiledTemplate = CHATML) -> Column:
     """Chat text without a generation prompt; null for no messages or a turn without role or content."""
+    if isinstance(template, CompiledTemplate):
+        return template.rendered(messages)
     opening = F.lit("")
     if template.default_system is not None:
         has_system = F.coalesce(F.get(messages, F.lit(0))["role"] == "system", F.lit(False))
@@ -69,13 +72,13 @@ def instruction_text() -> Column:
 
 
 def training_text(
-    rows: DataFrame, template: ChatTemplate | None = CHATML, keep: tuple[str, ...] = ()
+    rows: DataFrame, template: ChatTemplate | CompiledTemplate | None = CHATML, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """``text`` of the rows with more than 40 characters, cut to 12,000.
 
     The text is the first non-empty of the rendered chat, the plain text and the instruction layout. Any
     of the training-row columns may be absent; ``template=None`` stands for a tokenizer without chat
-    template.
+    template. Where a compiled template raises, the next form is taken.
     """
     have = set(rows.columns)
     for name in ("input", "output"):

@@ -297,6 +297,18 @@ FROM messages GROUP BY fallback""",
 {_gated('conv_id', 'chats')}""",
         "render_fallbacks": f"WITH {_forms(True)} {_gated('doc_id', 'forms')}",
         "render_lines": f"WITH {_forms(False)} {_gated('doc_id', 'forms')}",
+        "render_template": f"""WITH lines AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS l, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS system FROM documents),
+turns AS (
+  SELECT *, l[1 + system:] AS t,
+         CASE WHEN system = 1 THEN '<<SYS>>' || chr(10) || {_strip('l[1]')} || chr(10) || '<</SYS>>' || chr(10) || chr(10) ELSE '' END AS opening
+  FROM lines),
+chats AS (
+  SELECT doc_id, CASE WHEN doc_id % 7 = 0 OR len(t) = 0 THEN text ELSE array_to_string(list_transform(t, lambda x, i:
+           CASE WHEN i % 2 = 1 THEN '<s>[INST] ' || {_strip("CASE WHEN i = 1 THEN opening || x ELSE x END")} || ' [/INST]'
+                ELSE ' ' || {_strip('x')} || ' </s>' END), '') END AS raw_text
+  FROM turns)
+{_gated('doc_id', 'chats')}""",
         "text_gate": f"""WITH {_PLAIN}
 SELECT lang, count(*) AS n_samples, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM texts GROUP BY lang""",
         "token_truncate": f"""WITH {_PLAIN}, pieces AS (

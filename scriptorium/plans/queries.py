@@ -17,6 +17,7 @@ from scriptorium.operators import validate as v
 from scriptorium.operators.chat import training_text
 from scriptorium.operators.gold import gold
 from scriptorium.operators.silver import silver
+from scriptorium.operators.templates import compile_template
 from scriptorium.operators.tokens import tokenize, utf8_bytes, word_pieces
 from scriptorium.operators.training import (
     FALLBACK_START,
@@ -232,6 +233,13 @@ def render_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_text(training_rows_from_lines(lines), template=None, keep=("doc_id",))
 
 
+@_query
+def render_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every document's chat by a translated template; where that raises, the plain text."""
+    template = compile_template(st.ALTERNATING, bos_token="<s>", eos_token="</s>")
+    return training_text(st.line_chats(_documents(spark, sf_dir)), template, keep=("doc_id",))
+
+
 @_query
 def text_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept texts and their characters per language, after the length gate and cut."""

@@ -204,6 +204,44 @@ def training_rows(documents: DataFrame) -> DataFrame:
     )
 
 
+# The markup of a public chat template whose roles have to take turns.
+ALTERNATING = """{% if messages[0]['role'] == 'system' %}
+    {%- set turns = messages[1:] %}
+    {%- set opening = '<<SYS>>\\n' + messages[0]['content'] | trim + '\\n<</SYS>>\\n\\n' %}
+{%- else %}
+    {%- set turns = messages %}
+    {%- set opening = '' %}
+{%- endif %}
+{%- for message in turns %}
+    {%- if (message['role'] == 'user') != (loop.index0 % 2 == 0) %}
+        {{- raise_exception('Conversation roles must alternate user/assistant/user/assistant/...') }}
+    {%- endif %}
+    {%- set content = opening + message['content'] if loop.index0 == 0 else message['content'] %}
+    {%- if message['role'] == 'user' %}
+        {{- bos_token + '[INST] ' + content | trim + ' [/INST]' }}
+    {%- elif message['role'] == 'assistant' %}
+        {{- ' ' + content | trim + ' ' + eos_token }}
+    {%- endif %}
+{%- endfor %}"""
+
+
+def line_chats(documents: DataFrame) -> DataFrame:
+    """Training rows with ``doc_id``: the lines of a document as turns, its text as fallback.
+
+    Every third chat opens with a system turn; in every seventh the last turn is out of turn.
+    """
+    lines = F.split("text", "\n")
+    system = (F.col("doc_id") % 3 == 0).cast("int")
+
+    def turn(line: Column, at: Column) -> Column:
+        user = (at - system) % 2 == 0
+        late = (at == F.size(lines) - 1) & _every(7)
+        role = F.when(at < system, "system").when(user != late, "user").otherwise("assistant")
+        return F.struct(role.alias("role"), line.alias("content"))
+
+    return documents.select("doc_id", F.transform(lines, turn).cast(MESSAGES).alias("messages"), "text")
+
+
 def losses(documents: DataFrame) -> DataFrame:
     """Metrics rows keyed by ``doc_id``, with a loss from the text length, missing or overflowing for some."""
     loss = (

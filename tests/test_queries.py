@@ -36,7 +36,7 @@ def test_flagship(spark):
     "name",
     "atom_ingest validate_flags validated_records silver gold_topics gold_score gold_summary "
     "gold_full training_messages render_fallbacks render_lines token_truncate token_ids perplexity eval_report "
-    "train_manifest lines_to_gold lines_to_text".split(),
+    "train_manifest lines_to_gold lines_to_text render_template".split(),
 )
 def test_row_wise_queries_do_not_shuffle(spark, plan, name):
     text = plan(entry.queries()[name](spark, SF))
