@@ -10,6 +10,7 @@ import sys
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from scriptorium.operators import validate as v
 from scriptorium.operators.chat import training_text
@@ -17,6 +18,7 @@ from scriptorium.operators.gold import gold
 from scriptorium.operators.silver import silver
 from scriptorium.operators.training import training_messages
 from scriptorium.plans import daily
+from scriptorium.plans.publication import run_day_at_once
 from scriptorium.session import build_session
 from scriptorium.sources import feed, layers
 from scriptorium.sources.schemas import (
@@ -58,20 +60,32 @@ def _validate(spark: SparkSession, args: argparse.Namespace) -> None:
     flagged = v.validate(layers.raw_lines(spark, args.input))
     valid = v.valid_records(flagged.observe(counts, *v.report_columns()))
     valid.select("line").write.mode("overwrite").text(args.output)
-    v.check_gates(spark.createDataFrame([counts.get]), args.input)
+    counted = spark.createDataFrame([counts.get])
+    v.check_gates(counted, args.input)
+    paths = F.lit(args.input).alias("raw_path"), F.lit(args.output).alias("validated_path")
+    report = v.with_ratio(counted).select(*paths, "total_lines", "valid", "invalid", "invalid_ratio")
+    layers.write_record(report, args.report or f"{args.output}/_report")
     print(counts.get)
 
 
 def _run_day(spark: SparkSession, args: argparse.Namespace) -> None:
     scale = feed.resolve_scale({"scale": args.scale})
-    done = daily.run_day(
-        spark, args.landed, args.root, args.day, args.run_id, scale, args.metrics
+    run = run_day_at_once if args.at_once else daily.run_day
+    done = run(
+        spark,
+        args.landed,
+        args.root,
+        args.day,
+        args.run_id,
+        scale=scale,
+        metrics_path=args.metrics,
+        checkpoint_dir=args.checkpoint_dir,
     )
     print(done.rows)
 
 
 def _incremental(spark: SparkSession, args: argparse.Namespace) -> None:
-    done = run_incremental(spark, args.landing, args.root, args.checkpoint)
+    done = run_incremental(spark, args.landing, args.root, args.checkpoint, at_once=args.at_once)
     print(done.rows if done else "nothing new")
 
 
@@ -88,6 +102,8 @@ def parser() -> argparse.ArgumentParser:
         stage = stages.add_parser(name, help=text)
         stage.add_argument("--input", required=True)
         stage.add_argument("--output", required=True)
+        if name == "validate":
+            stage.add_argument("--report", help="where the report goes, if not beside the valid lines")
         stage.set_defaults(run=run)
     day = stages.add_parser("run-day", help="landed feed files to the manifest of a day")
     day.add_argument("--landed", required=True)
@@ -96,11 +112,14 @@ def parser() -> argparse.ArgumentParser:
     day.add_argument("--run-id", default="manual")
     day.add_argument("--scale")
     day.add_argument("--metrics")
+    day.add_argument("--checkpoint-dir")
+    day.add_argument("--at-once", action="store_true", help="publish all layers together")
     day.set_defaults(run=_run_day)
     new = stages.add_parser("incremental", help="bring days with new landed files up to date")
     new.add_argument("--landing", required=True)
     new.add_argument("--root", required=True)
     new.add_argument("--checkpoint", required=True)
+    new.add_argument("--at-once", action="store_true", help="publish all layers together")
     new.set_defaults(run=_incremental)
     return top
 

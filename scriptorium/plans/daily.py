@@ -12,7 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from scriptorium.operators import validate as v
 from scriptorium.operators.chat import CHATML, ChatTemplate, training_text
 from scriptorium.operators.gold import gold
-from scriptorium.operators.report import eval_report, manifest
+from scriptorium.operators.report import eval_report, manifest, train_manifest
 from scriptorium.operators.silver import silver
 from scriptorium.operators.training import training_messages
 from scriptorium.session import remove
@@ -245,12 +245,23 @@ def training_texts(
 
 def evaluate(spark: SparkSession, layout: Layout, metrics_path: str, day: str) -> None:
     """Evaluation report of the day's training metrics."""
-    metrics = spark.read.schema(METRICS).option("multiLine", True).json(metrics_path)
-    metrics = metrics.withColumn(PARTITION, F.lit(day))
-    report = eval_report(metrics, F.lit(metrics_path))
+    report = eval_report(_metrics(spark, metrics_path, day), F.lit(metrics_path))
     write_layer(report, layout.layer("eval_report"))
 
 
+def _metrics(spark: SparkSession, path: str, day: str) -> DataFrame:
+    return spark.read.schema(METRICS).option("multiLine", True).json(path).withColumn(PARTITION, F.lit(day))
+
+
+def record_training(
+    spark: SparkSession, layout: Layout, checkpoint_dir: str, metrics_path: str, day: str
+) -> None:
+    """Record of the day's finished training, from its metrics."""
+    metrics = _metrics(spark, metrics_path, day)
+    record = train_manifest(metrics, F.lit(checkpoint_dir), F.lit(metrics_path), keep=(PARTITION,))
+    write_layer(record, layout.layer("qwen_train_manifest"))
+
+
 def publish(
     spark: SparkSession,
     layout: Layout,
@@ -280,19 +291,30 @@ def run_day(
     scale: str = feed.DEFAULT_SCALE,
     metrics_path: str | None = None,
     fmt: str = "json",
+    checkpoint_dir: str | None = None,
+    run: str | None = None,
 ) -> RunResult:
-    """One daily run from landed feed files to the manifest. Running a day again replaces it."""
-    layout = Layout(root, fmt)
+    """One daily run from landed feed files to the manifest. Running a day again replaces it.
+
+    ``metrics_path`` and ``checkpoint_dir`` are what a training run has left: with metrics an evaluation report is written, with
+    both a record of the training. With ``run`` the layers go to folders of that run and are not visible until
+    :func:`scriptorium.plans.publication.publish_run`.
+    """
+    layout = Layout(root, fmt, run)
     extracted = extract(spark, landed, layout, day, run_id, scale)
     done = process_days(spark, layout, [day])
     if day in done.stopped:
         raise v.QualityGateError(done.stopped[day])
     done.rows["bronze_raw"] = extracted
-    names = ["bronze_raw", "bronze_validated", "validation_report", "silver", "gold", "sft_train"]
-    done.artifacts = {name: layout.day(name, day) for name in names}
+    done.artifacts = {name: layout.day(name, day) for name in LAYERS}
+    if checkpoint_dir:
+        done.artifacts["qwen_checkpoint_dir"] = checkpoint_dir
     if metrics_path:
         evaluate(spark, layout, metrics_path, day)
         done.artifacts["qwen_metrics"] = metrics_path
         done.artifacts["eval_report"] = layout.day("eval_report", day)
+    if metrics_path and checkpoint_dir:
+        record_training(spark, layout, checkpoint_dir, metrics_path, day)
+        done.artifacts["qwen_train_manifest"] = layout.day("qwen_train_manifest", day)
     publish(spark, layout, day, run_id, done.artifacts)
     return done

@@ -13,7 +13,8 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.plans.daily import Layout, RunResult, clear_days, process_days
+from scriptorium.plans.daily import LAYERS, Layout, RunResult, clear_days, process_days
+from scriptorium.plans.publication import new_run, publish_run
 from scriptorium.session import remove
 from scriptorium.sources.layers import PARTITION
 
@@ -69,7 +70,7 @@ class States:
 
 
 def run_incremental(
-    spark: SparkSession, landing: str, root: str, checkpoint: str, fmt: str = "json"
+    spark: SparkSession, landing: str, root: str, checkpoint: str, fmt: str = "json", at_once: bool = False
 ) -> RunResult | None:
     """Bring every day whose landed files changed up to date; None if there is none.
 
@@ -78,16 +79,19 @@ def run_incremental(
     replaces its earlier result; a day without files any more is emptied in every layer. A file that changes
     meanwhile is taken by the next run; one that vanishes meanwhile stops the run. One run at a time may use a ``checkpoint``,
     a folder that all executors share; it keeps the last two listings.
+
+    ``at_once`` writes each state's days to folders of their own and publishes all layers together; readers then use
+    :func:`scriptorium.plans.publication.read_published`.
     """
     states = States(spark, checkpoint)
     states.take(landing)
-    layout, done, failures = Layout(root, fmt), RunResult(), []
+    done, failures = RunResult(), []
     worked: list[int] = []
 
     def work(batch: DataFrame, _: int) -> None:
         try:
             for number in sorted(r["number"] for r in batch.collect()):
-                _bring_up(spark, states, number, landing, layout, done)
+                _bring_up(spark, states, number, landing, new_run(root, fmt) if at_once else Layout(root, fmt), done)
                 worked.append(number)
         except BaseException as error:
             failures.append(error)
@@ -109,8 +113,9 @@ def _bring_up(
 ) -> None:
     """Do the days of a state, add to ``done``, and forget the state that no batch can ask for any more."""
     days = states.changed_days(number)
-    clear_days(spark, layout, [d for d, there in days.items() if not there])
-    present = [d for d, there in days.items() if there]
+    gone, present = ([d for d, there in days.items() if there == wanted] for wanted in (False, True))
+    if not layout.run:
+        clear_days(spark, layout, gone)
     if present:
         result = process_days(spark, layout, present, raw=landing)
         for stage, rows in result.rows.items():
@@ -119,4 +124,9 @@ def _bring_up(
             for day in present:
                 mine.pop(day, None)
             mine.update(more)
+    if layout.run:
+        made = {d: {n: layout.day(n, d) for n in LAYERS[1:]} for d in present if d not in done.stopped}
+        for day, artifacts in made.items():
+            artifacts["bronze_raw"] = f"{landing}/{PARTITION}={day}"
+        publish_run(spark, layout, f"state-{number}", made, removed=gone)
     remove(spark, states.path(number - 2))

@@ -23,6 +23,15 @@ def test_stage_by_stage(spark, tmp_path, capsys):
     for stage, source, target in zip(("validate", "silver", "gold", "training", "texts"), steps, steps[1:]):
         assert main([stage, "--input", str(tmp_path / source), "--output", str(tmp_path / target)]) == 0
     assert "'total_lines': 2, 'valid': 1, 'invalid': 1" in capsys.readouterr().out
+    report = json.loads(next((tmp_path / "valid" / "_report").glob("part-*")).read_text())
+    assert report == {
+        "raw_path": str(tmp_path / "raw.jsonl"),
+        "validated_path": str(tmp_path / "valid"),
+        "total_lines": 2,
+        "valid": 1,
+        "invalid": 1,
+        "invalid_ratio": 0.5,
+    }
     row = spark.read.json(str(tmp_path / "gold")).first()
     assert (row.title, row.layer, str(row.process_date)) == ("A fair title", "gold", "2026-01-01")
     assert spark.read.json(str(tmp_path / "texts")).first().text.endswith("word<|im_end|>")
