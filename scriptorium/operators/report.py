@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.functions.rounding import round_4
+
 # Fixed values of the reports.
 EVAL_NOTES = "Метрики с train; отдельный test split не использовался."
 TRAIN_STATUS = "finished_micro_sft"
@@ -27,7 +29,7 @@ def perplexity(loss: Column) -> Column:
     infinity = F.lit(float("inf"))
     value = F.exp(loss)
     return F.when(F.isnan(loss) | (loss == infinity), loss).when(
-        value < infinity, F.round(value, 4)
+        value < infinity, round_4(value)
     )
 
 

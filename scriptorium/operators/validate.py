@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions.iso8601 import is_iso_datetime
+from scriptorium.functions.rounding import round_4
 from scriptorium.functions.text import at_least, generated, strip
 from scriptorium.sources.layers import json_object
 from scriptorium.sources.schemas import BRONZE
@@ -116,20 +117,6 @@ def report_columns() -> list[Column]:
     ]
 
 
-def round_4(x: Column) -> Column:
-    """A share to four places as Python's ``round`` gives it: by its binary value, exact halves to even.
-
-    The sign of ``20000 * x - (2 * n + 1)`` decides between n and n + 1 ten-thousandths. It is taken without
-    rounding error, from the upper and lower bits of x.
-    """
-    n = F.floor(x * 10000)
-    spread = x * float(2**27 + 1)
-    upper = spread - (spread - x)
-    above = (upper * 20000.0 - (2 * n + 1)) + (x - upper) * 20000.0
-    up = F.when(above > 0, 1).when(above < 0, 0).otherwise(n % 2)
-    return (n + up) / F.lit(10000.0)
-
-
 def with_ratio(counts: DataFrame) -> DataFrame:
     """Add the rounded share of invalid lines to report counts."""
     ratio = _ratio(F.col("invalid"), F.col("total_lines"))

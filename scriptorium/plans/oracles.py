@@ -213,6 +213,8 @@ def _manifest() -> str:
         "gold": "bool_or(ok)",
         "sft_train": f"bool_or(ok AND length({_strip('content')}) >= 850)",
     }
+    trained = ("qwen_checkpoint_dir", "qwen_train_manifest", "qwen_metrics", "eval_report")
+    made |= dict.fromkeys(trained, made["sft_train"])
     columns = [
         f"CASE WHEN {made[a]} THEN '{a}/process_date=' || day END AS {a}"
         if a in made

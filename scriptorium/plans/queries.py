@@ -321,6 +321,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(F.lit(name).alias("artifact"), F.when(when, path).alias("path"))
 
     made_by_valid = ("bronze_validated", "validation_report", "silver", "gold")
+    made_by_training = ("sft_train", "qwen_checkpoint_dir", "qwen_train_manifest", "qwen_metrics", "eval_report")
     artifacts = runs.select(
         PARTITION,
         "run_id",
@@ -328,7 +329,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array(
                 made("bronze_raw", F.lit(True)),
                 *[made(name, F.col("valid")) for name in made_by_valid],
-                made("sft_train", F.col("trainable")),
+                *[made(name, F.col("trainable")) for name in made_by_training],
             )
         ),
     )
