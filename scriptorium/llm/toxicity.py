@@ -29,6 +29,8 @@ from scriptorium.llm.words import Words, slices, utf8, words_in, words_of
 #: Labelled rows to learn from at most, and words of the learned list.
 SAMPLE, LEARNED = 24_000, 200
 THRESHOLD = 0.7
+#: Rows that the trees' own chances count for in the calibration, and the places they are spread over.
+PRIOR, PRIOR_STEPS = 20.0, 40
 #: Words on either side that count as near.
 NEAR = 3
 
@@ -212,8 +214,13 @@ class Model:
             featuresCol="_features", labelCol="toxic", maxIter=20, maxDepth=4, stepSize=0.2, minInstancesPerNode=10, seed=11
         )
         self.trees = trees.fit(known.filter("fits"))
-        rest = self._raw_score(known.filter(~F.col("fits"))).select("toxic", "_score")
-        self.calibration = IsotonicRegression(featuresCol="_score", labelCol="toxic", predictionCol="_calibrated").fit(rest)
+        rest = self._raw_score(known.filter(~F.col("fits"))).select(F.col("toxic").cast("double").alias("toxic"), "_score", F.lit(1.0).alias("_weight"))
+        # the trees' own chances, spread evenly, which few rows do not outweigh
+        even = docs.sparkSession.range(PRIOR_STEPS + 1).select((F.col("id") / PRIOR_STEPS).alias("_score"))
+        prior = even.select(F.col("_score").alias("toxic"), "_score", F.lit(PRIOR / (PRIOR_STEPS + 1)).alias("_weight"))
+        self.calibration = IsotonicRegression(
+            featuresCol="_score", labelCol="toxic", weightCol="_weight", predictionCol="_calibrated"
+        ).fit(rest.union(prior).coalesce(1))
 
     def _raw_score(self, rows: DataFrame) -> DataFrame:
         return self.trees.transform(rows).withColumn("_score", vector_to_array("probability")[1])
