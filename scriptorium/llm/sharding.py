@@ -17,6 +17,7 @@ assignment, and are kept by :func:`write_shards`.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -129,10 +130,13 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """
     whole = docs.select(F.struct(*docs.columns).alias("row"), *_measures())
     rounds = _buckets(settle(whole.select("n_bytes", "hash"), "hashed"), limit)
-    rows, none = whole, F.lit(None).cast(rounds[0][2].schema["b"].dataType)
-    rows = rows.withColumn("bucket", none)
-    for _, depth, buckets in rounds:
-        rows = rows.join(buckets, _prefix(depth) == F.col("fine"), "left")
+    # the directory has a row for each shard, small beside the texts; buckets are looked up depth by depth
+    directory = reduce(DataFrame.union, [buckets.select("b.*") for _, _, buckets in rounds]).distinct()
+    directory = settle(directory.coalesce(1), "directory")
+    rows = whole.withColumn("bucket", F.lit(None).cast(rounds[0][2].schema["b"].dataType))
+    for depth in sorted(r["depth"] for r in directory.select("depth").distinct().collect()):
+        held = directory.filter(F.col("depth") == depth).select(F.col("prefix").alias("at"), F.struct(*directory.columns).alias("b"))
+        rows = rows.join(held, _prefix(depth) == F.col("at"), "left")
         rows = rows.select("row", "n_bytes", "hash", F.coalesce("bucket", "b").alias("bucket"))
     rows = rows.select("row", "n_bytes", "hash", "bucket.*")
     shard = F.concat_ws("-", F.concat(F.lit("b"), _bits()), F.col("copy")).alias("_shard")
