@@ -13,8 +13,9 @@ chi-square variable of that many degrees. Steps:
    ``bound * quantile(CONFIDENCE)`` is skipped: a nearer neighbour lies there with a chance of 1 - CONFIDENCE at most.
 4. **Merge.** The best of all blocks, in double precision; ties go to the smaller id.
 
-Defined cases: vectors that are null, empty, zero, of another length than the longest, or hold null or non-finite components
-take no part. Rows that repeat an id are one candidate, with their best score. A query without candidates has no rows.
+A vector has an inner product with vectors of its own length only, so each length is searched on its own.
+
+Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no part. Rows that repeat an id are one candidate, with their best score. A query without candidates has no rows.
 Other columns are not used; an empty table gives an empty result.
 """
 
@@ -192,11 +193,19 @@ def nearest(
     vectors = vectors.select("vec_id", "embedding").filter("vec_id is not null")
     queries = queries.select("vec_id", "embedding").filter("vec_id is not null")
     told = vectors.mapInArrow(norms, "width long, n long, largest double").groupBy("width")
-    told = told.agg(F.sum("n").alias("n"), F.max("largest").alias("largest")).orderBy(F.desc("width")).first()
-    result = "query_id long, rank int, vec_id long, score double"
-    if told is None:
-        return vectors.sparkSession.createDataFrame([], result)
-    n, projection = told["n"], Projection(told["width"], told["largest"])
+    told = told.agg(F.sum("n").alias("n"), F.max("largest").alias("largest"))
+    found = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for alike in told.orderBy("width").collect():
+        of_width = F.size("embedding") == alike["width"]
+        projection = Projection(alike["width"], alike["largest"])
+        found = found.union(_nearest(vectors.filter(of_width), queries.filter(of_width), alike["n"], projection, k, confidence, block))
+    return found
+
+
+def _nearest(
+    vectors: DataFrame, queries: DataFrame, n: int, projection: Projection, k: int, confidence: float, block: int
+) -> DataFrame:
+    """The k nearest found among n vectors of the projection's length."""
     stop = quantile(confidence, DIMENSIONS)
 
     # a sample of fixed size fits the splits
@@ -222,8 +231,6 @@ def nearest(
     # at most SAMPLE / 16 cells, whatever the input
     sizes = {r["cell"]: r["n"] for r in data.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     blocks = [-(-sizes.get(c, 0) // block) for c in range(len(cells.low))]
-    n_asked = asked.count()
-    turns = max(1, -(-n_asked // QUERIES))
     per_cell = F.create_map(*[F.lit(x) for c, b in enumerate(blocks) for x in (c, max(1, b))])[F.col("cell")]
     data = data.withColumn("block", F.pmod(F.xxhash64("vec_id"), per_cell).cast("long"))
 
@@ -251,15 +258,17 @@ def nearest(
 
         return run
 
-    def meet(asking: DataFrame, run, kind: str) -> DataFrame:
-        """Queries and vectors of the same block; vectors go to every turn of queries that the block answers."""
-        asking = asking.withColumn("turn", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(turns)).cast("long"))
-        every = data.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(turns - 1).cast("long"))))
-        by = ["cell", "block", "turn"]
+    def meet(asking: DataFrame, run, kind: str, name: str) -> DataFrame:
+        """Queries and vectors of the same block; a block that more than ``QUERIES`` ask answers in turns, one that none asks stays."""
+        asking, by = settle(asking, name), ["cell", "block"]
+        turns = settle(asking.groupBy(by).agg(F.ceil(F.count("*") / QUERIES).cast("long").alias("turns")), f"{name}-turns")
+        asking = asking.join(turns, by).withColumn("turn", F.pmod(F.xxhash64("vec_id", F.lit(3)), "turns")).drop("turns")
+        every = data.join(turns, by).withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1)))
+        every, by = every.drop("turns"), [*by, "turn"]
         return asking.groupBy(by).cogroup(every.groupBy(by)).applyInPandas(run, kind)
 
     home = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(5)), per_cell).cast("long"))
-    bounded = settle(meet(home, answers(True), "query_id long, embedding array<double>, bound double, ids array<long>, scores array<double>"), "bounds")
+    bounded = settle(meet(home, answers(True), "query_id long, embedding array<double>, bound double, ids array<long>, scores array<double>", "home"), "bounds")
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,7 +287,7 @@ def nearest(
             )
 
     going = bounded.drop("ids", "scores").mapInArrow(routed, "vec_id long, embedding array<double>, bound double, cell long, block long")
-    found = meet(going, answers(False), "query_id long, vec_id long, score double")
+    found = meet(going, answers(False), "query_id long, vec_id long, score double", "routed")
     # what the first block gave counts as well, so that no query ends with fewer than it has seen
     told = bounded.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("query_id", "x.ids", "x.scores")
     found = found.union(told)
