@@ -20,7 +20,7 @@ sequence is the one element, without words the set is empty. Two documents link
    the sets. The verified links connect the same documents as all links do.
 
 Defined cases: null, empty and blank texts have no elements and no links. Rows that repeat a doc_id with the same
-text are one document in every count; rows without doc_id are left out, since nothing can refer to them. Columns
+text are one document in every count; rows without doc_id have the size of their set and no component. Columns
 other than doc_id and text are not used; an empty table gives an empty result.
 """
 
@@ -113,11 +113,12 @@ def group_keys(sets: list[np.ndarray], level: int, scale: int, common: np.ndarra
     if common is not None and len(common):
         rare = common[np.minimum(np.searchsorted(common, code), len(common) - 1)] != code
     which, keys = [], []
-    for band, takes in (
-        (own, sizes > 0),
-        # the larger of a linked pair may lie in the next band
-        (np.minimum(own + 1, len(low) - 1), (sizes > 0) & (sizes * scale >= low[np.minimum(own + 1, len(low) - 1)] * level)),
-    ):
+    for above in range(len(low)):
+        # the larger of a linked pair may lie in any band that its size can reach
+        band = np.minimum(own + above, len(low) - 1)
+        takes = (sizes > 0) & (own + above < len(low)) & ((above == 0) | (sizes * scale >= low[band] * level))
+        if not takes.any():
+            break
         takes = takes & (differ[band] > 0)  # where nothing may differ, linked sets are equal
         m = np.where(takes, differ[band] + 1 + spare[band], 0)
         base = np.concatenate([[0], np.cumsum(m)])
@@ -365,7 +366,12 @@ def similar_components(
     """(doc_id, n_shingles, component_id) of every document; component_id is the smallest doc_id it is linked with."""
     small_batches(docs.sparkSession)
     known = docs.select("doc_id", "text").filter("doc_id is not null")
-    signed = settle(known.mapInArrow(_signatures(shingle), "doc_id long, n_shingles long, d1 long, d2 long"), "sets")
+    measured_as = "doc_id long, n_shingles long, d1 long, d2 long"
+    signed = settle(known.mapInArrow(_signatures(shingle), measured_as), "sets")
+    # rows that have no id to be linked by
+    nameless = docs.filter("doc_id is null").select(F.lit(0).cast("long").alias("doc_id"), "text").mapInArrow(_signatures(shingle), measured_as)
+    none = F.lit(None).cast("long")
+    nameless = nameless.select(none.alias("doc_id"), "n_shingles", none.alias("component_id"))
     classes = signed.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("least"))
     classed = signed.join(classes, ["n_shingles", "d1", "d2"]).select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("rep")
@@ -423,4 +429,4 @@ def similar_components(
     linked = components(links, "linked")
     return classed.join(linked, F.col("rep") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id")
-    )
+    ).union(nameless)
