@@ -12,6 +12,7 @@ import sentencepiece
 import zstandard
 from pyspark.sql import functions as F
 
+from scriptorium.llm import nearest as nearest_module
 from scriptorium.llm import packing, queries, toxicity, warc
 from scriptorium.llm.decontaminate import contamination, searched
 from scriptorium.llm.jaccard_join import similar_components
@@ -79,7 +80,20 @@ def test_components_of_an_empty_table_and_without_ids(spark):
     empty = documents(spark).limit(0)
     assert similar_components(empty).collect() == []
     nameless = spark.createDataFrame([(None, "a b c"), (1, "a b c"), (1, "a b c")], "doc_id long, text string")
-    assert [(r.doc_id, r.component_id) for r in similar_components(nameless).collect()] == [(1, 1), (1, 1)]
+    found = [(r.doc_id, r.n_shingles, r.component_id) for r in similar_components(nameless, shingle=2).collect()]
+    assert sorted(found, key=repr) == [(1, 2, 1), (1, 2, 1), (None, 2, None)]
+
+
+@pytest.mark.parametrize("level", [40, 60, 66, 75])
+def test_a_set_within_a_much_larger_one_is_linked(spark, level):
+    """The larger set of a link may be several bands of sizes above the smaller."""
+    rows = []
+    for n, size in enumerate((205, 60, 333, 47)):
+        words = [f"w{n}_{i}" for i in range(size * 100 // level)]
+        rows += [(10 * n + 1, " ".join(words[:size])), (10 * n + 2, " ".join(words)), (10 * n + 3, " ".join(words[: size // 3]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in similar_components(docs, 1, level, 100).collect()}
+    assert found == {i: i - (i % 10 == 2) for i, _ in rows}
 
 
 # --- substring dedup ----------------------------------------------------------------------------------
@@ -413,6 +427,32 @@ def test_toxicity_learns_and_scores_all_texts(spark):
     assert {r.score for r in none.collect()} == {0.0}
 
 
+def test_vectors_of_every_length_are_searched(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.standard_normal(8 if i % 3 else 5).tolist()) for i in range(300)] + [(999, [1.0] * 400)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest(vectors, vectors.filter("vec_id % 10 = 0 or vec_id = 999"), k=3, confidence=0.9999).collect()
+    shown, held = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found}, dict(rows)
+    right = 0
+    for q in range(0, 300, 10):
+        best = sorted((-float(np.dot(held[q], v)), i) for i, v in rows if i != q and len(v) == len(held[q]))[:3]
+        for rank, (score, i) in enumerate(best, 1):
+            right += shown[q, rank] == (i, pytest.approx(-score))
+    assert len(found) == 90 and right >= 81
+
+
+def test_a_block_goes_to_the_turns_that_ask_it_only(spark, monkeypatch):
+    monkeypatch.setattr(nearest_module, "QUERIES", 7)
+    rng = np.random.default_rng(4)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((400, 6)))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = vectors.filter("vec_id % 20 = 0")
+    few, whole = (nearest(vectors, asked, k=5, confidence=0.9999, block=b).collect() for b in (50, 8_192))
+    # the same neighbours, whatever the blocks and turns; at most a few are missed
+    assert len(few) == len(whole) == 100
+    assert len({(r.query_id, r.vec_id) for r in few} & {(r.query_id, r.vec_id) for r in whole}) >= 95
+
+
 def test_repeated_rows_take_one_place_among_the_neighbours(spark):
     rng = np.random.default_rng(8)
     rows = rng.standard_normal((300, 8))

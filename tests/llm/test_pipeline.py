@@ -56,3 +56,21 @@ def test_one_row_stays_of_those_that_repeat_a_document(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     found = corpus_pipeline.keep_one_of_each(spark, docs, SF)
     assert sorted(map(tuple, found.collect()), key=repr) == sorted([(5, body), (7, other), (7, "another text"), (8, None), (9, "alone")], key=repr)
+
+
+def test_a_text_of_its_own_stays_though_its_id_has_a_copy_of_another(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(3, a, 1, "k", 2, 0), (7, a, 1, "k", 2, 0), (7, b, 1, "k", 2, 0), (None, b + " more", 1, "k", 2, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key int, key string, _id int, n_chars long")
+    found = corpus_pipeline.keep_one_of_each(spark, docs, SF)
+    assert found.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in found.collect()) == [(3, a), (7, b)]
+    cut = corpus_pipeline.cut_repeats(spark, docs, SF)
+    assert cut.columns == docs.columns and [r.text for r in cut.collect() if r.doc_id == 3] == [a]
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = table(spark, SF, "documents").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = settle(stage(spark, docs, SF), name)
+        assert docs.count() == 0
