@@ -16,8 +16,8 @@ sequence is the one element, without words the set is empty. Two documents link
    and blocks of a large band meet two by two). Their
    elements are hashed into ``AXES`` groups, whose counts are a point; points are packed into a tree of boxes.
    Two boxes can hold a link only if the sum of their smaller upper coordinates reaches the overlap that their
-   smallest sets need; the same holds for two points. Pairs that pass and are not connected yet are verified on
-   the sets. The verified links connect the same documents as all links do.
+   smallest sets need; the same holds for two points, first in ``AXES`` and then in ``FINE`` groups. Pairs that pass
+   and are not connected yet are verified on the sets. The verified links connect the same documents as all links do.
 
 Defined cases: null, empty and blank texts have no elements and no links. Rows that repeat a doc_id with the same
 text are one document in every count; rows without doc_id have the size of their set and no component. Columns
@@ -40,8 +40,8 @@ from scriptorium.llm.words import grams, mix, slices, words_of
 SHINGLE, LEVEL, SCALE = 5, 80, 100
 #: Growth of set sizes within a band of equal group numbers.
 BAND = 1.5
-#: Coordinates of a count vector.
-AXES = 24
+#: Coordinates of a count vector in the tree, and of the finer one that pairs of points are held against.
+AXES, FINE = 24, 512
 #: Points of a leaf, and children of an inner node.
 LEAF, FANOUT = 32, 8
 #: Documents of one connected part, and their shingles, that a task takes from each of its two blocks.
@@ -248,9 +248,12 @@ class CountTree:
     def __init__(self, sets: list[np.ndarray], members: np.ndarray):
         self.sizes = np.fromiter(map(len, sets), np.int64, len(sets))
         self.points = np.zeros((len(sets), AXES), np.int32)
-        for point, codes in zip(self.points, sets):
-            axis = (mix(codes) >> np.uint64(20)) % np.uint64(AXES)
-            point[:] = np.bincount(axis.astype(np.int64), minlength=AXES)
+        # a coordinate is at most the size of its set
+        self.fine = np.zeros((len(sets), FINE), np.min_scalar_type(int(self.sizes.max(initial=0))))
+        for point, fine, codes in zip(self.points, self.fine, sets):
+            mixed = mix(codes) >> np.uint64(20)
+            point[:] = np.bincount((mixed % np.uint64(AXES)).astype(np.int64), minlength=AXES)
+            fine[:] = np.bincount((mixed % np.uint64(FINE)).astype(np.int64), minlength=FINE)
         self.root = self._node(members)
 
     def _node(self, members: np.ndarray) -> tuple:
@@ -301,8 +304,10 @@ def linked_pairs(
         if one is two:
             passes &= np.arange(len(a))[:, None] < np.arange(len(b))[None, :]
         changed = False
-        for i, j in np.argwhere(passes).tolist():
-            x, y = int(a[i]), int(b[j])
+        i, j = np.nonzero(passes)
+        overlap = np.minimum(tree.fine[a[i]], tree.fine[b[j]]).sum(axis=1, dtype=np.int64)
+        likely = (level + scale) * overlap >= level * need[i, j]
+        for x, y in zip(a[i[likely]].tolist(), b[j[likely]].tolist()):
             rx, ry = root(x), root(y)
             if rx == ry:
                 continue
