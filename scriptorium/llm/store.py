@@ -34,26 +34,36 @@ def settle(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+#: Parts into which the rows that ask for one node are dealt.
+SEATS = 256
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, root): the smallest node that each node of the undirected edges (a, b) is linked with.
 
     Every round hangs each node on the smallest root seen from its neighbours and then on that root's
     own root, until nothing changes; a round joins and groups on the node, and its result is written.
-    Combining before the shuffle keeps a node with very many edges from gathering in one task.
+    Many rows may ask for one node (the hub of a star, the root of a large component). They ask from ``SEATS`` seats:
+    the distinct (node, seat), found with map-side combining, fetch the answer, and the rows join their seat.
     """
+    seat = lambda c: F.pmod(F.xxhash64(c), F.lit(SEATS)).alias("seat")
     turned = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
     both = edges.filter("a <> b").select(F.explode(turned).alias("edge")).select("edge.a", "edge.b")
-    links = settle(both.distinct(), f"{name}-links")
+    links = settle(both.distinct().select("a", "b", seat("a")), f"{name}-links")
+    asked = settle(links.select("b", "seat").distinct(), f"{name}-seats")
     roots = links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
     roots = settle(roots, f"{name}-roots")
     while True:
-        near = links.join(roots.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("seen"))
+        told = asked.join(roots.withColumnRenamed("node", "b"), "b")
+        near = links.join(told, ["b", "seat"]).groupBy("a").agg(F.min("root").alias("seen"))
         hung = roots.join(near, F.col("node") == F.col("a")).select("node", "root", F.least("root", "seen").alias("next"))
         # the old root learns of the smaller one as well, so that whole trees move at once
         moved = hung.select("node", "next").union(hung.select(F.col("root").alias("node"), "next"))
-        best = moved.groupBy("node").agg(F.min("next").alias("next"))
+        best = settle(moved.groupBy("node").agg(F.min("next").alias("next")), f"{name}-best")
+        placed = roots.join(best, "node").select("node", "root", "next", seat("node"))
         up = best.select(F.col("node").alias("next"), F.col("next").alias("top"))
-        step = roots.join(best, "node").join(up, "next", "left")
+        tops = best.select("next", seat("node")).distinct().join(up, "next")
+        step = placed.join(tops, ["next", "seat"], "left")
         after = step.select("node", F.least("next", "top").alias("root"), (F.least("next", "top") < F.col("root")).alias("changed"))
         after = settle(after, f"{name}-roots")
         roots = after.select("node", "root")
