@@ -251,6 +251,27 @@ WHERE length(line) > 0 GROUP BY lang""",
 SELECT id, title, published FROM entries ORDER BY published DESC NULLS LAST, id LIMIT 200""",
         "feed_page": f"""WITH {_ENTRIES}
 SELECT id, title, published FROM entries ORDER BY published DESC NULLS LAST, id LIMIT 20 OFFSET 20""",
+        "feed_ranks": f"""WITH {_ENTRIES}, ranked AS (
+  SELECT id, row_number() OVER (ORDER BY published DESC NULLS LAST, id) - 1 AS rank FROM entries)
+SELECT id, rank, rank // 20 AS page FROM ranked""",
+        "feed_deep_page": f"""WITH {_ENTRIES}, ranked AS (
+  SELECT id, title, published, row_number() OVER (ORDER BY published DESC NULLS LAST, id) - 1 AS rank FROM entries)
+SELECT id, title, published FROM ranked WHERE rank // 20 = (SELECT count(*) FROM ranked) // 20 // 2""",
+        "scale_resolution": """WITH runs AS (
+  SELECT doc_id,
+         CASE doc_id % 7 WHEN 1 THEN 'smoke' WHEN 3 THEN 'test' END AS conf,
+         CASE doc_id % 5 WHEN 0 THEN 'full' WHEN 3 THEN 'huge' END AS env,
+         CASE doc_id % 3 WHEN 0 THEN 'smoke' END AS params
+  FROM documents), named AS (
+  SELECT doc_id, coalesce(conf, env, params, 'full') AS name FROM runs)
+SELECT doc_id, CASE WHEN name IN ('smoke', 'test') THEN name ELSE 'full' END AS scale,
+       CAST(CASE name WHEN 'smoke' THEN 5 WHEN 'test' THEN 20 ELSE 200 END AS BIGINT) AS n_rows
+FROM named""",
+        "rejected_lines": f"""WITH {_FLAGGED}, landed AS (
+  SELECT doc_id // 500 AS shelf, reason,
+         2 * row_number() OVER (PARTITION BY doc_id // 500 ORDER BY doc_id) AS line_number
+  FROM flagged)
+SELECT shelf, line_number, reason FROM landed WHERE reason IS NOT NULL""",
         "atom_ingest": f"""
 SELECT 'arxiv' AS source, 'http://arxiv.org/abs/' || CAST(doc_id AS VARCHAR) AS url,
        {_strip('split_part(text, chr(10), 1)')} AS title, {_strip('text')} AS content,

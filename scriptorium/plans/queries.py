@@ -36,6 +36,7 @@ from scriptorium.sources.layers import (
     training_rows_from_lines,
     write_layer,
 )
+from scriptorium.sources.positions import numbered_lines
 from scriptorium.sources.schemas import GOLD, SILVER, SILVER_REQUIRED, TRAINING_ROW
 from scriptorium.streaming.incremental import run_incremental
 
@@ -103,6 +104,42 @@ def feed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page.select("id", "title", "published")
 
 
+@_query
+def feed_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank of every entry of the feed and the page at test scale that it is on, from the feed stored by ranges."""
+    entries = st.feed_entries(_documents(spark, sf_dir)).select("id", "published", "category")
+    ranked = feed.feed_index(entries, shared_dir(spark, "feed"), range_rows=10_000).ranks()
+    page = F.floor(F.col("rank") / feed.SCALES["test"].page_size).cast("long")
+    return ranked.select("id", F.col("rank").cast("long").alias("rank"), page.alias("page"))
+
+
+@_query
+def feed_deep_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page at test scale in the middle of the feed, read from its range."""
+    entries = st.feed_entries(_documents(spark, sf_dir)).select("id", "title", "published", "category")
+    index = feed.feed_index(entries, shared_dir(spark, "feed"), range_rows=10_000)
+    size = feed.SCALES["test"].page_size
+    return index.stretch(len(index) // size // 2 * size, size).select("id", "title", "published")
+
+
+@_query
+def scale_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scale and row budget of a run for every document, its settings written in many ways."""
+    runs = st.run_settings(_documents(spark, sf_dir))
+    scale = feed.resolved_scale(F.col("conf"), F.col("env"), F.col("params"))
+    return runs.select("doc_id", scale.alias("scale")).withColumn("n_rows", feed.scale_rows(F.col("scale")).cast("long"))
+
+
+@_query
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File, line number and reason of every rejected line of documents landed as text files."""
+    landed = shared_dir(spark, "landed")
+    st.write_shelves(st.raw_lines(_documents(spark, sf_dir)), landed)
+    flagged = v.validate(numbered_lines(spark, landed)).where("reason is not null")
+    shelf = F.regexp_extract("file", "shelf=([0-9]+)", 1).cast("long")
+    return flagged.select(shelf.alias("shelf"), "line_number", "reason")
+
+
 @_query
 def atom_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents landed as Atom files and read back as bronze records."""

@@ -14,6 +14,7 @@ from scriptorium.operators.chat import CHATML, MAX_TEXT_CHARS, ChatTemplate, hea
 from scriptorium.sources.schemas import BRONZE, MESSAGES, METRICS
 
 TURN_SALTS = 64
+SHELF = 500
 # Default of spark.sql.optimizer.windowGroupLimitThreshold.
 MAP_SIDE_TURNS = 1000
 TURN_ORDER = ("turn", "role", "text")
@@ -100,6 +101,25 @@ def raw_lines(documents: DataFrame) -> DataFrame:
     return plain.select("doc_id", generated(broken).alias("line"))
 
 
+def write_shelves(lines: DataFrame, path: str) -> None:
+    """Lines as text files, one for each ``SHELF`` consecutive ids, in the order of their ids, a blank line before each."""
+    shelved = lines.withColumn("shelf", F.floor(F.col("doc_id") / SHELF))
+    blank = F.concat(F.lit("\n"), F.col("line")).alias("value")
+    ordered = shelved.repartition("shelf").sortWithinPartitions("shelf", "doc_id")
+    ordered.select(blank, "shelf").write.partitionBy("shelf").text(path)
+
+
+def run_settings(documents: DataFrame) -> DataFrame:
+    """Settings of a run for each document: scale names in several spellings, empty and absent ones."""
+    spelled = lambda names, n: F.get(F.array(*map(F.lit, names)), (F.col("doc_id") % n).cast("int"))
+    return documents.select(
+        "doc_id",
+        spelled(["", " Smoke ", None, "test", None, "", None], 7).alias("conf"),
+        spelled([" FULL", "   ", "\t", "huge", None], 5).alias("env"),
+        spelled(["smoke", "", None], 3).alias("params"),
+    )
+
+
 def feed_entries(documents: DataFrame) -> DataFrame:
     """Feed entries with ``doc_id``: categories cycle, some entries lack ``published`` or authors."""
     cycle = F.array(*[F.lit(c) for c in ("cs.AI", "cs.CL", "cs.LG", "cs.DB", "math.CO")])

@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.functions.text import strip_or_empty
+from scriptorium.functions.text import strip, strip_or_empty
 from scriptorium.sources.atom import read_atom
+from scriptorium.sources.positions import RANGE_ROWS, Ranked
 
 # The record source and the categories of the feed.
 SOURCE = "arxiv"
@@ -61,6 +62,18 @@ def resolve_scale(
     return name if name in SCALES else DEFAULT_SCALE
 
 
+def resolved_scale(conf: Column, env: Column, params: Column) -> Column:
+    """Scale names of a table of runs, by the rules of :func:`resolve_scale`."""
+    first = F.coalesce(F.nullif(conf, F.lit("")), F.nullif(strip(env), F.lit("")), F.nullif(params, F.lit("")))
+    name = F.lower(strip(first))
+    return F.when(name.isin(list(SCALES)), name).otherwise(DEFAULT_SCALE)
+
+
+def scale_rows(name: Column) -> Column:
+    """Row budget of a known scale."""
+    return F.coalesce(*[F.when(name == scale, F.lit(s.rows)) for scale, s in SCALES.items()])
+
+
 def read_feed(
     spark: SparkSession, path: str | Sequence[str], categories: Sequence[str] | None = None
 ) -> DataFrame:
@@ -85,7 +98,10 @@ def in_categories(entries: DataFrame, categories: Sequence[str] = CATEGORIES) ->
 def feed_page(
     entries: DataFrame, page: int, page_size: int, categories: Sequence[str] = CATEGORIES
 ) -> DataFrame:
-    """One page of the feed, counted from zero; empty past the end."""
+    """One page of the feed, counted from zero; empty past the end.
+
+    All earlier rows pass through the task that merges; for pages far down take :func:`feed_index`.
+    """
     return (
         in_categories(entries, categories)
         .orderBy(*newest_first())
@@ -101,6 +117,16 @@ def feed_window(
     return in_categories(entries, categories).orderBy(*newest_first()).limit(SCALES[scale].rows)
 
 
+def feed_index(
+    entries: DataFrame,
+    path: str,
+    categories: Sequence[str] = CATEGORIES,
+    range_rows: int = RANGE_ROWS,
+) -> Ranked:
+    """The feed stored by ranges of its order: ``stretch(page * page_size, page_size)`` reads any page from its range."""
+    return Ranked(in_categories(entries, categories), newest_first(), path, range_rows)
+
+
 def to_bronze(entries: DataFrame, process_date: str | Column, run_id: str = "manual") -> DataFrame:
     """Bronze records: stripped fields, an empty string for a missing element, authors in feed order."""
     day = F.lit(process_date) if isinstance(process_date, str) else process_date

@@ -1,0 +1,75 @@
+"""Line numbers and ranks against plain counts."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from scriptorium.operators.validate import validate
+from scriptorium.sources import feed
+from scriptorium.sources.layers import training_rows_from_lines
+from scriptorium.sources.positions import Ranked, numbered_lines
+
+
+@pytest.mark.parametrize("bytes_per_block", ["64", "1000000"])
+def test_lines_are_numbered_through_blocks(spark, tmp_path, bytes_per_block):
+    texts = {"a.txt": [f"line {i}" if i % 3 else " " for i in range(200)], "b.txt": ["", "only  "], "c.txt": []}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("".join(line + "\n" for line in lines))
+    sizes = {"spark.sql.files.maxPartitionBytes": bytes_per_block, "spark.sql.files.openCostInBytes": "1"}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        found = numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    told = {(r.file.rsplit("/", 1)[1], r.line_number, r.line) for r in found}
+    assert len(found) == len(told)
+    assert told == {(f, i + 1, t.strip()) for f, ts in texts.items() for i, t in enumerate(ts) if t.strip()}
+
+
+def test_rejected_lines_and_training_rows_keep_their_number(spark, tmp_path):
+    (tmp_path / "rows.jsonl").write_text('{"text":"a"}\n\n{"text":"b"}\n')
+    lines = numbered_lines(spark, str(tmp_path))
+    assert [(r.line_number, r.reason) for r in validate(lines).orderBy("line_number").collect()] == [
+        (1, "missing_key"),
+        (3, "missing_key"),
+    ]
+    rows = training_rows_from_lines(lines).orderBy("file", "line_number").collect()
+    assert [r.text for r in rows] == ["a", "b"]
+
+
+@pytest.mark.parametrize("range_rows", [7, 1000])
+def test_ranks_are_those_of_a_sort(spark, tmp_path, range_rows):
+    values = [(i * 37 % 101, i) for i in range(150)] + [(None, -1), (None, -2)]
+    rows = spark.createDataFrame(values, "v int, i int").repartition(5)
+    order = [F.col("v").desc_nulls_last(), F.col("i").asc()]
+    ranked = Ranked(rows, order, str(tmp_path / "ranked"), range_rows)
+    expected = sorted(values, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert [(r.v, r.i) for r in ranked.ranks().orderBy("rank").collect()] == expected
+    for start, size in ((0, 5), (60, 20), (145, 20), (152, 3), (9_000, 2)):
+        assert [(r.v, r.i) for r in ranked.stretch(start, size).collect()] == expected[start : start + size]
+
+
+def test_a_stretch_reads_its_ranges_only(spark, tmp_path):
+    ranked = Ranked(spark.range(1000), [F.col("id")], str(tmp_path / "ranked"), 100)
+    assert len(ranked) == 1000 and len(ranked.parts) > 5
+    page = ranked.stretch(500, 20)
+    assert [r.id for r in page.collect()] == list(range(500, 520))
+    scans = page._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [__part" in scans or "PartitionFilters: [isnotnull(__part" in scans
+
+
+def test_ranks_of_nothing(spark, tmp_path):
+    ranked = Ranked(spark.range(0), [F.col("id")], str(tmp_path / "ranked"))
+    assert len(ranked) == 0
+    assert ranked.ranks().collect() == [] and ranked.stretch(0, 10).collect() == []
+
+
+def test_scales_of_a_table_are_those_of_single_runs(spark):
+    names = [None, "", "  ", "Smoke", " test　", "full", "huge"]
+    runs = [(c, e, p) for c in names for e in names for p in names]
+    frame = spark.createDataFrame(runs, "conf string, env string, params string")
+    scale = feed.resolved_scale(F.col("conf"), F.col("env"), F.col("params"))
+    for r in frame.withColumn("scale", scale).withColumn("n", feed.scale_rows(F.col("scale"))).collect():
+        single = feed.resolve_scale({"scale": r.conf}, {"scale": r.params}, {"S": r.env or ""}, "S")
+        assert (r.scale, r.n) == (single, feed.SCALES[single].rows)
