@@ -93,14 +93,22 @@ def read_layer(
     if fmt == "json":
         reader = reader.options(mode="FAILFAST" if strict else "PERMISSIVE", **JSON_OPTIONS)
     rows = reader.load(path) if days is None else _load_days(spark, reader, path, days)
-    check_contract(rows, required)
+
+    def lines() -> DataFrame:
+        texts = spark.read.schema(f"value string, {PARTITION} string").format("text")
+        return spark.read.text(path) if days is None else _load_days(spark, texts, path, days)
+
+    check_contract(rows, required, lines if fmt == "json" else None)
     return rows
 
 
-def check_contract(rows: DataFrame, required: Iterable[str]) -> None:
+def check_contract(
+    rows: DataFrame, required: Iterable[str], lines: Callable[[], DataFrame] | None = None
+) -> None:
     """Raise when a required column is not there, or is there without a single value.
 
-    The usual case ends at the first complete row; only a suspect input is read to the end.
+    With ``lines``, which reads the JSON lines (``value``) of the rows, a column without values is there if a line has its
+    key. The usual case ends at the first complete row; only a suspect input is read to the end.
     """
     required = tuple(required)
     if not required:
@@ -112,6 +120,10 @@ def check_contract(rows: DataFrame, required: Iterable[str]) -> None:
             return
         counts = rows.agg(*[F.count(c).alias(c) for c in required]).first()
         missing = [c for c in required if counts[c] == 0]
+        if missing and lines is not None:
+            keys = F.json_object_keys("value")
+            held = lines().agg(*[F.max(F.array_contains(keys, c)).alias(c) for c in missing]).first()
+            missing = [c for c in missing if not held[c]]
     if missing:
         raise ContractError(f"missing columns {missing}, have {rows.columns}")
 

@@ -120,6 +120,13 @@ def test_contract(spark, tmp_path):
     layers.check_contract(mixed, ["title", "body"])
 
 
+def test_a_key_without_values_meets_the_contract(spark, tmp_path):
+    (tmp_path / "rows.jsonl").write_text('{"title":null,"body":"b"}\nnot json\n{"title":null,"body":null}\n')
+    assert layers.read_layer(spark, str(tmp_path), SILVER, ["title", "body"]).count() == 3
+    with pytest.raises(layers.ContractError, match=r"\['body_len'\]"):
+        layers.read_layer(spark, str(tmp_path), SILVER, ["title", "body", "body_len"])
+
+
 def test_missing_input(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         layers.read_layer(spark, str(tmp_path / "none"), SILVER)
