@@ -159,21 +159,38 @@ def _segments(window: int, gram: int):
     return run
 
 
+class Bits:
+    """Bit vector in words of 64, with the number of ones before each word."""
+
+    def __init__(self, bits: np.ndarray, kind: np.dtype):
+        self.packed = np.packbits(np.append(bits, np.zeros(64 - len(bits) % 64, bool)), bitorder="little").view(np.uint64)
+        self.before = np.zeros(len(self.packed) + 1, kind)
+        np.cumsum(np.bitwise_count(self.packed), out=self.before[1:])
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        """Ones before each of the given places."""
+        mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[at >> 6] + np.bitwise_count(self.packed[at >> 6] & mask)
+
+
 class FMIndex:
     """Wavelet matrix over the Burrows-Wheeler transform of numbers from 1; 0 ends each segment.
 
     Rows are in the order of their first ``2**rounds`` numbers, which is enough for matches up to that length.
+    A number costs its bits and an eighth to three sixteenths of that for ranks, 4 bytes for its place and, where rows
+    with the same ``window - 1`` numbers end, 4 bytes for that bound; all grow to 8 bytes from 2**31 numbers on.
     """
 
     def __init__(self, text: np.ndarray, window: int):
         n = len(text)
+        self.kind = np.dtype(np.int32 if n < 2**31 - 64 else np.int64)
         rank, reach = text.astype(np.int64), 1
         while reach < window:
             key = rank * (int(rank.max()) + 1)
             key[: n - reach] += rank[reach:]
             rank = np.unique(key, return_inverse=True)[1].reshape(-1).astype(np.int64) + 1
             reach *= 2
-        self.places = np.argsort(rank, kind="stable")
+        self.places = np.argsort(rank, kind="stable").astype(self.kind)
         self.size = n
         bwt = text[self.places - 1]
         self.bits = max(1, int(text.max()).bit_length())
@@ -181,22 +198,26 @@ class FMIndex:
         self.levels = []
         for shift in range(self.bits - 1, -1, -1):
             bit = ((bwt >> shift) & 1).astype(bool)
-            packed = np.packbits(np.append(bit, np.zeros(64 - n % 64, bool)), bitorder="little").view(np.uint64)
-            ones = np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int64)])
-            self.levels.append((packed, ones, n - int(bit.sum())))
+            self.levels.append((Bits(bit, self.kind), n - int(bit.sum())))
             bwt = np.concatenate([bwt[~bit], bwt[bit]])
         self._bounds(text, window - 1)
 
     def _bounds(self, text: np.ndarray, depth: int) -> None:
-        """For each row, the first and the last + 1 of the rows that share its first ``depth`` numbers."""
+        """Where the rows that share their first ``depth`` numbers begin."""
         padded = np.concatenate([text, np.zeros(depth, text.dtype)])
         alike = np.ones(max(self.size - 1, 0), bool)
         for d in range(depth):
             here = padded[self.places + d]
             alike &= here[1:] == here[:-1]
-        edge = np.concatenate([[0], np.flatnonzero(~alike) + 1, [self.size]])
-        group = np.searchsorted(edge, np.arange(self.size), side="right") - 1
-        self.low, self.high = edge[group], edge[group + 1]
+        self.edges = np.concatenate([[0], np.flatnonzero(~alike) + 1, [self.size]]).astype(self.kind)
+        opens = np.zeros(self.size, bool)
+        opens[self.edges[:-1]] = True
+        self.opens = Bits(opens, self.kind)
+
+    def shorter(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first and the last + 1 of the rows that share their first ``window - 1`` numbers with each row."""
+        group = self.opens.rank(row + 1)
+        return self.edges[group - 1], self.edges[group]
 
     def step(self, number: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows whose text is the number followed by a text of the given rows."""
@@ -204,14 +225,9 @@ class FMIndex:
         base = np.zeros(len(number), np.int64)
         both = np.concatenate([number, number])
         start = np.concatenate([base, base])
-        for i, (packed, ones, zeros) in enumerate(self.levels):
+        for i, (bits, zeros) in enumerate(self.levels):
             bit = ((both >> (self.bits - 1 - i)) & 1).astype(bool)
-
-            def rank(at):
-                mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-                return ones[at >> 6] + np.bitwise_count(packed[at >> 6] & mask)
-
-            upto, before = rank(ends), rank(start)
+            upto, before = bits.rank(ends), bits.rank(start)
             ends = np.where(bit, zeros + upto, ends - upto)
             start = np.where(bit, zeros + before, start - before)
         count = ends - start
@@ -238,18 +254,18 @@ def first_places(text: np.ndarray, window: int) -> np.ndarray:
             break
         low, high, at, begin = low[:going], high[:going], at[:going], begin[:going]
         if held == window:
-            low, high, held = index.low[low], index.high[low], held - 1
+            (low, high), held = index.shorter(low), held - 1
         low, high = index.step(text[at], low, high)
         held += 1
         if held == window:
-            lows.append(low), highs.append(high), places.append(at)
+            lows.append(low.astype(index.kind)), highs.append(high.astype(index.kind)), places.append(at.astype(index.kind))
         at = at - 1
     if not lows:
         return np.zeros(0, np.int64)
     low, high, place = map(np.concatenate, (lows, highs, places))
     rows, which = np.unique(low, return_index=True)
     pairs = np.stack([rows, high[which]], axis=1).reshape(-1)
-    least = np.minimum.reduceat(np.append(index.places, index.size), pairs)[::2]
+    least = np.minimum.reduceat(np.append(index.places, index.kind.type(index.size)), pairs)[::2]
     return np.sort(place[place == least[np.searchsorted(rows, low)]])
 
 
@@ -262,7 +278,7 @@ def _firsts(window: int, shard_words: int):
         split = [texts[i].split(" ") for i in order]
         sizes = np.fromiter(map(len, split), np.int64, len(split))
         codes: dict[str, int] = {}
-        flat = np.zeros(int(sizes.sum()) + len(split), np.int64)
+        flat = np.zeros(int(sizes.sum()) + len(split), np.int32)
         base = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
         inside = np.ones(len(flat), bool)
         inside[base + sizes] = False
@@ -344,9 +360,14 @@ def remove_repeats(
     # place and anchor of all documents, written once: counted first, then joined with the repeated ones
     known = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
     anchors = settle(known.mapInArrow(_anchor_codes(window, gram), "doc_id long, anchor long"), "anchors")
-    repeated = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    counted = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = settle(counted.select("anchor", (F.col("n") > hot_anchor).alias("hot")), "repeated")
+    # the few hot anchors are known before their many places are looked up, which no join brings together then
+    hot = settle(repeated.filter("hot").select("anchor"), "hot")
+    warm = anchors.join(hot, "anchor", "left_semi").withColumn("hot", F.lit(True))
+    rest = anchors.join(hot, "anchor", "left_anti").join(repeated.filter("not hot"), "anchor")
     marks = (
-        anchors.join(repeated.select("anchor", (F.col("n") > hot_anchor).alias("hot")), "anchor")
+        rest.unionByName(warm)
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("anchor", "hot")).alias("m"))
         .select("doc_id", F.col("m.anchor").alias("anchors"), F.col("m.hot").alias("hot"))
@@ -355,7 +376,8 @@ def remove_repeats(
 
     # used twice with the same columns, so that the texts are shuffled once
     rows = docs.select("doc_id", "text", F.struct(*keep).alias("row"))
-    marked = rows.join(marks, "doc_id", "left").select("row", "doc_id", "text", "anchors", "hot")
+    named, bare = rows.filter("doc_id is not null"), rows.filter("doc_id is null")
+    marked = named.join(marks, "doc_id", "left").select("row", "doc_id", "text", "anchors", "hot")
     segments = marked.mapInArrow(
         _segments(window, gram), "doc_id long, start long, anchor long, hot boolean, words string"
     )
@@ -374,6 +396,6 @@ def remove_repeats(
         .agg(F.collect_list("start").alias("kept"))
     )
     made = "kept_text string, n_words long, n_removed long, kept_sha256 string"
-    return marked.join(first, "doc_id", "left").mapInArrow(
-        _removal(window, gram), f"row {rows.schema['row'].dataType.simpleString()}, {made}"
-    )
+    # rows without id stay where they are
+    judged = marked.join(first, "doc_id", "left").unionByName(bare, allowMissingColumns=True)
+    return judged.mapInArrow(_removal(window, gram), f"row {rows.schema['row'].dataType.simpleString()}, {made}")

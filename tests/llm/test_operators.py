@@ -21,7 +21,7 @@ from scriptorium.llm.perspectives import perspectives
 from scriptorium.llm.sentencepiece import MODEL, Encoder, Model, encode_decode, load
 from scriptorium.llm.sharding import assign_shards, write_shards
 from scriptorium.llm.store import settle
-from scriptorium.llm.substring_dedup import first_places, remove_repeats
+from scriptorium.llm.substring_dedup import FMIndex, first_places, remove_repeats
 
 DOCS = "doc_id long, text string, n_words long, kept string, anchors int"  # the last three clash with names made inside
 
@@ -136,6 +136,29 @@ def test_first_places_of_repetitive_text():
         assert first_places(text, window).tolist() == expected
 
 
+def test_index_is_compressed_and_finds_shorter_matches():
+    rng = np.random.default_rng(1)
+    text = np.append(rng.integers(1, 4, 5_000), 0).astype(np.int32)
+    index = FMIndex(text, 4)
+    bits = [b for b, _ in index.levels] + [index.opens]
+    held = index.places.nbytes + index.edges.nbytes + sum(b.packed.nbytes + b.before.nbytes for b in bits)
+    assert held < 9 * len(text)
+    shares = [tuple(np.append(text, [0] * 3)[p : p + 3]) for p in index.places.tolist()]
+    low, high = index.shorter(np.arange(len(text)))
+    for row in range(0, len(text), 97):
+        same = [i for i, s in enumerate(shares) if s == shares[row]]
+        assert (low[row], high[row]) == (same[0], same[-1] + 1)
+
+
+def test_rows_without_id_and_hot_anchors_do_not_meet_in_a_join(spark):
+    line = " ".join(f"w{i}" for i in range(30))
+    rows = spark.createDataFrame([(None, line)] * 5 + [(i, f"{i} {line}") for i in range(9)], "doc_id long, text string")
+    found = remove_repeats(rows, hot_anchor=3).collect()
+    assert sorted((r.row.doc_id is None, r.row.doc_id or 0, r.n_removed) for r in found) == [
+        (False, 0, 0), *[(False, i, 30) for i in range(1, 9)], *[(True, 0, 0)] * 5
+    ]
+
+
 def test_repeats_without_rows_or_ids(spark):
     assert remove_repeats(documents(spark).limit(0)).collect() == []
     rows = spark.createDataFrame([(None, "a " * 30), (1, "a " * 30)], "doc_id long, text string")
