@@ -362,12 +362,15 @@ def remove_repeats(
     anchors = settle(known.mapInArrow(_anchor_codes(window, gram), "doc_id long, anchor long"), "anchors")
     counted = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     repeated = settle(counted.select("anchor", (F.col("n") > hot_anchor).alias("hot")), "repeated")
-    # the few hot anchors are known before their many places are looked up, which no join brings together then
-    hot = settle(repeated.filter("hot").select("anchor"), "hot")
-    warm = anchors.join(hot, "anchor", "left_semi").withColumn("hot", F.lit(True))
-    rest = anchors.join(hot, "anchor", "left_anti").join(repeated.filter("not hot"), "anchor")
+    # the few hot anchors are known before; their places look nothing up, from a key of their own, so that no join brings them together
+    hot = settle(repeated.filter("hot").select("anchor", "hot"), "hot")
+    asked = F.when(F.col("hot"), F.xxhash64("doc_id", "anchor")).otherwise(F.col("anchor")).alias("asked")
+    places = anchors.join(hot, "anchor", "left").select("doc_id", "anchor", "hot", asked)
+    told = repeated.filter("not hot").select(F.col("anchor").alias("asked"), F.col("hot").alias("told"))
     marks = (
-        rest.unionByName(warm)
+        places.join(told, "asked", "left")
+        .filter("hot or told is not null")
+        .select("doc_id", "anchor", F.coalesce("hot", F.lit(False)).alias("hot"))
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("anchor", "hot")).alias("m"))
         .select("doc_id", F.col("m.anchor").alias("anchors"), F.col("m.hot").alias("hot"))
