@@ -29,6 +29,8 @@ LIMIT = 128_000_000
 BITS = 60
 #: Bits of a fine prefix beyond an even split, and of every further round.
 SLACK, MORE = 6, 8
+#: Prefixes of a task that writes tables about them. Every file that a task writes to a local disk starts a process.
+TASK_PREFIXES = 16_384
 
 
 def _prefix(depth: int):
@@ -45,6 +47,11 @@ def _measures() -> list:
     ]
 
 
+def _tasks(depth: int) -> int:
+    """Tasks for a table with at most a row for each prefix of ``depth`` bits."""
+    return max(4, min(1 << depth, 1 << 30) // TASK_PREFIXES)
+
+
 def _buckets(rows: DataFrame, limit: int) -> list[tuple[DataFrame, int, DataFrame]]:
     """Of each round the rows that are left, the bits of a fine prefix, and (fine, b): the buckets found in the round.
 
@@ -57,7 +64,7 @@ def _buckets(rows: DataFrame, limit: int) -> list[tuple[DataFrame, int, DataFram
         fine = rest.groupBy(_prefix(depth).alias("fine")).agg(
             F.sum("n_bytes").alias("n_bytes"), (F.min("hash") == F.max("hash")).alias("alike")
         )
-        fine = settle(fine, "fine")
+        fine = settle(fine.coalesce(_tasks(depth)), "fine")
         lower = F.explode(F.sequence(F.lit(least), F.lit(depth)))
         above = fine.select("fine", "n_bytes", "alike", lower.alias("depth")).withColumn(
             "prefix", F.expr(f"shiftright(fine, {depth} - depth)")
@@ -71,9 +78,9 @@ def _buckets(rows: DataFrame, limit: int) -> list[tuple[DataFrame, int, DataFram
         alike = fine.filter(stuck).select(
             "fine", F.struct(F.lit(depth).alias("depth"), F.col("fine").alias("prefix"), F.lit(None).cast("long").alias("bucket_bytes")).alias("b")
         )
-        buckets = settle(buckets.union(alike), "buckets")
+        buckets = settle(buckets.union(alike).coalesce(_tasks(depth)), "buckets")
         known.append((rest, depth, buckets))
-        large = settle(fine.filter((F.col("n_bytes") > limit) & ~stuck).select("fine"), "large")
+        large = settle(fine.filter((F.col("n_bytes") > limit) & ~stuck).select("fine").coalesce(_tasks(depth)), "large")
         if depth >= BITS or large.isEmpty():
             break
         rest = rest.join(large, _prefix(depth) == F.col("fine"), "left_semi")
@@ -150,7 +157,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")
     written = settle(written.select("doc_id", size, "_shard"), "written")
     sizes = written.groupBy("_shard").agg(F.sum("n_bytes").alias("shard_bytes"))
-    return written.join(settle(sizes, "sizes"), "_shard").select(
+    return written.join(settle(sizes.coalesce(_tasks(rounds[0][1])), "sizes"), "_shard").select(
         "doc_id",
         "n_bytes",
         F.regexp_extract("_shard", "^b([01]*)-", 1).alias("shard"),

@@ -341,6 +341,23 @@ def test_shards_hold_their_rows_in_whatever_order_the_input_is_read(spark, tmp_p
     assert told == {name: sum(s) for name, s in sizes.items()}
 
 
+def test_tables_of_prefixes_are_written_by_few_tasks(spark, tmp_path):
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat(cast(id as string), 5) as text")
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    files = lambda: {f for name in ("fine", "buckets", "large", "sizes") for f in glob.glob(f"{shared}/{name}-*/part-*")}
+    changed = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, held = {k: spark.conf.get(k) for k in changed}, files()
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        found = write_shards(docs, str(tmp_path / "shards"), 1000).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(found) == 3000 and max(r["shard_bytes"] for r in found) <= 1000
+    assert len(files() - held) <= 16  # a process is started for each file on a local disk
+
+
 def test_the_sharding_query_writes_its_shards(spark):
     made = lambda: set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir').removeprefix('file:')}/**/_shard=b*", recursive=True))
     held = made()
