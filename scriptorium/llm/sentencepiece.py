@@ -37,8 +37,8 @@ from scriptorium.llm.words import _BASE, _INVERSE, _VALUE, _power, mix, slices,
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LONG = 200
-#: Units remembered by a worker.
-REMEMBERED = 150_000
+#: Units remembered by a worker, about 40 bytes each.
+REMEMBERED = 500_000
 
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
@@ -218,8 +218,24 @@ class Model:
             score[some[same]] = self.pair_score[at[same]]
         return score
 
+    @cached_property
+    def _judged(self) -> np.ndarray:
+        """For slots of pairs, the pair last judged there, times two, plus whether it is stable."""
+        return np.full(1 << 21, -1)
+
     def stable(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging never joins parts of piece a with parts of piece b that follows it."""
+        key = a * len(self.pieces) + b
+        slot = _slot(key)
+        judged = self._judged[slot]
+        good = (judged & 1).astype(bool)
+        rest = np.flatnonzero(judged >> 1 != key)
+        if len(rest):
+            good[rest] = self._stays(a[rest], b[rest])
+            self._judged[slot[rest]] = key[rest] * 2 + good[rest]
+        return good
+
+    def _stays(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         good = self._merged(a, b) == -np.inf
         rest = np.flatnonzero(good)
         a, b = a[rest], b[rest]
@@ -337,9 +353,18 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}  # place of a unit's code in the arrays
+        # codes of units in ascending order; the ids of each in ``flat``, and how often it was met
+        self.code, self.uses = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _forget_rare(self) -> None:
+        """Keep the half that was met most often."""
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[: len(self.uses) // 2])
+        size = self.size[kept]
+        first = np.cumsum(size) - size
+        self.flat = self.flat[np.arange(size.sum()) + np.repeat(self.first[kept] - first, size)]
+        self.code, self.uses, self.first, self.size = self.code[kept], self.uses[kept] // 2, first, size
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and the first of each text and at the end their number."""
         texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), SPACE, " ")
@@ -357,18 +382,25 @@ class Encoder:
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_VALUE[data] * _power(_BASE, len(data)), out=sums[1:])
         code = mix((sums[end] - sums[start[: len(end)]]) * _power(_INVERSE, len(data) + 1)[start]) if len(start) else np.zeros(0, np.uint64)
-        keys, which, inverse = np.unique(code, return_index=True, return_inverse=True)
-        keys = keys.tolist()
-        if len(self.known) > REMEMBERED:
-            self._forget()
-        new = [i for i, key in enumerate(keys) if key not in self.known]
-        body = data.tobytes()
-        units = [body[a:b].decode().replace(" ", SPACE) for a, b in zip(start[which[new]].tolist(), end[which[new]].tolist())]
-        flat, sizes = self.model.encode_units(units)
-        self.known.update(zip((keys[i] for i in new), range(len(self.known), len(self.known) + len(new))))
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, sizes])
-        place = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))[inverse]
+        keys, which, inverse, times = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+        if len(self.code) > REMEMBERED:
+            self._forget_rare()
+        at = np.searchsorted(self.code, keys)
+        unknown = np.ones(len(keys), bool)
+        inside = at < len(self.code)
+        unknown[inside] = self.code[at[inside]] != keys[inside]
+        new = np.flatnonzero(unknown)
+        if len(new):
+            body = data.tobytes()
+            units = [body[a:b].decode().replace(" ", SPACE) for a, b in zip(start[which[new]].tolist(), end[which[new]].tolist())]
+            flat, sizes = self.model.encode_units(units)
+            before = at[new]
+            self.first = np.insert(self.first, before, len(self.flat) + np.cumsum(sizes) - sizes)
+            self.flat, self.size = np.concatenate([self.flat, flat]), np.insert(self.size, before, sizes)
+            self.code, self.uses = np.insert(self.code, before, keys[new]), np.insert(self.uses, before, 0)
+            at += np.cumsum(unknown) - unknown
+        self.uses[at] += times
+        place = at[inverse]
         many = self.size[place]
         upto = np.concatenate([[0], np.cumsum(many)])
         ids = self.flat[np.arange(upto[-1]) - np.repeat(upto[:-1] - self.first[place], many)]

@@ -279,6 +279,20 @@ def test_best_fit_puts_each_piece_into_the_fullest_row_that_holds_it():
     assert used.max() == 1
 
 
+def test_units_met_often_stay_remembered(monkeypatch):
+    model, plain, met = load(MODEL), load(MODEL), []
+    monkeypatch.setattr("scriptorium.llm.sentencepiece.REMEMBERED", 50)
+    encoded = model.encode_units
+    monkeypatch.setattr(model, "encode_units", lambda units: met.extend(units) or encoded(units))
+    encoder = Encoder(model)
+    for i in range(12):
+        texts = pa.array([f"the same words come again, rare{i}x{j} wörd{chr(0x4E00 + 20 * i + j)}" for j in range(20)] + [None, ""])
+        ids, first = encoder.encode(texts)
+        fresh, starts = Encoder(plain).encode(texts)
+        assert ids.tolist() == fresh.tolist() and first.tolist() == starts.tolist()
+    assert met.count("▁same") == met.count("▁again") == 1
+
+
 def test_packed_pieces_give_the_ids_back(spark):
     docs = documents(spark).select("doc_id", "text")
     blocks = settle(packing.pack(docs, width=64, shard_bytes=3000, block_rows=3), "packed").collect()
