@@ -50,12 +50,14 @@ class Layout:
 
     ``fmt`` is the format of the silver, gold and training layers. In a columnar one, a stage reads only
     the columns it uses. With ``run`` every layer lies in a folder of that run, which nobody reads before the run
-    is published (see :mod:`scriptorium.plans.publication`).
+    is published (see :mod:`scriptorium.plans.publication`). ``compression`` is the codec of lines and JSON rows, each
+    of which is written once a layer; None leaves them plain. A file is read by one task then, and a task writes one a day.
     """
 
     root: str
     fmt: str = "json"
     run: str | None = None
+    compression: str | None = "gzip"
 
     def layer(self, name: str) -> str:
         return f"{self.root}/{name}" + (f"/run={self.run}" if self.run else "")
@@ -111,7 +113,7 @@ def extract(
     """Newest entries of landed feed files to the day's raw bronze lines."""
     window = feed.feed_window(feed.read_feed(spark, landed, feed.CATEGORIES), scale)
     lines = as_lines(feed.to_bronze(window, day, run_id))
-    return write_layer(lines, layout.raw, days=[day], fmt="text")
+    return write_layer(lines, layout.raw, days=[day], fmt="text", compression=layout.compression)
 
 
 def validate_days(
@@ -131,7 +133,7 @@ def validate_days(
     kind = F.array_position(F.array(*map(F.lit, v.REASONS)), F.coalesce("reason", F.lit("")))
     flagged = v.validate(raw_lines(spark, raw, days)).observe(seen, counts.metric(F.col(PARTITION), kind).alias("n"))
     lines = v.valid_records(flagged).select(F.col("line").alias("value"), PARTITION)
-    write_layer(lines, layout.validated, days=days, fmt="text")
+    write_layer(lines, layout.validated, days=days, fmt="text", compression=layout.compression)
     counted = []
     for day, (valid, *invalid) in counts.read(seen.get["n"]).items():
         counted.append((day, valid + sum(invalid), valid, sum(invalid)))
@@ -210,16 +212,16 @@ def _later_stages(
     """Silver, gold and training layer of the days."""
     rows = read_layer(spark, layout.validated, BRONZE, BRONZE_REQUIRED, days)
     written: dict[str, int] = {}
-    write_layer(silver(rows), layout.silver, days=days, fmt=layout.fmt, per_day=written)
+    write_layer(silver(rows), layout.silver, days=days, fmt=layout.fmt, per_day=written, compression=layout.compression)
     _finish(spark, result, "silver", layout.validated, layout.silver, written)
 
     rows = read_layer(spark, layout.silver, SILVER, SILVER_REQUIRED, days, fmt=layout.fmt)
-    write_layer(gold(rows), layout.gold, days=days, fmt=layout.fmt, per_day=written)
+    write_layer(gold(rows), layout.gold, days=days, fmt=layout.fmt, per_day=written, compression=layout.compression)
     _finish(spark, result, "gold", layout.silver, layout.gold, written)
 
     rows = read_layer(spark, layout.gold, GOLD, days=days, strict=True, fmt=layout.fmt)
     messages = training_messages(rows, keep=(PARTITION,)).drop("fallback")
-    write_layer(messages, layout.training, days=days, fmt=layout.fmt, per_day=written)
+    write_layer(messages, layout.training, days=days, fmt=layout.fmt, per_day=written, compression=layout.compression)
     _finish(spark, result, "sft_train", layout.gold, layout.training, written)
 
 

@@ -397,7 +397,7 @@ def _landed_days(spark: SparkSession, sf_dir: str) -> str:
     landing = shared_dir(spark, "landing")
     lines = st.raw_lines(_documents(spark, sf_dir))
     days = lines.select(F.col("line").alias("value"), st.day().alias(PARTITION))
-    write_layer(days, landing, fmt="text", rebalance=True)
+    write_layer(days, landing, fmt="text", rebalance=True, compression="gzip")
     return landing
 
 

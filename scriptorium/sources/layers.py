@@ -22,6 +22,10 @@ PARTITION = "process_date"
 # The JSON reader's own bounds would turn a record with a very long text into nulls.
 JSON_OPTIONS = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1)}
 
+#: Formats of plain lines, and the level at which they are compressed.
+LINES = ("text", "json")
+FAST = {"zlib.compress.level": "BEST_SPEED"}
+
 _CHECK_KEY = "__line_hash"
 
 
@@ -170,6 +174,7 @@ def write_layer(
     rows_per_file: int | None = None,
     rebalance: bool = False,
     per_day: dict[str, int] | None = None,
+    compression: str | None = None,
 ) -> int:
     """Write days of a layer, replacing those days only, and return the number of rows written.
 
@@ -178,6 +183,7 @@ def write_layer(
     have no rows is emptied, where it would keep its earlier rows otherwise. ``rebalance`` evens out
     file sizes by a shuffle that splits a large day over tasks; use it when many days are written at
     once from input that is not laid out by day. ``per_day`` receives the rows of each of ``days``.
+    ``compression`` is the codec of text and JSON files; readers tell it by the files' names.
     """
     if day is not None:
         rows = rows.withColumn(PARTITION, F.lit(day))
@@ -193,6 +199,8 @@ def write_layer(
     writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
+    if compression and fmt in LINES:
+        writer = writer.options(compression=compression, **FAST)
     writer.partitionBy(PARTITION).format(fmt).save(root)
     for empty in sorted(set(days) - set(written.get["days"])):
         nothing = rows.sparkSession.createDataFrame([], rows.drop(PARTITION).schema)

@@ -428,6 +428,23 @@ def test_same_result_as_one_batch(spark, tmp_path):
     assert ours.exceptAll(whole).isEmpty()
 
 
+def test_layers_are_written_compressed(spark, tmp_path):
+    """The layers hold the texts again and again, so plain lines would be several times the input."""
+    for day in DAYS[:2]:
+        land(str(tmp_path / "raw"), day, "a.jsonl", [record(i, day) for i in range(200)])
+    layouts = {c: daily.Layout(str(tmp_path / f"out-{c}"), compression=c) for c in (None, "gzip")}
+    for layout in layouts.values():
+        daily.process_days(spark, layout, DAYS[:2], raw=str(tmp_path / "raw"))
+    size = {}
+    for name in ("bronze_validated", "silver", "gold", "sft_train"):
+        files = {c: glob.glob(f"{layout.layer(name)}/process_date=*/part-*") for c, layout in layouts.items()}
+        size = {c: sum(map(os.path.getsize, found)) for c, found in files.items()}
+        assert size["gzip"] < size[None] / 4
+        plain, packed = (sorted(r.value for r in spark.read.text(layout.layer(name)).collect()) for layout in layouts.values())
+        assert plain == packed and len(packed) == 400
+    assert daily.Layout("root").compression == "gzip"
+
+
 def test_columnar_layers(spark, tmp_path, plan):
     land(str(tmp_path / "in"), DAYS[0], "f", [record(i) for i in range(4)])
     rows = {}
