@@ -37,8 +37,8 @@ from scriptorium.llm.words import _BASE, _INVERSE, _VALUE, _power, mix, slices,
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 LONG = 200
-#: Units remembered by a worker, about 40 bytes each.
-REMEMBERED = 500_000
+#: Units remembered by a worker, and ids of a unit on average; about 40 bytes each.
+REMEMBERED, IDS = 500_000, 8
 
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
@@ -221,12 +221,12 @@ class Model:
     @cached_property
     def _judged(self) -> np.ndarray:
         """For slots of pairs, the pair last judged there, times two, plus whether it is stable."""
-        return np.full(1 << 21, -1)
+        return np.full(1 << 20, -1)
 
     def stable(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging never joins parts of piece a with parts of piece b that follows it."""
         key = a * len(self.pieces) + b
-        slot = _slot(key)
+        slot = _slot(key) >> np.uint64(1)
         judged = self._judged[slot]
         good = (judged & 1).astype(bool)
         rest = np.flatnonzero(judged >> 1 != key)
@@ -355,7 +355,7 @@ class Encoder:
     def _forget(self) -> None:
         # codes of units in ascending order; the ids of each in ``flat``, and how often it was met
         self.code, self.uses = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.flat, self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def _forget_rare(self) -> None:
         """Keep the half that was met most often."""
@@ -383,7 +383,7 @@ class Encoder:
         np.cumsum(_VALUE[data] * _power(_BASE, len(data)), out=sums[1:])
         code = mix((sums[end] - sums[start[: len(end)]]) * _power(_INVERSE, len(data) + 1)[start]) if len(start) else np.zeros(0, np.uint64)
         keys, which, inverse, times = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        if len(self.code) > REMEMBERED:
+        if len(self.code) > REMEMBERED or len(self.flat) > REMEMBERED * IDS:
             self._forget_rare()
         at = np.searchsorted(self.code, keys)
         unknown = np.ones(len(keys), bool)

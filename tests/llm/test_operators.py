@@ -293,6 +293,17 @@ def test_units_met_often_stay_remembered(monkeypatch):
     assert met.count("▁same") == met.count("▁again") == 1
 
 
+def test_ids_of_long_units_are_bounded_as_well(monkeypatch):
+    monkeypatch.setattr("scriptorium.llm.sentencepiece.REMEMBERED", 50)
+    model = load(MODEL)
+    encoder = Encoder(model)
+    for i in range(30):
+        texts = pa.array(["ab" * (300 + i)])
+        ids, _ = encoder.encode(texts)
+        assert ids.tolist() == Encoder(model).encode(texts)[0].tolist() and len(ids) > 200
+        assert len(encoder.flat) < 2000
+
+
 def test_packed_pieces_give_the_ids_back(spark):
     docs = documents(spark).select("doc_id", "text")
     blocks = settle(packing.pack(docs, width=64, shard_bytes=3000, block_rows=3), "packed").collect()
