@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.store import components, settle, small_batches
 from scriptorium.llm.words import grams, mix, slices, words_of
+from scriptorium.llm.worker import lean
 
 SHINGLE, LEVEL, SCALE = 5, 80, 100
 #: Growth of set sizes within a band of equal group numbers.
@@ -50,6 +51,8 @@ BLOCK_DOCS, BLOCK_SHINGLES = 6_000, 3_000_000
 COMMON_SAMPLE, COMMON_DOCS, COMMON = 8_000, 6, 30_000
 #: Keys that a task combines before it passes them on.
 COMBINE_KEYS = 1_500_000
+#: Rows of an Arrow batch of keys at most; a batch is held whole on either side.
+BATCH_ROWS = 50_000
 
 
 def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
@@ -159,15 +162,23 @@ def _signatures(shingle: int):
     return run
 
 
-def _meet(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Key and smallest document of each run of equal keys, and (document, smallest) of the others."""
+def _meet(keys: list[np.ndarray], docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Key and smallest document of each run of equal keys, and (document, smallest) of the others; empties both lists."""
+    key = np.concatenate(keys)
+    keys.clear()
+    doc = np.concatenate(docs)
+    docs.clear()
     order = np.lexsort((doc, key))
-    key, doc = key[order], doc[order]
+    key = key[order]
+    doc = doc[order]
+    del order
     opens = np.ones(len(key), bool)
     opens[1:] = key[1:] != key[:-1]
-    least = doc[np.flatnonzero(opens)][np.cumsum(opens) - 1]
-    pairs = np.unique(np.stack([doc, least], axis=1)[doc != least], axis=0)
-    return key[opens], doc[opens], pairs[:, 0], pairs[:, 1]
+    first, others = np.flatnonzero(opens), np.flatnonzero(~opens)
+    pairs = np.stack([doc[others], doc[first[np.searchsorted(first, others) - 1]]], axis=1)
+    pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+    key = key[first]
+    return key, doc[first], pairs[:, 0], pairs[:, 1]
 
 
 def _held_shingles(shingle: int):
@@ -189,16 +200,18 @@ def _keys(shingle: int, level: int, scale: int, combine: int, common: np.ndarray
     """(key, doc_id, null) of each group, and (any, a, b) for documents that met in this task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        keys: list[np.ndarray] = []
+        docs: list[np.ndarray] = []
         n, seen = 0, set()
 
-        def passed_on() -> pa.RecordBatch:
-            key, doc, a, b = _meet(*map(np.concatenate, zip(*held)))
-            none = pa.nulls(len(key), pa.int64())
-            b = pa.concat_arrays([none, pa.array(b, pa.int64())])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([key, a])), pa.array(np.concatenate([doc, a])), b], ["key", "a", "b"]
-            )
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            key, doc, a, b = _meet(keys, docs)
+            for at in range(0, len(key), BATCH_ROWS):
+                some = [pa.array(c[at : at + BATCH_ROWS]) for c in (key, doc)]
+                yield pa.RecordBatch.from_arrays([*some, pa.nulls(len(some[0]), pa.int64())], ["key", "a", "b"])
+            for at in range(0, len(a), BATCH_ROWS):
+                one, two = (pa.array(c[at : at + BATCH_ROWS]) for c in (a, b))
+                yield pa.RecordBatch.from_arrays([one, one, two], ["key", "a", "b"])
 
         for batch in batches:
             for part in slices(batch, "text"):
@@ -209,14 +222,14 @@ def _keys(shingle: int, level: int, scale: int, combine: int, common: np.ndarray
                         seen.add(digest)
                         fresh.append(i)
                 which, key = group_keys([sets[i] for i in fresh], level, scale, common)
-                held.append((key, ids[np.array(fresh, np.int64)][which].astype(np.int64)))
+                keys.append(key)
+                docs.append(ids[np.array(fresh, np.int64)][which].astype(np.int64))
                 n += len(key)
                 if n >= combine:
-                    yield passed_on()
-                    held, n = [], 0
-                    seen = set()
+                    yield from passed_on()
+                    n, seen = 0, set()
         if n:
-            yield passed_on()
+            yield from passed_on()
 
     return run
 
@@ -372,9 +385,9 @@ def similar_components(
     small_batches(docs.sparkSession)
     known = docs.select("doc_id", "text").filter("doc_id is not null")
     measured_as = "doc_id long, n_shingles long, d1 long, d2 long"
-    signed = settle(known.mapInArrow(_signatures(shingle), measured_as), "sets")
+    signed = settle(known.mapInArrow(lean(_signatures(shingle)), measured_as), "sets")
     # rows that have no id to be linked by
-    nameless = docs.filter("doc_id is null").select(F.lit(0).cast("long").alias("doc_id"), "text").mapInArrow(_signatures(shingle), measured_as)
+    nameless = docs.filter("doc_id is null").select(F.lit(0).cast("long").alias("doc_id"), "text").mapInArrow(lean(_signatures(shingle)), measured_as)
     none = F.lit(None).cast("long")
     nameless = nameless.select(none.alias("doc_id"), "n_shingles", none.alias("component_id"))
     classes = signed.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("least"))
@@ -387,16 +400,16 @@ def similar_components(
     # shingles of many unlike documents, from a sample of fixed size; leaving any out of the keys loses no link
     some = classed.filter("doc_id = rep").select("doc_id").distinct().orderBy(F.xxhash64("doc_id")).limit(COMMON_SAMPLE)
     seen = known.join(F.broadcast(settle(some, "some")), "doc_id").select("text")
-    told = seen.mapInArrow(_held_shingles(shingle), "code long, kind long").distinct()
+    told = seen.mapInArrow(lean(_held_shingles(shingle)), "code long, kind long").distinct()
     told = told.groupBy("code").agg(F.count("*").alias("kinds"))
     told = told.filter(F.col("kinds") >= COMMON_DOCS).orderBy(F.desc("kinds"), "code").limit(COMMON)
     common = np.sort(np.array([r["code"] for r in told.collect()], np.int64).view(np.uint64))
 
     met = (
-        known.mapInArrow(_keys(shingle, level, scale, combine_keys, common), "key long, a long, b long")
+        known.mapInArrow(lean(_keys(shingle, level, scale, combine_keys, common)), "key long, a long, b long")
         .repartition("key")
         .sortWithinPartitions("key", "a")
-        .mapInArrow(_neighbours, "a long, b long")
+        .mapInArrow(lean(_neighbours), "a long, b long")
     )
     for side in "ab":  # equal sets are one node
         twin = twins.select(F.col("doc_id").alias(side), F.col("rep").alias(f"{side}_rep"))
@@ -429,7 +442,7 @@ def similar_components(
         known.join(placed, "doc_id")
         .repartition("part", "band", "one", "two")
         .sortWithinPartitions("part", "band", "one", "two")
-        .mapInArrow(_links(shingle, level, scale), "a long, b long")
+        .mapInArrow(lean(_links(shingle, level, scale)), "a long, b long")
     )
     linked = components(links, "linked")
     return classed.join(linked, F.col("rep") == F.col("node"), "left").select(

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.store import small_batches
 from scriptorium.llm.words import _BASE, _INVERSE, _VALUE, _power, mix, slices, utf8
+from scriptorium.llm.worker import kept
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -415,16 +416,10 @@ class Encoder:
         return text.decode(errors="replace")
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def _encoder(held) -> Encoder:
     """The encoder of this worker process, which later tasks find again with what it remembers."""
     model = held.value
-    if model.digest not in _encoders:
-        _encoders.clear()
-        _encoders[model.digest] = Encoder(model)
-    return _encoders[model.digest]
+    return kept(f"encoder {model.digest}", lambda: Encoder(model))
 
 
 def load(path: str) -> Model:

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.store import settle, small_batches
 from scriptorium.llm.words import Words, grams, slices, words_of
+from scriptorium.llm.worker import lean
 
 WINDOW = 20
 GRAM = 8
@@ -359,7 +360,7 @@ def remove_repeats(
     small_batches(docs.sparkSession)
     # place and anchor of all documents, written once: counted first, then joined with the repeated ones
     known = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    anchors = settle(known.mapInArrow(_anchor_codes(window, gram), "doc_id long, anchor long"), "anchors")
+    anchors = settle(known.mapInArrow(lean(_anchor_codes(window, gram)), "doc_id long, anchor long"), "anchors")
     counted = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
     repeated = settle(counted.select("anchor", (F.col("n") > hot_anchor).alias("hot")), "repeated")
     # the few hot anchors are known before; their places look nothing up, from a key of their own, so that no join brings them together
@@ -382,7 +383,7 @@ def remove_repeats(
     named, bare = rows.filter("doc_id is not null"), rows.filter("doc_id is null")
     marked = named.join(marks, "doc_id", "left").select("row", "doc_id", "text", "anchors", "hot")
     segments = marked.mapInArrow(
-        _segments(window, gram), "doc_id long, start long, anchor long, hot boolean, words string"
+        lean(_segments(window, gram)), "doc_id long, start long, anchor long, hot boolean, words string"
     )
     route = F.when(F.col("hot"), F.xxhash64("words")).otherwise(F.col("anchor"))
     distinct = (
@@ -394,11 +395,11 @@ def remove_repeats(
     first = (
         distinct.repartition("route")
         .sortWithinPartitions("route")
-        .mapInArrow(_firsts(window, shard_words), "doc_id long, start long")
+        .mapInArrow(lean(_firsts(window, shard_words)), "doc_id long, start long")
         .groupBy("doc_id")
         .agg(F.collect_list("start").alias("kept"))
     )
     made = "kept_text string, n_words long, n_removed long, kept_sha256 string"
     # rows without id stay where they are
     judged = marked.join(first, "doc_id", "left").unionByName(bare, allowMissingColumns=True)
-    return judged.mapInArrow(_removal(window, gram), f"row {rows.schema['row'].dataType.simpleString()}, {made}")
+    return judged.mapInArrow(lean(_removal(window, gram)), f"row {rows.schema['row'].dataType.simpleString()}, {made}")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.store import settle, small_batches
 from scriptorium.llm.words import Words, slices, utf8, words_in, words_of
+from scriptorium.llm.worker import lean
 
 #: Labelled rows to learn from at most, and words of the learned list.
 SAMPLE, LEARNED = 24_000, 200
@@ -174,7 +175,7 @@ def with_features(rows: DataFrame, learned: list[int]) -> DataFrame:
 
     packed = rows.select(F.struct(*rows.columns).alias("row"))
     kind = packed.schema["row"].dataType.simpleString()
-    return packed.mapInArrow(run, f"row {kind}, " + ", ".join(f"{c} double" for c in FEATURES))
+    return packed.mapInArrow(lean(run), f"row {kind}, " + ", ".join(f"{c} double" for c in FEATURES))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -198,7 +199,7 @@ class Model:
         if self.constant is not None:
             return
         one, zero = counts.get(1, 0), counts.get(0, 0)
-        told = taught.mapInArrow(_word_codes, "code long, toxic int").groupBy("code").agg(
+        told = taught.mapInArrow(lean(_word_codes), "code long, toxic int").groupBy("code").agg(
             F.sum("toxic").alias("a"), F.count("*").alias("n")
         )
         odds = F.log(((F.col("a") + 0.5) / (one + 1)) / ((F.col("n") - F.col("a") + 0.5) / (zero + 1)))
