@@ -34,6 +34,15 @@ def settle(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+#: Rows of a sample that a task writes. Every file that a task writes to a local disk starts processes.
+SAMPLE_ROWS = 2_000
+
+
+def sample_tasks(sample: int) -> int:
+    """Tasks that write a sample of at most so many rows, whatever the number of shuffle partitions."""
+    return max(1, sample // SAMPLE_ROWS)
+
+
 #: Parts into which the rows that ask for one node are dealt.
 SEATS = 256
 

@@ -23,7 +23,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.store import settle, small_batches
+from scriptorium.llm.store import sample_tasks, settle, small_batches
 from scriptorium.llm.words import Words, slices, utf8, words_in, words_of
 from scriptorium.llm.worker import lean
 
@@ -193,7 +193,7 @@ class Model:
         # the smallest hashes: a top-k of each task, at most `sample` rows in all, so broadcasting is bounded
         chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         taught = docs.select("doc_id", "text").join(F.broadcast(settle(chosen, "chosen")), "doc_id")
-        taught = settle(taught.dropDuplicates(["doc_id"]), "taught")
+        taught = settle(taught.dropDuplicates(["doc_id"]).coalesce(sample_tasks(sample)), "taught")
         counts = {r["toxic"]: r["n"] for r in taught.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         self.constant = float(max(counts, default=0)) if len(counts) < 2 else None
         if self.constant is not None:

@@ -492,6 +492,27 @@ def test_toxicity_learns_and_scores_all_texts(spark):
     assert {r.score for r in none.collect()} == {0.0}
 
 
+def test_rows_that_teach_toxicity_are_written_by_few_tasks(spark):
+    told = " you idiot", *[" and more"] * 4
+    docs = spark.createDataFrame([(i, f"word{i % 7}{told[i % 5]}") for i in range(1200)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 5 = 0 as int) as toxic")
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    files = lambda: set(glob.glob(f"{shared}/taught-*/part-*"))
+    changed = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, held = {k: spark.conf.get(k) for k in changed}, files()
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        toxicity.Model(docs, labels)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    made = sorted(files() - held)
+    taught = spark.read.parquet(*made)
+    assert taught.count() == labels.filter("crc32(cast(doc_id as string)) % 3 <> 1").count() and taught.filter("text is null").isEmpty()
+    assert len(made) <= 12  # processes are started for each file on a local disk
+
+
 def test_vectors_of_every_length_are_searched(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.standard_normal(8 if i % 3 else 5).tolist()) for i in range(300)] + [(999, [1.0] * 400)]
