@@ -27,7 +27,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.llm.store import settle, small_batches
+from scriptorium.llm.store import sample_tasks, settle, small_batches
 from scriptorium.llm.words import slices, utf8, words_in
 
 #: Labelled rows to learn from at most, and places that words are hashed to.
@@ -187,7 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     chosen = settle(usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "chosen")
     rows = docs.select("doc_id", F.struct(F.coalesce("text", F.lit("")).alias("text"), _stated(docs).alias("n_chars")).alias("d"))
     taught = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("d").alias("d"), F.min("good").alias("good"))
-    lists = taught.select("d.text", "d.n_chars", "good").mapInArrow(_sparse, "good double, feature array<int>, value array<double>")
+    few = taught.select("d.text", "d.n_chars", "good").coalesce(sample_tasks(sample))
+    lists = few.mapInArrow(_sparse, "good double, feature array<int>, value array<double>")
     lists = settle(lists, "taught")
     kinds = [r.good for r in lists.select("good").distinct().collect()]
     if len(kinds) < 2:

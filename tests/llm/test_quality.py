@@ -1,5 +1,7 @@
 """The factorisation machine: its formula, what it learns, and the defined cases."""
 
+import glob
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -72,3 +74,23 @@ def test_defined_cases(spark):
     bare = quality.score(docs.drop("n_chars"), machine).collect()
     assert len(bare) == 5 and all(0 <= r.score <= 1 for r in bare)
     assert quality.score(docs.limit(0), machine).collect() == []
+
+
+def test_rows_that_teach_are_written_by_few_tasks(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7} and some more words") for i in range(1200)], "doc_id long, text string")
+    # labels of one kind: the rows are written, no machine is fitted
+    labels = docs.selectExpr("doc_id", "1 as quality")
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    files = lambda: set(glob.glob(f"{shared}/taught-*/part-*"))
+    changed = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, held = {k: spark.conf.get(k) for k in changed}, files()
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        quality.fit(docs, labels)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    made = sorted(files() - held)
+    assert spark.read.parquet(*made).count() == labels.filter("crc32(cast(doc_id as string)) % 5 <> 0").count()
+    assert len(made) <= 12  # processes are started for each file on a local disk
