@@ -52,41 +52,56 @@ def _tasks(depth: int) -> int:
     return max(4, min(1 << depth, 1 << 30) // TASK_PREFIXES)
 
 
-def _buckets(rows: DataFrame, limit: int) -> list[tuple[DataFrame, int, DataFrame]]:
-    """Of each round the rows that are left, the bits of a fine prefix, and (fine, b): the buckets found in the round.
+def _buckets(rows: DataFrame, limit: int) -> tuple[DataFrame, int]:
+    """The directory (depth, prefix, bucket_bytes), a row for each bucket, and the bits of the first round's fine prefixes.
 
-    bucket_bytes is null where equal rows exceed the limit; each row has a bucket in exactly one round.
+    bucket_bytes is null where equal rows exceed the limit; each row has the prefix of exactly one bucket. Sums are grouped
+    only and meet in no join: a file of prefixes is small beside the rows that come of it, and Spark would broadcast them all.
     """
     total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     known, rest, least = [], rows, 0
-    depth = min(BITS, max(0, math.ceil(math.log2(max(1, total) / limit))) + SLACK)
+    first = depth = min(BITS, max(0, math.ceil(math.log2(max(1, total) / limit))) + SLACK)
     while True:
         fine = rest.groupBy(_prefix(depth).alias("fine")).agg(
             F.sum("n_bytes").alias("n_bytes"), (F.min("hash") == F.max("hash")).alias("alike")
         )
         fine = settle(fine.coalesce(_tasks(depth)), "fine")
         lower = F.explode(F.sequence(F.lit(least), F.lit(depth)))
-        above = fine.select("fine", "n_bytes", "alike", lower.alias("depth")).withColumn(
+        above = fine.select("fine", "n_bytes", lower.alias("depth")).withColumn(
             "prefix", F.expr(f"shiftright(fine, {depth} - depth)")
         )
         sizes = above.groupBy("depth", "prefix").agg(F.sum("n_bytes").alias("bucket_bytes"))
-        buckets = above.join(sizes.filter(F.col("bucket_bytes") <= limit), ["depth", "prefix"]).groupBy("fine").agg(
-            F.min_by(F.struct("depth", "prefix", "bucket_bytes"), "depth").alias("b")
+        # the two halves of a prefix meet: one that fits is a bucket unless both fit together
+        halves = sizes.groupBy((F.col("depth") - 1).alias("up"), F.shiftright("prefix", 1).alias("both")).agg(
+            F.sum("bucket_bytes").alias("whole"), F.collect_list(F.struct("depth", "prefix", "bucket_bytes")).alias("half")
         )
+        shortest = (F.col("whole") > limit) | (F.col("b.depth") == least)
+        buckets = halves.select("whole", F.explode("half").alias("b")).filter((F.col("b.bucket_bytes") <= limit) & shortest).select("b.*")
         # beyond the last bit, or with one hash only, bits cannot help
         stuck = (F.col("n_bytes") > limit) & (F.col("alike") | F.lit(depth >= BITS))
         alike = fine.filter(stuck).select(
-            "fine", F.struct(F.lit(depth).alias("depth"), F.col("fine").alias("prefix"), F.lit(None).cast("long").alias("bucket_bytes")).alias("b")
+            F.lit(depth).alias("depth"), F.col("fine").alias("prefix"), F.lit(None).cast("long").alias("bucket_bytes")
         )
-        buckets = settle(buckets.union(alike).coalesce(_tasks(depth)), "buckets")
-        known.append((rest, depth, buckets))
+        known.append(settle(buckets.union(alike).coalesce(_tasks(depth)), "buckets"))
         large = settle(fine.filter((F.col("n_bytes") > limit) & ~stuck).select("fine").coalesce(_tasks(depth)), "large")
         if depth >= BITS or large.isEmpty():
             break
         rest = rest.join(large, _prefix(depth) == F.col("fine"), "left_semi")
         least, depth = depth + 1, min(BITS, depth + MORE)
 
-    return known
+    return settle(reduce(DataFrame.union, known).coalesce(1), "directory"), first
+
+
+def _placed(rows: DataFrame, directory: DataFrame) -> DataFrame:
+    """The rows with depth, prefix and bucket_bytes of their bucket."""
+    # the directory has a row for each shard, small beside the texts; buckets are looked up depth by depth
+    rows = rows.withColumn("bucket", F.lit(None).cast(directory.schema))
+    others = [c for c in rows.columns if c != "bucket"]
+    for depth in sorted(r["depth"] for r in directory.select("depth").distinct().collect()):
+        held = directory.filter(F.col("depth") == depth).select(F.col("prefix").alias("at"), F.struct(*directory.columns).alias("b"))
+        rows = rows.join(held, _prefix(depth) == F.col("at"), "left")
+        rows = rows.select(*others, F.coalesce("bucket", "b").alias("bucket"))
+    return rows.select(*others, "bucket.*")
 
 
 def _copies(over: DataFrame, limit: int) -> DataFrame:
@@ -111,11 +126,7 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     row's number by input partition, as ``monotonically_increasing_id`` gives it.
     """
     rows = settle(docs.select(F.monotonically_increasing_id().alias("place"), "doc_id", *_measures()), "hashed")
-    found = None
-    for some, depth, buckets in _buckets(rows, limit):
-        placed = some.join(buckets, _prefix(depth) == F.col("fine")).select("place", "doc_id", "n_bytes", "hash", "b.*")
-        found = placed if found is None else found.union(placed)
-    found = settle(found, "placed")
+    found = settle(_placed(rows, _buckets(rows, limit)[0]), "placed")
 
     fits = found.filter("bucket_bytes is not null").withColumn("copy", F.lit(0).cast("long"))
     over = _copies(found.filter("bucket_bytes is null"), limit)
@@ -136,19 +147,11 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     the input may come in another order each time it is read.
     """
     whole = docs.select(F.struct(*docs.columns).alias("row"), *_measures())
-    rounds = _buckets(settle(whole.select("n_bytes", "hash"), "hashed"), limit)
-    # the directory has a row for each shard, small beside the texts; buckets are looked up depth by depth
-    directory = reduce(DataFrame.union, [buckets.select("b.*") for _, _, buckets in rounds]).distinct()
-    directory = settle(directory.coalesce(1), "directory")
-    rows = whole.withColumn("bucket", F.lit(None).cast(rounds[0][2].schema["b"].dataType))
-    for depth in sorted(r["depth"] for r in directory.select("depth").distinct().collect()):
-        held = directory.filter(F.col("depth") == depth).select(F.col("prefix").alias("at"), F.struct(*directory.columns).alias("b"))
-        rows = rows.join(held, _prefix(depth) == F.col("at"), "left")
-        rows = rows.select("row", "n_bytes", "hash", F.coalesce("bucket", "b").alias("bucket"))
-    rows = rows.select("row", "n_bytes", "hash", "bucket.*")
+    directory, depth = _buckets(settle(whole.select("n_bytes", "hash"), "hashed"), limit)
+    rows = _placed(whole, directory)
     shard = F.concat_ws("-", F.concat(F.lit("b"), _bits()), F.col("copy")).alias("_shard")
     routed = rows.filter("bucket_bytes is not null").withColumn("copy", F.lit(0).cast("long")).select("row", shard)
-    if any(not buckets.filter("b.bucket_bytes is null").isEmpty() for _, _, buckets in rounds):
+    if not directory.filter("bucket_bytes is null").isEmpty():
         over = settle(rows.filter("bucket_bytes is null").withColumn("place", F.monotonically_increasing_id()), "over")
         routed = routed.union(_copies(over, limit).select("row", shard))
     routed.repartition("_shard").select("row.*", "_shard").write.partitionBy("_shard").parquet(path)
@@ -157,7 +160,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")
     written = settle(written.select("doc_id", size, "_shard"), "written")
     sizes = written.groupBy("_shard").agg(F.sum("n_bytes").alias("shard_bytes"))
-    return written.join(settle(sizes.coalesce(_tasks(rounds[0][1])), "sizes"), "_shard").select(
+    return written.join(settle(sizes.coalesce(_tasks(depth)), "sizes"), "_shard").select(
         "doc_id",
         "n_bytes",
         F.regexp_extract("_shard", "^b([01]*)-", 1).alias("shard"),
