@@ -12,8 +12,9 @@ sequence is the one element, without words the set is empty. Two documents link
    are joined to the smallest one that shares a key. Some spare groups make up for groups that are empty (or
    nearly, where groups are large), whose keys would bring unlike documents together. Shingles that many unlike
    documents of a sample hold (lines all over the corpus) are left out of the keys, which cannot add a difference. The connected parts hold all links; no pair is listed.
-3. **R-tree.** The documents of a part meet in a task (a part of more than ``block_docs`` is taken by bands of set sizes,
-   and blocks of a large band meet two by two). Their
+3. **R-tree.** The documents of a part meet in a task. A part of more than ``block_docs`` is taken by bands of set sizes
+   and in blocks: first every block by itself, with some documents that all blocks of the band have. Documents that are
+   connected by then need not meet again, so only blocks that hold something else meet two by two. Their
    elements are hashed into ``AXES`` groups, whose counts are a point; points are packed into a tree of boxes.
    Two boxes can hold a link only if the sum of their smaller upper coordinates reaches the overlap that their
    smallest sets need; the same holds for two points, first in ``AXES`` and then in ``FINE`` groups. Pairs that pass
@@ -28,10 +29,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.llm.store import components, settle, small_batches
@@ -47,6 +49,12 @@ AXES, FINE = 24, 512
 LEAF, FANOUT = 32, 8
 #: Documents of one connected part, and their shingles, that a task takes from each of its two blocks.
 BLOCK_DOCS, BLOCK_SHINGLES = 6_000, 3_000_000
+#: Of so many documents of a block there is one that all blocks of its band have.
+SHARED = 100
+#: Numbers that documents are hashed to, so that those of a few parts can be told in every task; more documents share a number.
+TOLD = 1 << 20
+#: Shingles that are shuffled with their texts in one turn, as a multiple of those of all documents.
+TURN = 1.5
 #: Documents that common shingles are looked for in; unlike documents of these that must hold one; and how many count.
 COMMON_SAMPLE, COMMON_DOCS, COMMON = 8_000, 6, 30_000
 #: Keys that a task combines before it passes them on.
@@ -283,19 +291,25 @@ class CountTree:
 
 
 def linked_pairs(
-    sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, level: int, scale: int
+    sets: list[np.ndarray], left: np.ndarray, right: np.ndarray | None, level: int, scale: int, known: np.ndarray | None = None
 ) -> Iterator[tuple[int, int]]:
-    """Links that connect what all links within ``left`` (or between left and right) connect."""
+    """Links that connect what all links within ``left`` (or between left and right) connect.
+
+    Sets with the same number in ``known`` are connected already.
+    """
     tree = CountTree(sets, left)
     other = tree._node(right) if right is not None else tree.root
-    parent = list(range(len(sets)))
+    label = np.arange(len(sets))
+    if known is not None:
+        _, first, which = np.unique(known, return_index=True, return_inverse=True)
+        label = first[which.reshape(-1)]
+    parent = label.tolist()
 
     def root(i: int) -> int:
         while parent[i] != i:
             parent[i] = i = parent[parent[i]]
         return i
 
-    label = np.arange(len(sets))
     stack = [(tree.root, other)]
     while stack:
         one, two = stack.pop()
@@ -337,15 +351,15 @@ def linked_pairs(
 def _links(shingle: int, level: int, scale: int):
     """Links from rows sorted by (part, band, one, two): the documents of blocks one and two of a part."""
 
-    def joined(ids: list[int], blocks: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    def joined(ids: list[int], blocks: list[int], roots: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
         block = np.array(blocks)
         left = np.flatnonzero(block == block.min())
         right = np.flatnonzero(block != block.min())
-        pairs = linked_pairs(sets, left, right if len(right) else None, level, scale)
+        pairs = linked_pairs(sets, left, right if len(right) else None, level, scale, np.array(roots))
         return [(ids[x], ids[y]) for x, y in pairs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, ([], [], [])
+        last, held = None, ([], [], [], [])
         found: list[tuple[int, int]] = []
 
         def out() -> pa.RecordBatch:
@@ -355,14 +369,14 @@ def _links(shingle: int, level: int, scale: int):
         for batch in batches:
             # texts become sets as they arrive, so that a task holds no more than its blocks' sets
             for piece in slices(batch, "text"):
-                columns = (piece.column(c).to_pylist() for c in ("part", "band", "one", "two", "block", "doc_id"))
+                columns = (piece.column(c).to_pylist() for c in ("part", "band", "one", "two", "block", "doc_id", "root"))
                 sets = shingle_sets(piece.column("text"), shingle)
-                for part, band, one, two, block, doc, codes in zip(*columns, sets):
+                for part, band, one, two, block, doc, root, codes in zip(*columns, sets):
                     if (part, band, one, two) != last:
                         if len(held[0]) > 1:
                             found += joined(*held)
-                        last, held = (part, band, one, two), ([], [], [])
-                    held[0].append(doc), held[1].append(block), held[2].append(codes)
+                        last, held = (part, band, one, two), ([], [], [], [])
+                    held[0].append(doc), held[1].append(block), held[2].append(root), held[3].append(codes)
             if len(found) > 10_000:
                 yield out()
                 found = []
@@ -373,6 +387,39 @@ def _links(shingle: int, level: int, scale: int):
     return run
 
 
+def _across(large: DataFrame, links: DataFrame, counted: list, blocks, spread) -> DataFrame:
+    """Pairs of blocks (doc_id, root, part, band, block, n_shingles, one, two) in which the documents of large bands meet that are not connected.
+
+    What is connected and fills half a block has blocks of its own, which do not meet each other; all else is dealt to loose
+    blocks, numbered from 0, which meet each other and the blocks of their own.
+    """
+    within = components(links.join(large.select(F.col("node").alias("a")).distinct(), "a", "left_semi"), "within")
+    rooted = large.join(within, "node", "left").select("node", "part", "band", "n_shingles", "blocks", F.coalesce("root", "node").alias("root"))
+    rooted = settle(rooted, "rooted")
+    bands, trees = ["part", "band"], ["part", "band", "root"]
+    trunks = rooted.groupBy(*trees).agg(*counted, F.max("blocks").alias("blocks"))
+    whole = rooted.groupBy(*bands).agg(F.count("*").alias("of"))
+    # half of what a block has on average
+    trunks = trunks.join(whole, bands).filter(F.col("n") * F.col("blocks") * 2 >= F.col("of")).select(*trees, blocks.alias("own"))
+    before = Window.partitionBy(*bands).orderBy("root").rowsBetween(Window.unboundedPreceding, -1)
+    trunks = settle(trunks.select("*", F.coalesce(F.sum("own").over(before), F.lit(0)).cast("int").alias("start")), "trunks")
+    placed = settle(rooted.join(trunks, trees, "left"), "placed")
+    loose = placed.filter("own is null").groupBy(*bands).agg(*counted).select(*bands, blocks.alias("loose"))
+    owned = trunks.groupBy(*bands).agg(F.sum("own").cast("int").alias("owned"))
+    sizes = rooted.select(*bands).distinct().join(loose, bands, "left").join(owned, bands, "left")
+    sizes = settle(sizes.select(*bands, *(F.coalesce(c, F.lit(0)).alias(c) for c in ("loose", "owned"))), "sizes")
+    to = lambda a, b: F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<int>"))  # noqa: E731  a up to b
+    n, first, own = F.col("loose"), F.col("loose") + F.col("start"), F.col("own")
+    end = n + F.col("owned")
+    met = F.when(own.isNull(), to(F.lit(0), end)).otherwise(F.concat(to(F.lit(0), n), to(n, first), to(first + own, end)))
+    # loose blocks are made of the earlier ones, which need not meet themselves again if they are as many
+    at = F.floor(spread(F.col("blocks")) * n / F.col("blocks")).cast("int")
+    block = F.when(own.isNull(), at).otherwise(first + spread(own)).alias("block")
+    again = own.isNotNull() | (n < F.col("blocks"))
+    found = placed.join(sizes, bands).select(F.col("node").alias("doc_id"), "root", *bands, block, "n_shingles", again.alias("again"), F.explode(met).alias("other"))
+    return found.filter("again or block <> other").select("doc_id", "root", *bands, "block", "n_shingles", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+
+
 def similar_components(
     docs: DataFrame,
     shingle: int = SHINGLE,
@@ -418,32 +465,53 @@ def similar_components(
 
     measured = parts.join(classed.select(F.col("doc_id").alias("node"), "n_shingles"), "node")
     counted = [F.count("*").alias("n"), F.sum("n_shingles").alias("elements")]
-    blocks = F.ceil(F.greatest(F.col("n") / block_docs, F.col("elements") / BLOCK_SHINGLES))
+    blocks = F.ceil(F.greatest(F.col("n") / block_docs, F.col("elements") / BLOCK_SHINGLES)).cast("int")
     # a large part is taken by bands of set sizes: a pair meets in the band of its larger set
     band = lambda n: F.floor(F.log(n) / math.log(BAND) + 1e-9)
     reach = F.sequence(band(F.col("n_shingles")), band(F.col("n_shingles") * (scale / level)))
     banded = measured.join(measured.groupBy("part").agg(*counted), "part").select(
         "node", "part", "n_shingles", F.explode(F.when(blocks > 1, reach).otherwise(F.array(F.lit(-1).cast("long")))).alias("band")
     )
-    placed = (
-        banded.join(banded.groupBy("part", "band").agg(*counted), ["part", "band"])
-        .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
-        .select(
-            F.col("node").alias("doc_id"),
-            "part",
-            "band",
-            "block",
-            F.least("block", "other").alias("one"),
-            F.greatest("block", "other").alias("two"),
-        )
-    )
-    links = (
-        known.join(placed, "doc_id")
-        .repartition("part", "band", "one", "two")
-        .sortWithinPartitions("part", "band", "one", "two")
-        .mapInArrow(lean(_links(shingle, level, scale)), "a long, b long")
-    )
+    banded = banded.join(banded.groupBy("part", "band").agg(*counted), ["part", "band"])
+    dealt = settle(banded.select("node", "part", "band", "n_shingles", blocks.alias("blocks")), "dealt")
+
+    every_shingle = classed.agg(F.sum("n_shingles")).first()[0] or 0
+
+    def met_in(placed: DataFrame, known: DataFrame) -> DataFrame:
+        """Links among the documents (doc_id, root, part, band, block, n_shingles, one, two) of blocks one and two.
+
+        Blocks of a large band meet in many pairs: these take turns, and what a turn has shuffled is dropped after it.
+        """
+        turns = max(1, math.ceil((placed.agg(F.sum("n_shingles")).first()[0] or 0) / max(1, TURN * every_shingle)))
+        found = []
+        for turn in range(turns):
+            own = placed.filter(F.pmod(F.xxhash64("part", "band", "one", "two"), F.lit(turns)) == turn).drop("n_shingles")
+            # the places come of a table whose file is small beside them, so that Spark would broadcast them all
+            links = (
+                known.join(own.hint("merge"), "doc_id")
+                .repartition("part", "band", "one", "two")
+                .sortWithinPartitions("part", "band", "one", "two")
+                .mapInArrow(lean(_links(shingle, level, scale)), "a long, b long")
+            )
+            found.append(settle(links, "links"))
+        return reduce(DataFrame.union, found)
+
+    # some documents are in all blocks, so that what is alike in several blocks is connected through them
+    spread = lambda n, seed=0: F.pmod(F.xxhash64("node", F.lit(seed)), n).cast("int")
+    shared = (F.col("blocks") > 1) & (spread(F.col("blocks") * SHARED, 1) == 0)
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    alone = dealt.select("node", "part", "band", "n_shingles", F.explode(F.when(shared, every).otherwise(F.array(spread(F.col("blocks"))))).alias("block"))
+    node, block = F.col("node"), F.col("block")
+    alone = alone.select(node.alias("doc_id"), node.alias("root"), "part", "band", "block", "n_shingles", block.alias("one"), block.alias("two"))
+    links = met_in(alone, known)
+    large = dealt.filter("blocks > 1")
+    if not large.isEmpty():
+        across = settle(_across(large, links, counted, blocks, spread), "across")
+        # the other texts are not shuffled again
+        number = lambda c: F.pmod(F.xxhash64(c), F.lit(TOLD))
+        told = settle(across.select(number("doc_id").alias("number")).distinct(), "told")
+        some = known.join(F.broadcast(told), number("doc_id") == F.col("number"), "left_semi")
+        links = links.union(met_in(across, some))
     linked = components(links, "linked")
     return classed.join(linked, F.col("rep") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.session import shared_dir
+from scriptorium.session import discard, shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,14 +27,39 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+#: Whether Spark deletes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries within leave no shuffle files, which stay else until the driver happens to collect its garbage."""
+    held = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if held is None else spark.conf.set(CLEANUP, held)
+
+
 def settle(rows: DataFrame, name: str) -> DataFrame:
     """Write the rows to a new table in the shared folder and read them from there.
 
-    The file sizes are known to the planner, so it broadcasts such a table only if it is small.
+    The file sizes are known to the planner, so it broadcasts such a table only if it is small. What was shuffled for it
+    is dropped.
     """
     path = shared_dir(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    with shuffles_dropped(rows.sparkSession):
+        rows.write.parquet(path)
+    found = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    found.settled_at = path
+    return found
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for rows in tables:
+        discard(rows.sparkSession, rows.settled_at)
 
 
 #: Rows of a sample that a task writes. Every file that a task writes to a local disk starts processes.
@@ -61,7 +89,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     links = settle(both.distinct().select("a", "b", seat("a")), f"{name}-links")
     asked = settle(links.select("b", "seat").distinct(), f"{name}-seats")
     roots = links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
-    roots = settle(roots, f"{name}-roots")
+    held = settle(roots, f"{name}-roots")
+    roots = held
     while True:
         told = asked.join(roots.withColumnRenamed("node", "b"), "b")
         near = links.join(told, ["b", "seat"]).groupBy("a").agg(F.min("root").alias("seen"))
@@ -75,6 +104,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         step = placed.join(tops, ["next", "seat"], "left")
         after = step.select("node", F.least("next", "top").alias("root"), (F.least("next", "top") < F.col("root")).alias("changed"))
         after = settle(after, f"{name}-roots")
-        roots = after.select("node", "root")
+        drop(best, held)
+        held, roots = after, after.select("node", "root")
         if after.filter("changed").isEmpty():
+            drop(links, asked)
             return roots

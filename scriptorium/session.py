@@ -60,6 +60,12 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder before the process ends."""
+    remove(spark, path)
+    _scratch.remove(path)
+
+
 @atexit.register
 def remove_scratch() -> None:
     """Delete the scratch folders this process asked for, wherever they lie."""
